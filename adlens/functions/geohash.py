@@ -3,7 +3,7 @@
 A geohash with ``n`` characters has ``5 n`` bits that interleave longitude and latitude
 bits, longitude first. Each coordinate bit string is the index of the point's cell when
 the coordinate range is cut into ``2**bits`` equal parts, which is what the classic
-bisection computes. The bits are then read five at a time into base-32 characters.
+bisection computes. The bits are then read five at a time as base-32 characters.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from adlens.functions.scalar import ColumnOrName, _col
 
 # FIXED VALUES: the geohash base-32 alphabet.
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+# Digits of ``conv(x, 2, 32)``, in value order.
+_CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 
 def _cell_index(v: Column, lo: float, hi: float, bits: int) -> Column:
@@ -23,27 +25,58 @@ def _cell_index(v: Column, lo: float, hi: float, bits: int) -> Column:
     return F.least(F.greatest(idx, F.lit(0).cast("bigint")), F.lit(n - 1).cast("bigint"))
 
 
-def geohash(lat: ColumnOrName, lon: ColumnOrName, precision: int = 6) -> Column:
+def _bits(precision: int) -> tuple[int, int]:
     total = 5 * precision
-    lon_bits = (total + 1) // 2
-    lat_bits = total // 2
-    lon_idx = _cell_index(_col(lon).cast("double"), -180.0, 180.0, lon_bits)
-    lat_idx = _cell_index(_col(lat).cast("double"), -90.0, 90.0, lat_bits)
-    chars = []
-    for ch in range(precision):
-        value = None
-        for j in range(5):
-            t = 5 * ch + j  # interleaved bit position, 0 = most significant
-            if t % 2 == 0:
-                bit = F.shiftright(lon_idx, lon_bits - 1 - t // 2).bitwiseAND(1)
-            else:
-                bit = F.shiftright(lat_idx, lat_bits - 1 - t // 2).bitwiseAND(1)
-            term = bit * (1 << (4 - j))
-            value = term if value is None else value + term
-        chars.append(F.lit(GEOHASH_ALPHABET).substr((value + 1).cast("int"), F.lit(1)))
-    out = F.concat(*chars)
+    return (total + 1) // 2, total // 2
+
+
+def cell_indexes(lat: ColumnOrName, lon: ColumnOrName, precision: int = 6) -> tuple[Column, Column]:
+    """(longitude cell index, latitude cell index) of the point at this precision."""
+    lon_bits, lat_bits = _bits(precision)
+    return (_cell_index(_col(lon).cast("double"), -180.0, 180.0, lon_bits),
+            _cell_index(_col(lat).cast("double"), -90.0, 90.0, lat_bits))
+
+
+def geohash_from_indexes(lon_idx: ColumnOrName, lat_idx: ColumnOrName, precision: int = 6) -> Column:
+    """Geohash text from the two cell indexes.
+
+    Both indexes are written as zero-padded binary strings, interleaved longitude first,
+    read as one base-2 number, written in base 32 (``conv`` digits 0-9A-V) and mapped onto
+    the geohash alphabet. A handful of expression nodes, so the stage stays small.
+    """
+    lon_bits, lat_bits = _bits(precision)
+    lon_s = F.lpad(F.conv(_col(lon_idx).cast("string"), 10, 2), lon_bits, "0")
+    lat_s = F.lpad(F.conv(_col(lat_idx).cast("string"), 10, 2), lat_bits, "0")
+    bits = F.array_join(F.zip_with(F.split(lon_s, "", -1), F.split(lat_s, "", -1),
+                                   lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    base32 = F.lpad(F.conv(bits, 2, 32), precision, "0")
+    return F.translate(base32, _CONV_DIGITS, GEOHASH_ALPHABET)
+
+
+def geohash(lat: ColumnOrName, lon: ColumnOrName, precision: int = 6) -> Column:
+    """Geohash of a point as one Column expression.
+
+    The expression reads each index once per bit; for DataFrames prefer ``with_geohash``,
+    which computes the indexes in their own projection first.
+    """
+    lon_idx, lat_idx = cell_indexes(lat, lon, precision)
+    out = geohash_from_indexes(lon_idx, lat_idx, precision)
     return F.when(_col(lat).isNotNull() & _col(lon).isNotNull(), out)
 
 
+def with_geohash(df, lat: ColumnOrName, lon: ColumnOrName, out_col: str,
+                 precision: int = 6, keep_if: Column | None = None):
+    """``df`` plus a geohash column, computed in three projections (coordinates, cell
+    indexes, characters) so no sub-expression is evaluated more than once per row."""
+    staged = df.withColumns({"__gh_lat": _col(lat).cast("double"), "__gh_lon": _col(lon).cast("double")})
+    lon_idx, lat_idx = cell_indexes("__gh_lat", "__gh_lon", precision)
+    staged = staged.withColumns({"__gh_x": lon_idx, "__gh_y": lat_idx})
+    cell = F.when(F.col("__gh_lat").isNotNull() & F.col("__gh_lon").isNotNull(),
+                  geohash_from_indexes("__gh_x", "__gh_y", precision))
+    if keep_if is not None:
+        cell = F.when(keep_if, cell)
+    return staged.withColumn(out_col, cell).drop("__gh_lat", "__gh_lon", "__gh_x", "__gh_y")
+
+
 def geohash6(lat: ColumnOrName, lon: ColumnOrName) -> Column:
     return geohash(lat, lon, 6)

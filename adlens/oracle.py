@@ -7,11 +7,78 @@ from ``events`` are rebuilt with the same portable SQL the Spark side uses
 
 from __future__ import annotations
 
+from adlens import schema as S
+from adlens.functions.geohash import GEOHASH_ALPHABET
+from adlens.operators import perturb as PT
 from adlens.sources import derived as D
 
 ADLOG = f"adlog AS (\n{D.derived_log_sql('events')}\n)"
+RAW = f"raw AS ({D.raw_line_sql('events')}), fields AS (SELECT string_split(value, ',') AS f, value FROM raw)"
+STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in D.FIXTURE_STOP_WORDS)
 
-_WINS = ("iseffective = 1 AND isbilling = 1 AND isbid = 1 AND iswin = 1 AND adorderid <> 0")
+
+# --- scalar helpers ----------------------------------------------------------------------
+def blank(c: str) -> str:
+    return rf"({c} IS NULL OR regexp_full_match({c}, '\s*'))"
+
+
+def not_blank(c: str) -> str:
+    return f"(NOT {blank(c)})"
+
+
+def lenient_int(x: str) -> str:
+    return (f"CASE WHEN regexp_full_match({x}, '[+-]?[0-9]+') "
+            f"THEN coalesce(TRY_CAST({x} AS INTEGER), 0) ELSE 0 END")
+
+
+def lenient_double(x: str) -> str:
+    return (rf"CAST(CASE WHEN regexp_full_match({x}, '(?i)[\x00-\x20]*[+-]?(inf|infinity|nan)[\x00-\x20]*') "
+            rf"AND NOT regexp_full_match({x}, '[\x00-\x20]*([+-]?Infinity|[+-]?NaN)[\x00-\x20]*') "
+            f"THEN 0.0 ELSE coalesce(TRY_CAST({x} AS DOUBLE), 0.0) END AS DOUBLE)")
+
+
+IN_BOX = (f"({lenient_double('long')} BETWEEN 73 AND 136 AND {lenient_double('lat')} BETWEEN 3 AND 53)")
+
+
+def geohash6(lat: str, lon: str) -> str:
+    lon_bin = f"least(greatest(CAST(floor(({lon} + 180.0) / 360.0 * 32768.0) AS BIGINT), 0), 32767)"
+    lat_bin = f"least(greatest(CAST(floor(({lat} + 90.0) / 180.0 * 32768.0) AS BIGINT), 0), 32767)"
+    chars = []
+    for ch in range(6):
+        terms = []
+        for j in range(5):
+            t = 5 * ch + j
+            src, pos = (lon_bin, t // 2) if t % 2 == 0 else (lat_bin, t // 2)
+            terms.append(f"((({src}) >> {14 - pos}) & 1) * {1 << (4 - j)}")
+        chars.append(f"substr('{GEOHASH_ALPHABET}', CAST(1 + {' + '.join(terms)} AS INTEGER), 1)")
+    return " || ".join(chars)
+
+
+CELL = f"CASE WHEN {IN_BOX} THEN {geohash6(lenient_double('lat'), lenient_double('long'))} END"
+CELL_ALL = geohash6(lenient_double("lat"), lenient_double("long"))
+
+
+def parse_areas(r: str) -> str:
+    arr = f"json_extract({r}, '$.regeocode.addressComponent.businessAreas')"
+    return (f"CASE WHEN {r} IS NULL OR NOT json_valid({r}) THEN '' "
+            f"WHEN coalesce(TRY_CAST(json_extract_string({r}, '$.status') AS INTEGER), 0) = 0 THEN '' "
+            f"WHEN json_type({arr}) IS DISTINCT FROM 'ARRAY' THEN '' "
+            f"ELSE array_to_string(list_transform(list_filter(json_extract({r}, "
+            f"'$.regeocode.addressComponent.businessAreas[*]'), lambda x: json_type(x) = 'OBJECT'), "
+            f"lambda x: coalesce(json_extract_string(x, '$.name'), 'null')), ',') END")
+
+
+def _ids_list() -> str:
+    items = [f"CASE WHEN {not_blank(c)} THEN '{p}' || {c} END" for c, p in S.ID_COLUMNS]
+    return f"list_filter([{', '.join(items)}], lambda x: x IS NOT NULL)"
+
+
+USER_KEY = ("coalesce(" + ", ".join(f"CASE WHEN {not_blank(c)} THEN '{p}' || {c} END"
+                                    for c, p in S.ID_COLUMNS) + ", '其他')")
+
+
+# --- KPI ---------------------------------------------------------------------------------------
+_WINS = "iseffective = 1 AND isbilling = 1 AND isbid = 1 AND iswin = 1 AND adorderid <> 0"
 
 
 def _money(col: str) -> str:
@@ -32,21 +99,236 @@ KPI_SELECT = f"""
 
 
 def _kpi(dim_select: str, group_by: str, source: str = "adlog", ctes: str = ADLOG) -> str:
-    return (f"WITH {ctes}\nSELECT {dim_select},{KPI_SELECT}\nFROM {source}\nGROUP BY {group_by}")
+    return f"WITH {ctes}\nSELECT {dim_select},{KPI_SELECT}\nFROM {source}\nGROUP BY {group_by}"
+
+
+def _app_dict(name: str, keep_trailing: bool) -> str:
+    text = "value" if keep_trailing else r"regexp_replace(value, '\s+$', '')"
+    return (f"{name}_lines AS ({D.app_dict_line_sql('events')}), "
+            rf"{name}_f AS (SELECT line_no, string_split_regex({text}, '\s') AS f FROM {name}_lines), "
+            f"{name} AS (SELECT f[5] AS appid, arg_max(f[2], line_no) AS appname_dict FROM {name}_f "
+            f"WHERE len(f) >= 5 GROUP BY f[5])")
+
+
+APPDICT_R = _app_dict("appdict_r", True)
+APPDICT_T = _app_dict("appdict_t", False)
+APP_REPORT = "CASE WHEN {b} THEN coalesce(d.appname_dict, 'unknow') ELSE a.appname END".format(
+    b=blank("a.appname"))
+
+GEO = (f"geo_cells AS (SELECT DISTINCT geohash6 FROM (SELECT {CELL} AS geohash6 FROM adlog) c "
+       f"WHERE geohash6 IS NOT NULL), "
+       f"responses AS (SELECT geohash6, response FROM (SELECT geohash6, {D.geo_response_expr('geohash6')} "
+       f"AS response FROM geo_cells) r WHERE response IS NOT NULL), "
+       f"geodim AS (SELECT geohash6, business_areas FROM (SELECT geohash6, {parse_areas('response')} "
+       f"AS business_areas FROM responses) p WHERE business_areas <> '')")
+
+BASE = (f"base AS (SELECT a.*, {USER_KEY} AS user_key, {CELL} AS geohash6, d.appname_dict, "
+        f"{_ids_list()} AS idl FROM adlog a LEFT JOIN appdict_t d ON a.appid = d.appid)")
+
+T_AD = (f"t_ad AS (SELECT sessionid, user_key, 'ad' AS kind, CASE WHEN adspacetype > 9 "
+        f"THEN 'LC' || CAST(adspacetype AS VARCHAR) ELSE 'LC0' || CAST(adspacetype AS VARCHAR) END AS tag "
+        f"FROM base WHERE coalesce(adspacetype, 0) > 0 "
+        f"UNION ALL SELECT sessionid, user_key, 'ad', 'LN' || coalesce(adspacetypename, 'null') FROM base "
+        f"WHERE {blank('adspacetypename')} "
+        f"UNION ALL SELECT sessionid, user_key, 'ad', 'CN' || CAST(coalesce(adplatformproviderid, 0) AS VARCHAR) "
+        f"FROM base)")
+T_APP = (f"t_app AS (SELECT sessionid, user_key, 'app' AS kind, 'APP' || CASE WHEN {blank('appname')} "
+         f"THEN coalesce(appname_dict, '其他') ELSE appname END AS tag FROM base)")
 
 
+def _case_map(col: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"WHEN {col} = {k if isinstance(k, int) else repr(k)} THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {whens} ELSE '{default}' END"
+
+
+T_DEV = (f"t_dev AS (SELECT sessionid, user_key, 'device' AS kind, "
+         f"{_case_map('coalesce(client, 0)', S.OS_TAGS, S.OS_TAG_DEFAULT)} AS tag FROM base "
+         f"UNION ALL SELECT sessionid, user_key, 'device', "
+         f"{_case_map('networkmannername', S.NETWORK_TAGS, S.NETWORK_TAG_DEFAULT)} FROM base "
+         f"UNION ALL SELECT sessionid, user_key, 'device', "
+         f"{_case_map('ispname', S.CARRIER_TAGS, S.CARRIER_TAG_DEFAULT)} FROM base)")
+T_LOC = (f"t_loc AS (SELECT sessionid, user_key, 'location' AS kind, 'ZP' || provincename AS tag FROM base "
+         f"WHERE {not_blank('provincename')} UNION ALL SELECT sessionid, user_key, 'location', "
+         f"'ZC' || cityname FROM base WHERE {not_blank('cityname')})")
+T_KW = (f"t_kw AS (SELECT sessionid, user_key, 'keyword' AS kind, 'K' || w AS tag FROM "
+        f"(SELECT sessionid, user_key, unnest(string_split(keywords, '|')) AS w FROM base "
+        f"WHERE keywords IS NOT NULL) k WHERE length(w) BETWEEN 3 AND 8 AND w NOT IN ({STOP_SQL}))")
+T_BIZ = ("t_biz AS (SELECT sessionid, user_key, 'business' AS kind, name AS tag FROM "
+         "(SELECT b.sessionid, b.user_key, unnest(string_split(regexp_replace(g.business_areas, ',+$', ''), ',')) "
+         f"AS name FROM base b JOIN geodim g ON b.geohash6 = g.geohash6 WHERE NOT {blank('g.business_areas')} "
+         "AND regexp_replace(g.business_areas, ',+$', '') <> '') n)")
+
+TAG_CTES = f"{ADLOG}, {APPDICT_T}, {GEO}, {BASE}, {T_AD}, {T_APP}, {T_DEV}, {T_LOC}, {T_KW}, {T_BIZ}"
+V1 = ["t_ad", "t_app", "t_biz", "t_dev", "t_loc", "t_kw"]
+V2 = ["t_ad", "t_app", "t_dev", "t_loc", "t_kw"]
+
+
+def _union(tables: list[str], cols: str = "sessionid, user_key, kind, tag") -> str:
+    return " UNION ALL ".join(f"SELECT {cols} FROM {t}" for t in tables)
+
+
+# --- identity ---------------------------------------------------------------------------------------
+GRAPH = ("edges AS (SELECT DISTINCT idl[1] AS src, unnest(idl) AS dst FROM base WHERE len(idl) > 0), "
+         "und AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges), "
+         "reach(id, root) AS (SELECT a, a FROM und UNION SELECT und.b, reach.root FROM reach "
+         "JOIN und ON und.a = reach.id WHERE reach.root < und.b), "
+         "cc AS (SELECT id, min(root) AS component FROM reach GROUP BY id), "
+         "rowcomp AS (SELECT b.sessionid, cc.component FROM base b JOIN cc ON cc.id = b.idl[1] "
+         "WHERE len(b.idl) > 0)")
+
+
+def _chunk(key: str, sort_key: str, source: str, chunk_size: int = 10000) -> str:
+    return (f"SELECT s.*, CAST((('0x' || substr(md5({sort_key}), 1, 8))::BIGINT "
+            f"% greatest(CAST(ceil(n.n / {float(chunk_size)}) AS BIGINT), 1)) AS INTEGER) AS chunk "
+            f"FROM {source} s JOIN (SELECT {key}, count(*) AS n FROM {source} GROUP BY {key}) n USING ({key})")
+
+
+# --- perturbation -------------------------------------------------------------------------------------
+def _perturb_sql(seed: int) -> str:
+    def h(col, block):
+        return f"md5(value || ':{col}:{seed}:{block}')"
+
+    def draw(col, k):
+        return f"('0x' || substr({h(col, k // 4)}, {(k % 4) * 8 + 1}, 8))::BIGINT"
+
+    def pick(pool, col, k):
+        vals = "".join(PT.POOLS[pool])
+        return f"substr('{vals}', CAST({draw(col, k)} % {len(vals)} + 1 AS INTEGER), 1)"
+
+    def picks(pools, col, start=0):
+        return " || ".join(pick(p, col, start + i) for i, p in enumerate(pools))
+
+    out = []
+    for i in range(S.N_LOG_FIELDS):
+        v = f"f[{i + 1}]"
+        if i in PT.SUBSTRING_RULES:
+            ch, pool, n = PT.SUBSTRING_RULES[i]
+            v = f"replace({v}, '{ch}', {picks([pool] * n, i)})"
+        elif i == PT.LONG_COLUMN:
+            v = f"CASE WHEN {v} = '' THEN '11' || {pick('digits', i, 0)} || '.' || {picks(['digits'] * 9, i, 1)} ELSE {v} END"
+        elif i == PT.LAT_COLUMN:
+            v = (f"CASE WHEN {v} = '' THEN {pick('two_three', i, 0)} || {pick('digits', i, 1)} || '.' || "
+                 f"{picks(['digits'] * 9, i, 2)} ELSE {v} END")
+        elif i in PT.ID_FILL_COLUMNS:
+            pattern = ["index9", "letters", "letters", "letters", "index9", "letters",
+                       "index9", "letters", "index9", "letters"]
+            v = f"CASE WHEN {v} = '' THEN {picks(pattern, i)} ELSE {v} END"
+        out.append(v)
+    return f"WITH {RAW}\nSELECT concat_ws(',', {', '.join(out)}) AS value FROM fields WHERE len(f) >= 85"
+
+
+def _typed_select() -> str:
+    cols = []
+    for i, (name, kind) in enumerate(S.LOG_COLUMNS):
+        v = f"f[{i + 1}]"
+        if kind == "I":
+            v = lenient_int(v)
+        elif kind == "D":
+            v = lenient_double(v)
+        cols.append(f"{v} AS {name}")
+    return ", ".join(cols)
+
+
+def _report_line(keys: list[str], source: str) -> str:
+    if len(keys) == 1:
+        key = f"coalesce(CAST({keys[0]} AS VARCHAR), 'null')"
+    else:
+        key = "'(' || " + " || ',' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'null')" for k in keys) + " || ')'"
+    metrics = " || ',' || ".join(f"CAST(CAST({m} AS DOUBLE) AS VARCHAR)" for m in S.KPI_NAMES)
+    return f"SELECT {key} || ',' || {metrics} AS value FROM {source}"
+
+
+# ======================================================================================================
 ORACLE: dict[str, str] = {}
 
+# reports
 ORACLE["kpi_by_location"] = _kpi("provincename, cityname", "provincename, cityname")
-ORACLE["kpi_by_os"] = _kpi(
-    "CASE client WHEN 1 THEN 'android' WHEN 2 THEN 'ios' ELSE '其他' END AS os", "1")
-ORACLE["kpi_by_device"] = _kpi(
-    "CASE devicetype WHEN 1 THEN '手机' WHEN 2 THEN '平板' ELSE '其他' END AS device", "1")
+ORACLE["kpi_by_os"] = _kpi("CASE client WHEN 1 THEN 'android' WHEN 2 THEN 'ios' ELSE '其他' END AS os", "1")
+ORACLE["kpi_by_device"] = _kpi("CASE devicetype WHEN 1 THEN '手机' WHEN 2 THEN '平板' ELSE '其他' END AS device", "1")
 ORACLE["kpi_by_network"] = _kpi(
     "CASE WHEN networkmannername = '未知' THEN '其他' ELSE networkmannername END AS network", "1")
-ORACLE["kpi_by_carrier"] = _kpi(
-    "CASE WHEN ispname = '未知' THEN '其他' ELSE ispname END AS carrier", "1")
+ORACLE["kpi_by_carrier"] = _kpi("CASE WHEN ispname = '未知' THEN '其他' ELSE ispname END AS carrier", "1")
 ORACLE["kpi_by_channel"] = _kpi("coalesce(adplatformproviderid, 0) AS channel", "1")
-ORACLE["city_count"] = (
-    f"WITH {ADLOG}\nSELECT provincename, cityname, count(*) AS ct FROM adlog "
-    "GROUP BY provincename, cityname")
+ORACLE["city_count"] = (f"WITH {ADLOG}\nSELECT provincename, cityname, count(*) AS ct FROM adlog "
+                        "GROUP BY provincename, cityname")
+ORACLE["kpi_by_app"] = _kpi(f"{APP_REPORT} AS app", "1", "adlog a LEFT JOIN appdict_r d ON a.appid = d.appid",
+                            f"{ADLOG}, {APPDICT_R}")
+ORACLE["resolve_app_name"] = (f"WITH {ADLOG}, {APPDICT_R} SELECT a.sessionid, {APP_REPORT} AS app "
+                              "FROM adlog a LEFT JOIN appdict_r d ON a.appid = d.appid")
+
+# ingest
+ORACLE["raw_log_parse"] = (f"WITH {RAW} SELECT len(f) AS n_fields, f[1] AS f_sessionid, f[23] AS f_long, "
+                           "f[81] AS f_keywords, f[85] AS f_last FROM fields WHERE len(f) >= 85")
+ORACLE["raw_log_typed"] = f"WITH {RAW} SELECT {_typed_select()} FROM fields WHERE len(f) >= 85"
+ORACLE["log_roundtrip"] = f"WITH {ADLOG} SELECT * FROM adlog"
+ORACLE["app_dict_dim"] = f"WITH {APPDICT_R} SELECT appid, appname_dict FROM appdict_r"
+ORACLE["app_dict_dim_tags"] = f"WITH {APPDICT_T} SELECT appid, appname_dict FROM appdict_t"
+ORACLE["lenient_int_cast"] = (
+    f"WITH {RAW} SELECT f[1] AS f_sessionid, f[2] AS raw, {lenient_int('f[2]')} AS as_int, "
+    f"{lenient_int('f[10]')} AS price_as_int, {lenient_int('f[9]')} AS mode_as_int FROM fields WHERE len(f) >= 85")
+ORACLE["lenient_double_cast"] = (
+    f"WITH {RAW} SELECT f[1] AS f_sessionid, f[10] AS raw, {lenient_double('f[10]')} AS as_double, "
+    f"{lenient_double('f[2]')} AS id_as_double, {lenient_double('f[24]')} AS lat_as_double "
+    "FROM fields WHERE len(f) >= 85")
+ORACLE["blank_filter"] = (
+    f"WITH {ADLOG} SELECT sessionid, {blank('adspacetypename')} AS name_blank, {blank('appname')} AS app_blank, "
+    f"{not_blank('imei')} AS has_imei FROM adlog WHERE {blank('adspacetypename')} OR {blank('appname')}")
+ORACLE["log_perturb"] = _perturb_sql(7)
+
+# sinks
+ORACLE["city_count_json"] = (f"WITH {ADLOG} SELECT count(*) AS ct, NULLIF(provincename, '') AS provincename, "
+                             "NULLIF(cityname, '') AS cityname FROM adlog GROUP BY provincename, cityname")
+ORACLE["report_text_lines"] = (f"WITH kpi AS ({ORACLE['kpi_by_location']}) "
+                               + _report_line(["provincename", "cityname"], "kpi"))
+ORACLE["report_text_lines_app"] = f"WITH kpi AS ({ORACLE['kpi_by_app']}) " + _report_line(["app"], "kpi")
+
+# geo
+ORACLE["geo_box_filter"] = f"WITH {ADLOG} SELECT sessionid, long, lat FROM adlog WHERE {IN_BOX}"
+ORACLE["geohash6_cells"] = (f"WITH {ADLOG} SELECT sessionid, {CELL} AS geohash6 FROM adlog WHERE {IN_BOX}")
+ORACLE["regeo_parse"] = (f"WITH {ADLOG}, {GEO} SELECT geohash6, response, {parse_areas('response')} "
+                         "AS business_areas FROM responses")
+ORACLE["business_tags"] = f"WITH {TAG_CTES} SELECT sessionid, kind, tag FROM t_biz"
+ORACLE["business_names_all"] = (
+    f"WITH {ADLOG}, {GEO} SELECT a.sessionid, a.geohash6, g.business_areas FROM "
+    f"(SELECT sessionid, {CELL_ALL} AS geohash6 FROM adlog) a LEFT JOIN geodim g ON a.geohash6 = g.geohash6")
+ORACLE["missing_geo_cells"] = (
+    f"WITH {ADLOG}, {GEO}, pts AS (SELECT {CELL} AS geohash6, {lenient_double('long')} AS lo, "
+    f"{lenient_double('lat')} AS la FROM adlog WHERE {IN_BOX}) "
+    "SELECT geohash6, first(lo ORDER BY lo, la) AS long, first(la ORDER BY lo, la) AS lat FROM pts "
+    "WHERE geohash6 NOT IN (SELECT geohash6 FROM geodim) GROUP BY geohash6")
+
+# tag families
+for key, table in [("ad_tags", "t_ad"), ("app_tags", "t_app"), ("device_tags", "t_dev"),
+                   ("location_tags", "t_loc"), ("keyword_tags", "t_kw")]:
+    ORACLE[key] = f"WITH {TAG_CTES} SELECT sessionid, kind, tag FROM {table}"
+ORACLE["row_tags_all"] = f"WITH {TAG_CTES} {_union(V1, 'sessionid, kind, tag')}"
+
+# profiles
+USER_WEIGHTS = (f"uw AS (SELECT user_key, tag, min(kind) AS kind, CAST(count(*) AS BIGINT) AS weight "
+                f"FROM ({_union(V1)}) t GROUP BY user_key, tag)")
+ORACLE["user_tag_weights"] = f"WITH {TAG_CTES}, {USER_WEIGHTS} SELECT * FROM uw"
+ORACLE["profile_rendered"] = (
+    f"WITH {TAG_CTES}, {USER_WEIGHTS}, ch AS ({_chunk('user_key', 'tag', 'uw')}) "
+    "SELECT user_key, chunk, count(*) AS n_tags, "
+    "string_agg('(' || tag || ',' || CAST(weight AS VARCHAR) || ')', ',' ORDER BY tag) AS tags "
+    "FROM ch GROUP BY user_key, chunk")
+
+# identity
+ORACLE["user_key"] = f"WITH {ADLOG} SELECT sessionid, {USER_KEY} AS user_key FROM adlog"
+ORACLE["all_ids"] = (
+    f"WITH {ADLOG}, l AS (SELECT sessionid, {_ids_list()} AS idl FROM adlog) SELECT sessionid, "
+    "array_to_string(list_filter(idl, lambda x, i: list_position(idl, x) = i), ',') AS ids FROM l")
+ORACLE["identity_vertices"] = f"WITH {TAG_CTES} SELECT DISTINCT unnest(idl) AS id FROM base"
+ORACLE["identity_edges"] = (f"WITH {TAG_CTES} SELECT DISTINCT idl[1] AS src, unnest(idl) AS dst FROM base "
+                            "WHERE len(idl) > 0")
+ORACLE["connected_components"] = f"WITH RECURSIVE {TAG_CTES}, {GRAPH} SELECT id, component FROM cc"
+ORACLE["event_component"] = f"WITH RECURSIVE {TAG_CTES}, {GRAPH} SELECT sessionid, component FROM rowcomp"
+ORACLE["component_profiles"] = (
+    f"WITH RECURSIVE {TAG_CTES}, {GRAPH} SELECT component, tag, min(kind) AS kind, "
+    "CAST(sum(weight) AS BIGINT) AS weight FROM ("
+    f"SELECT rc.component, t.kind, t.tag, 1 AS weight FROM ({_union(V2)}) t JOIN rowcomp rc USING (sessionid) "
+    "UNION ALL SELECT component, 'id', id, 0 FROM cc) x GROUP BY component, tag")
+ORACLE["component_members"] = (
+    f"WITH RECURSIVE {TAG_CTES}, {GRAPH}, ch AS ({_chunk('component', 'id', 'cc')}) "
+    "SELECT component, chunk, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS members "
+    "FROM ch GROUP BY component, chunk")

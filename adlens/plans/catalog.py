@@ -9,9 +9,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from adlens import schema as S
+from adlens.functions.geocode import parse_business_areas
+from adlens.functions.scalar import in_geo_box, is_blank, lenient_double, lenient_int, not_blank
+from adlens.operators import geo as G
+from adlens.operators import identity as Ident
+from adlens.operators.dimensions import resolve_app_name
+from adlens.operators.merge import profile_chunks
+from adlens.operators.perturb import perturb_lines
+from adlens.operators.tags import FAMILIES_V1, TagContext, row_tags
+from adlens.plans import profiles as P
 from adlens.plans import reports as R
+from adlens.session import scratch_path
 from adlens.sources import derived as D
+from adlens.sources.dictionaries import parse_app_dict, stopwords_frame
+from adlens.sources.rawlog import read_raw_log, type_log
+from adlens.sources.sinks import read_log, report_lines, write_log, write_partitioned_json
+
+ID_COLS = [c for c, _ in S.ID_COLUMNS]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +79,228 @@ def q_kpi_by_channel(spark, sf_dir):
 @register("city_count")
 def q_city_count(spark, sf_dir):
     return R.report_city_count(_log(spark, sf_dir))
+
+
+# --- shared derived inputs -------------------------------------------------------
+def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
+    return parse_app_dict(D.app_dict_lines(spark, sf_dir), keep_trailing)
+
+
+def _geo_responses(spark, sf_dir) -> DataFrame:
+    """Stored geocoder responses: one per distinct in-box cell of the log that was geocoded."""
+    cells = G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct()
+    return cells.select(G.CELL, F.expr(D.geo_response_expr(G.CELL)).alias("response")) \
+                .filter(F.col("response").isNotNull())
+
+
+def _geo_dim(spark, sf_dir) -> DataFrame:
+    return G.geo_dimension(_geo_responses(spark, sf_dir))
+
+
+def _ctx(spark, sf_dir, stop_as_frame: bool = False, with_geo: bool = True) -> TagContext:
+    stop = (stopwords_frame(spark, D.FIXTURE_STOP_WORDS) if stop_as_frame
+            else list(D.FIXTURE_STOP_WORDS))
+    return TagContext(app_dict=_app_dict(spark, sf_dir, False), stop_words=stop,
+                      geo_dim=_geo_dim(spark, sf_dir) if with_geo else None)
+
+
+def _raw_fields(spark, sf_dir) -> DataFrame:
+    return read_raw_log(spark, D.raw_log_path(spark, sf_dir))
+
+
+# --- ingest: S1-S5, C1-C3 ------------------------------------------------------------
+@register("raw_log_parse")
+def q_raw_log_parse(spark, sf_dir):
+    f = F.col("fields")
+    return _raw_fields(spark, sf_dir).select(
+        F.size(f).alias("n_fields"), f[0].alias("f_sessionid"), f[22].alias("f_long"),
+        f[80].alias("f_keywords"), f[84].alias("f_last"))
+
+
+@register("raw_log_typed")
+def q_raw_log_typed(spark, sf_dir):
+    return type_log(_raw_fields(spark, sf_dir))
+
+
+@register("log_roundtrip")
+def q_log_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "adlog")
+    write_log(_log(spark, sf_dir), path)
+    return read_log(spark, path)
+
+
+@register("app_dict_dim")
+def q_app_dict_dim(spark, sf_dir):
+    return _app_dict(spark, sf_dir, True)
+
+
+@register("app_dict_dim_tags")
+def q_app_dict_dim_tags(spark, sf_dir):
+    return _app_dict(spark, sf_dir, False)
+
+
+@register("lenient_int_cast")
+def q_lenient_int_cast(spark, sf_dir):
+    f = F.col("fields")
+    return _raw_fields(spark, sf_dir).select(
+        f[0].alias("f_sessionid"), f[1].alias("raw"), lenient_int(f[1]).alias("as_int"),
+        lenient_int(f[9]).alias("price_as_int"), lenient_int(f[8]).alias("mode_as_int"))
+
+
+@register("lenient_double_cast")
+def q_lenient_double_cast(spark, sf_dir):
+    f = F.col("fields")
+    return _raw_fields(spark, sf_dir).select(
+        f[0].alias("f_sessionid"), f[9].alias("raw"), lenient_double(f[9]).alias("as_double"),
+        lenient_double(f[1]).alias("id_as_double"), lenient_double(f[23]).alias("lat_as_double"))
+
+
+@register("blank_filter")
+def q_blank_filter(spark, sf_dir):
+    return _log(spark, sf_dir).filter(is_blank("adspacetypename") | is_blank("appname")).select(
+        "sessionid", is_blank("adspacetypename").alias("name_blank"),
+        is_blank("appname").alias("app_blank"), not_blank("imei").alias("has_imei"))
+
+
+# --- sinks: S7, S8, S10 --------------------------------------------------------------------
+@register("city_count_json")
+def q_city_count_json(spark, sf_dir):
+    path = scratch_path(spark, "city_count_json")
+    write_partitioned_json(R.report_city_count(_log(spark, sf_dir)), ["provincename", "cityname"], path)
+    return spark.read.schema("ct bigint, provincename string, cityname string").json(path)
+
+
+@register("report_text_lines")
+def q_report_text_lines(spark, sf_dir):
+    return report_lines(R.report_location(_log(spark, sf_dir)), ["provincename", "cityname"])
+
+
+@register("report_text_lines_app")
+def q_report_text_lines_app(spark, sf_dir):
+    rep = R.report_app(_log(spark, sf_dir), _app_dict(spark, sf_dir, True))
+    return report_lines(rep, ["app"])
+
+
+@register("profile_rendered")
+def q_profile_rendered(spark, sf_dir):
+    return profile_chunks(P.user_profiles(_log(spark, sf_dir), _ctx(spark, sf_dir)), "user_key")
+
+
+# --- reports needing the dictionary: K8, J1 ------------------------------------------------
+@register("kpi_by_app")
+def q_kpi_by_app(spark, sf_dir):
+    return R.report_app(_log(spark, sf_dir), _app_dict(spark, sf_dir, True))
+
+
+@register("resolve_app_name")
+def q_resolve_app_name(spark, sf_dir):
+    log = _log(spark, sf_dir).select("sessionid", "appid", "appname")
+    return resolve_app_name(log, _app_dict(spark, sf_dir, True)).select("sessionid", "app")
+
+
+# --- geo: C8, C9, C13, J3, J4, T5, P7 ------------------------------------------------------------
+@register("geo_box_filter")
+def q_geo_box_filter(spark, sf_dir):
+    return _log(spark, sf_dir).filter(in_geo_box("long", "lat")).select("sessionid", "long", "lat")
+
+
+@register("geohash6_cells")
+def q_geohash6_cells(spark, sf_dir):
+    return G.in_box_cells(_log(spark, sf_dir).select("sessionid", "long", "lat")).select("sessionid", G.CELL)
+
+
+@register("regeo_parse")
+def q_regeo_parse(spark, sf_dir):
+    return _geo_responses(spark, sf_dir).select(
+        G.CELL, "response", parse_business_areas("response").alias("business_areas"))
+
+
+@register("business_tags")
+def q_business_tags(spark, sf_dir):
+    ctx = _ctx(spark, sf_dir)
+    return row_tags(_log(spark, sf_dir), ["business"], ctx, ["sessionid"])
+
+
+@register("business_names_all")
+def q_business_names_all(spark, sf_dir):
+    return G.lookup_business(_log(spark, sf_dir).select("sessionid", "long", "lat"),
+                             _geo_dim(spark, sf_dir), box_filter=False) \
+            .select("sessionid", G.CELL, "business_areas")
+
+
+@register("missing_geo_cells")
+def q_missing_geo_cells(spark, sf_dir):
+    return G.missing_cells(_log(spark, sf_dir).select("long", "lat"), _geo_dim(spark, sf_dir))
+
+
+# --- tag families: T1-T7, J2 ---------------------------------------------------------------------
+def _family_query(families, stop_as_frame=False):
+    def q(spark, sf_dir):
+        ctx = _ctx(spark, sf_dir, stop_as_frame, with_geo="business" in families)
+        return row_tags(_log(spark, sf_dir), families, ctx, ["sessionid"])
+    return q
+
+
+register("ad_tags")(_family_query(["ad"]))
+register("app_tags")(_family_query(["app"]))
+register("device_tags")(_family_query(["device"]))
+register("location_tags")(_family_query(["location"]))
+register("keyword_tags")(_family_query(["keyword"], stop_as_frame=True))
+register("row_tags_all")(_family_query(FAMILIES_V1))
+
+
+# --- profiles and identity: K11-K13, I1-I5, J5 ------------------------------------------------------
+@register("user_tag_weights")
+def q_user_tag_weights(spark, sf_dir):
+    return P.user_profiles(_log(spark, sf_dir), _ctx(spark, sf_dir))
+
+
+@register("user_key")
+def q_user_key(spark, sf_dir):
+    return _log(spark, sf_dir).select("sessionid", Ident.user_key().alias("user_key"))
+
+
+@register("all_ids")
+def q_all_ids(spark, sf_dir):
+    return _log(spark, sf_dir).select("sessionid", F.array_join(Ident.all_ids(), ",").alias("ids"))
+
+
+@register("identity_vertices")
+def q_identity_vertices(spark, sf_dir):
+    return Ident.vertices(Ident.with_ids(_log(spark, sf_dir)))
+
+
+@register("identity_edges")
+def q_identity_edges(spark, sf_dir):
+    return Ident.edges(Ident.with_ids(_log(spark, sf_dir)))
+
+
+@register("connected_components")
+def q_connected_components(spark, sf_dir):
+    return P.resolve_identities(_log(spark, sf_dir))
+
+
+@register("event_component")
+def q_event_component(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    labels = P.resolve_identities(log)
+    return Ident.attach_component(Ident.with_ids(log.select("sessionid", *ID_COLS)), labels,
+                                  keep=["sessionid"])
+
+
+@register("component_profiles")
+def q_component_profiles(spark, sf_dir):
+    return P.person_profiles(_log(spark, sf_dir), _ctx(spark, sf_dir, with_geo=False))
+
+
+@register("component_members")
+def q_component_members(spark, sf_dir):
+    labels = P.resolve_identities(_log(spark, sf_dir))
+    return P.component_members(labels).select(
+        "component", "chunk", "n_items", F.array_join("members", ",").alias("members"))
+
+
+# --- perturbation: C15 / P6 ---------------------------------------------------------------------------
+@register("log_perturb")
+def q_log_perturb(spark, sf_dir):
+    return perturb_lines(D.raw_lines(spark, sf_dir), seed=7)

@@ -106,7 +106,14 @@ def derived_log_sql(source: str = "events") -> str:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    """The events table. A table stored in fewer splits than there are cores (one row group
+    here) is spread round-robin so the per-row work runs on every core; a large table,
+    already split into many scan tasks, is read as is."""
+    events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores)
+    return events
 
 
 def derived_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,21 +153,36 @@ def _raw_field_exprs() -> list[str]:
 
 
 def raw_line_sql(source: str = "events") -> str:
-    """One text line per event; every 10th event has fewer fields, every 7th has extras."""
-    fields = _raw_field_exprs()
-    full = "concat_ws(',', " + ", ".join(fields) + ")"
-    short = "concat_ws(',', " + ", ".join(fields[:84]) + ")"
+    """One text line per event; every 10th event lacks its last field, every 7th has extras."""
+    full = "concat_ws(',', " + ", ".join(_raw_field_exprs()) + ")"
     return (
-        f"SELECT {E} AS line_no, CASE WHEN {E} % 10 = 9 THEN {short} "
-        f"WHEN {E} % 7 = 3 THEN concat({full}, ',extra,') ELSE {full} END AS value FROM {source}"
+        f"SELECT line_no, CASE WHEN line_no % 10 = 9 THEN regexp_replace(full_line, ',[^,]*$', '') "
+        f"WHEN line_no % 7 = 3 THEN concat(full_line, ',extra,') ELSE full_line END AS value "
+        f"FROM (SELECT {E} AS line_no, {full} AS full_line FROM {source}) AS raw"
     )
 
 
+_RAW_PATHS: dict[tuple[int, str], str] = {}
+
+
+def raw_log_path(spark: SparkSession, sf_dir: str) -> str:
+    """Text files holding one raw line per event, written once per session to the scratch
+    folder (the way a raw log arrives: text files read by ``spark.read.text``)."""
+    from adlens.session import scratch_path
+
+    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    if key not in _RAW_PATHS:
+        events = read_events(spark, sf_dir)
+        events.createOrReplaceTempView("adlens_events_src")
+        path = scratch_path(spark, "raw_log")
+        spark.sql(raw_line_sql("adlens_events_src")).select("value").write.text(path)
+        _RAW_PATHS[key] = path
+    return _RAW_PATHS[key]
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(line_no, value) text lines; same shape as ``spark.read.text`` plus a line order."""
-    events = read_events(spark, sf_dir)
-    events.createOrReplaceTempView("adlens_events_src")
-    return spark.sql(raw_line_sql("adlens_events_src"))
+    """``value`` text lines of the raw log derived from ``events``."""
+    return spark.read.text(raw_log_path(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
