@@ -48,7 +48,9 @@ def geo_dimension(responses: DataFrame, cell_col: str = CELL,
     """Cache table from stored responses: only non-empty results are cached."""
     parsed = (responses.select(F.col(cell_col).alias(CELL), parse_response(response_col).alias("__p"))
                        .select(CELL, business_areas_from_parsed(F.col("__p")).alias("business_areas")))
-    return parsed.filter(F.col("business_areas") != "").dropDuplicates([CELL])
+    # Filter after the de-duplication so the predicate is not pushed below it.
+    return (parsed.groupBy(CELL).agg(F.max("business_areas").alias("business_areas"))
+                  .filter(F.col("business_areas") != ""))
 
 
 def lookup_business(df: DataFrame, geo_dim: DataFrame, box_filter: bool = True,

@@ -86,11 +86,23 @@ def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
     return parse_app_dict(D.app_dict_lines(spark, sf_dir), keep_trailing)
 
 
+_RESPONSE_PATHS: dict[tuple[int, str], str] = {}
+
+
 def _geo_responses(spark, sf_dir) -> DataFrame:
-    """Stored geocoder responses: one per distinct in-box cell of the log that was geocoded."""
-    cells = G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct()
-    return cells.select(G.CELL, F.expr(D.geo_response_expr(G.CELL)).alias("response")) \
-                .filter(F.col("response").isNotNull())
+    """Stored geocoder responses: one per distinct in-box cell of the log that was geocoded.
+
+    Written once per session as a Parquet table (responses are stored data, not a view), so
+    later filters and joins read a table instead of re-deriving cells from the log.
+    """
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _RESPONSE_PATHS:
+        cells = G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct()
+        path = scratch_path(spark, "geo_responses")
+        cells.select(G.CELL, F.expr(D.geo_response_expr(G.CELL)).alias("response")) \
+             .filter(F.col("response").isNotNull()).write.parquet(path)
+        _RESPONSE_PATHS[key] = path
+    return spark.read.parquet(_RESPONSE_PATHS[key])
 
 
 def _geo_dim(spark, sf_dir) -> DataFrame:
