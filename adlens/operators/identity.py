@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adlens import schema as S
 from adlens.functions.scalar import not_blank
+from adlens.operators.dimensions import DEFAULT_MAX_BROADCAST_ROWS
 
 
 def _prefixed_ids() -> list[Column]:
@@ -40,10 +41,17 @@ def edges(df_ids: DataFrame, ids_col: str = "ids") -> DataFrame:
 
 
 def attach_component(df_ids: DataFrame, labels: DataFrame, ids_col: str = "ids",
-                     keep: list[str] | None = None) -> DataFrame:
-    """Each row with ids gets the component of its first id (inner join on that id)."""
+                     keep: list[str] | None = None,
+                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Each row with ids gets the component of its first id (inner join on that id).
+
+    The labels table has one row per id. It is broadcast when its counted size is within
+    the bound; otherwise the join is a sort-merge join on the head id (never a broadcast of
+    the log side), where AQE splits a hot head id (a placeholder device id) across tasks.
+    """
     rows = df_ids.filter(F.size(ids_col) > 0).withColumn("__head", F.col(ids_col)[0])
     lab = labels.select(F.col("id").alias("__head"), "component")
+    lab = F.broadcast(lab) if lab.count() <= max_broadcast_rows else lab.hint("merge")
     out = rows.join(lab, "__head", "inner")
     cols = keep if keep is not None else [c for c in df_ids.columns]
     return out.select(*cols, "component")

@@ -19,14 +19,15 @@ DEFAULT_CHUNK_SIZE = 10_000
 
 
 def merge_tags(long_df: DataFrame, key: str | list[str], weight_col: str | None = None) -> DataFrame:
-    """``(key, tag, kind, weight BIGINT)`` summed over all occurrences.
+    """``(key, kind, tag, weight BIGINT)`` summed over all occurrences.
 
-    Tags merge by their text, as the platform does; ``kind`` names the family of the tag
-    (families have distinct prefixes, only unprefixed business names could meet another).
+    Tags merge by their text within a family. Families carry distinct prefixes, so a tag
+    text belongs to one family; keeping ``kind`` in the key keeps every aggregation buffer
+    fixed-width, so Spark plans a hash aggregate with a map-side partial step.
     """
     keys = [key] if isinstance(key, str) else list(key)
     w = F.lit(1).cast("bigint") if weight_col is None else F.col(weight_col).cast("bigint")
-    return long_df.groupBy(*keys, "tag").agg(F.min("kind").alias("kind"), F.sum(w).alias("weight"))
+    return long_df.groupBy(*keys, "kind", "tag").agg(F.sum(w).alias("weight"))
 
 
 def chunked_collect(df: DataFrame, keys: list[str], item: Column, sort_key: Column,

@@ -304,8 +304,8 @@ for key, table in [("ad_tags", "t_ad"), ("app_tags", "t_app"), ("device_tags", "
 ORACLE["row_tags_all"] = f"WITH {TAG_CTES} {_union(V1, 'sessionid, kind, tag')}"
 
 # profiles
-USER_WEIGHTS = (f"uw AS (SELECT user_key, tag, min(kind) AS kind, CAST(count(*) AS BIGINT) AS weight "
-                f"FROM ({_union(V1)}) t GROUP BY user_key, tag)")
+USER_WEIGHTS = (f"uw AS (SELECT user_key, kind, tag, CAST(count(*) AS BIGINT) AS weight "
+                f"FROM ({_union(V1)}) t GROUP BY user_key, kind, tag)")
 ORACLE["user_tag_weights"] = f"WITH {TAG_CTES}, {USER_WEIGHTS} SELECT * FROM uw"
 ORACLE["profile_rendered"] = (
     f"WITH {TAG_CTES}, {USER_WEIGHTS}, ch AS ({_chunk('user_key', 'tag', 'uw')}) "
@@ -324,10 +324,10 @@ ORACLE["identity_edges"] = (f"WITH {TAG_CTES} SELECT DISTINCT idl[1] AS src, unn
 ORACLE["connected_components"] = f"WITH RECURSIVE {TAG_CTES}, {GRAPH} SELECT id, component FROM cc"
 ORACLE["event_component"] = f"WITH RECURSIVE {TAG_CTES}, {GRAPH} SELECT sessionid, component FROM rowcomp"
 ORACLE["component_profiles"] = (
-    f"WITH RECURSIVE {TAG_CTES}, {GRAPH} SELECT component, tag, min(kind) AS kind, "
+    f"WITH RECURSIVE {TAG_CTES}, {GRAPH} SELECT component, kind, tag, "
     "CAST(sum(weight) AS BIGINT) AS weight FROM ("
     f"SELECT rc.component, t.kind, t.tag, 1 AS weight FROM ({_union(V2)}) t JOIN rowcomp rc USING (sessionid) "
-    "UNION ALL SELECT component, 'id', id, 0 FROM cc) x GROUP BY component, tag")
+    "UNION ALL SELECT component, 'id', id, 0 FROM cc) x GROUP BY component, kind, tag")
 ORACLE["component_members"] = (
     f"WITH RECURSIVE {TAG_CTES}, {GRAPH}, ch AS ({_chunk('component', 'id', 'cc')}) "
     "SELECT component, chunk, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS members "
