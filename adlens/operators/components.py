@@ -36,17 +36,18 @@ class ComponentsDidNotConverge(RuntimeError):
 def symmetric_edges(edges: DataFrame, vertices: DataFrame | None = None,
                     src: str = "src", dst: str = "dst", id_col: str = "id") -> DataFrame:
     """Distinct directed pairs (a, b) of the undirected graph, with a self-loop per vertex."""
-    e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(
-        F.col("a").isNotNull() & F.col("b").isNotNull())
-    parts = [e, e.select(F.col("b").alias("a"), F.col("a").alias("b")),
-             e.select("a", F.col("a").alias("b")), e.select(F.col("b").alias("a"), "b")]
+    a, b = F.col(src), F.col(dst)
+
+    def pair(x, y):
+        return F.struct(x.alias("a"), y.alias("b"))
+    # One pass over the edge list emits both directions and both self-loops.
+    e = (edges.filter(a.isNotNull() & b.isNotNull())
+              .select(F.explode(F.array(pair(a, b), pair(b, a), pair(a, a), pair(b, b))).alias("p"))
+              .select("p.a", "p.b"))
     if vertices is not None:
         v = vertices.select(F.col(id_col).alias("a")).filter(F.col("a").isNotNull())
-        parts.append(v.select("a", F.col("a").alias("b")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+        e = e.unionByName(v.select("a", F.col("a").alias("b")))
+    return e.distinct()
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None,

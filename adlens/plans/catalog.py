@@ -136,8 +136,8 @@ def q_raw_log_typed(spark, sf_dir):
 
 @register("log_roundtrip")
 def q_log_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "adlog")
-    write_log(_log(spark, sf_dir), path)
+    path = scratch_path(spark, "adlog_roundtrip")
+    write_log(D.derived_log_frame(spark, sf_dir), path)
     return read_log(spark, path)
 
 

@@ -116,12 +116,33 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events
 
 
-def derived_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 85-column typed ad-log, one row per event. Column pruning reaches the scan."""
+def derived_log_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 85-column typed ad-log computed on the fly from ``events``."""
     events = read_events(spark, sf_dir)
     return events.selectExpr(*[f"{expr} AS {name}" for name, expr in derived_log_exprs()])
 
 
+_LOG_PATHS: dict[tuple[int, str], str] = {}
+
+
+def log_table_path(spark: SparkSession, sf_dir: str) -> str:
+    """The derived ad-log written once per session as Snappy Parquet in the scratch folder,
+    the way the platform's jobs read the ETL output (a Parquet log table)."""
+    from adlens.session import scratch_path
+
+    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    if key not in _LOG_PATHS:
+        path = scratch_path(spark, "adlog")
+        derived_log_frame(spark, sf_dir).write.option("compression", "snappy").parquet(path)
+        _LOG_PATHS[key] = path
+    return _LOG_PATHS[key]
+
+
+def derived_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 85-column typed ad-log table (scan with pruning and filter pushdown)."""
+    return spark.read.schema(S.LOG_SCHEMA).parquet(log_table_path(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # Raw text lines (input of the ETL): the derived log rendered as comma-separated fields.
 # ---------------------------------------------------------------------------
