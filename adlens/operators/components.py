@@ -57,10 +57,11 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
     """``(id, component)`` for every vertex of ``edges`` (and of ``vertices`` if given)."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    sym = symmetric_edges(edges, vertices, src, dst, id_col).repartition("a").checkpoint(eager=True)
+    # Checkpointed as produced by the distinct, i.e. spread by (a, b): a hub id is not
+    # concentrated in one partition, and every join below shuffles, so AQE can split it.
+    sym = symmetric_edges(edges, vertices, src, dst, id_col).checkpoint(eager=True)
 
-    labels = sym.groupBy("a").agg(F.min("b").alias("label")).select(
-        F.col("a").alias("id"), "label").checkpoint(eager=True)
+    labels = sym.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("id"), "label")
     rounds = 0
     while True:
         rounds += 1
