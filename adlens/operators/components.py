@@ -13,6 +13,10 @@ Labels only decrease; the loop stops after the first round in which no label cha
 boolean reaches the driver per round). Every round's labels are checkpointed to the
 reliable checkpoint folder, which cuts the lineage and survives the loss of executors.
 
+String ids are encoded as order-preserving BIGINT codes first, so the rounds shuffle
+8-byte keys and compute ``min`` in hash aggregates (a string ``min`` forces a sort-based
+aggregate); the component label is decoded back to the smallest original id.
+
 Skew: a hub vertex (a placeholder id shared by a third of all rows) makes the edge side of
 the propagation join skewed and the pointer-jumping join skewed on the giant component's
 label; both are sort-merge joins that AQE's skew handling splits, and both aggregations are
@@ -23,10 +27,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlens.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_ROUNDS = 200
+# Below this many directed pairs the one-off cost of encoding (a sort and four joins)
+# outweighs the cheaper rounds, so small graphs keep their ids.
+ENCODE_MIN_PAIRS = 5_000_000
 
 
 class ComponentsDidNotConverge(RuntimeError):
@@ -50,17 +58,18 @@ def symmetric_edges(edges: DataFrame, vertices: DataFrame | None = None,
     return e.distinct()
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
-                         src: str = "src", dst: str = "dst", id_col: str = "id",
-                         max_rounds: int = DEFAULT_MAX_ROUNDS,
-                         stats: dict | None = None) -> DataFrame:
-    """``(id, component)`` for every vertex of ``edges`` (and of ``vertices`` if given)."""
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Checkpointed as produced by the distinct, i.e. spread by (a, b): a hub id is not
-    # concentrated in one partition, and every join below shuffles, so AQE can split it.
-    sym = symmetric_edges(edges, vertices, src, dst, id_col).checkpoint(eager=True)
+def encode_ids(sym: DataFrame) -> DataFrame:
+    """``(id, vid)``: an order-preserving BIGINT code for every vertex.
+
+    The distinct ids are range-sorted and numbered with ``monotonically_increasing_id``
+    (partition index in the high bits, position in the sorted partition below), so
+    ``vid`` order equals id order; the table is checkpointed so the numbering is stable.
+    """
+    return (sym.select(F.col("a").alias("id")).distinct().orderBy("id")
+               .withColumn("vid", F.monotonically_increasing_id()).checkpoint(eager=True))
+
 
+def _propagate(sym: DataFrame, max_rounds: int, stats: dict | None) -> DataFrame:
     labels = sym.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("id"), "label")
     rounds = 0
     while True:
@@ -81,4 +90,37 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
             break
     if stats is not None:
         stats["rounds"] = rounds
-    return labels.select("id", F.col("label").alias("component"))
+    return labels
+
+
+def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
+                         src: str = "src", dst: str = "dst", id_col: str = "id",
+                         max_rounds: int = DEFAULT_MAX_ROUNDS,
+                         stats: dict | None = None, encode: bool | None = None) -> DataFrame:
+    """``(id, component)`` for every vertex of ``edges`` (and of ``vertices`` if given).
+
+    Non-integral ids (strings) of a large graph are first replaced by order-preserving
+    BIGINT codes (``encode_ids``), so every round shuffles 8-byte keys and aggregates ``min``
+    in a hash aggregate; the labels are decoded back at the end. ``encode`` forces the choice.
+    """
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    # Checkpointed as produced by the distinct, i.e. spread by (a, b): a hub id is not
+    # concentrated in one partition, and every join below shuffles, so AQE can split it.
+    sym = symmetric_edges(edges, vertices, src, dst, id_col).checkpoint(eager=True)
+    if encode is None:
+        encode = (not isinstance(sym.schema["a"].dataType, T.IntegralType)
+                  and sym.count() > ENCODE_MIN_PAIRS)
+    if not encode:
+        labels = _propagate(sym, max_rounds, stats)
+        return labels.select("id", F.col("label").alias("component"))
+    codes = encode_ids(sym)
+    coded = (sym.join(codes.select(F.col("id").alias("a"), F.col("vid").alias("la")), "a")
+                .join(codes.select(F.col("id").alias("b"), F.col("vid").alias("lb")), "b")
+                .select(F.col("la").alias("a"), F.col("lb").alias("b"))
+                .checkpoint(eager=True))
+    labels = _propagate(coded, max_rounds, stats)
+    by_vid = codes.select(F.col("vid").alias("id"), F.col("id").alias("orig"))
+    by_label = codes.select(F.col("vid").alias("label"), F.col("id").alias("component"))
+    return (labels.join(by_vid, "id").join(by_label, "label")
+                  .select(F.col("orig").alias("id"), "component"))

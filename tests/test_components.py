@@ -85,3 +85,13 @@ def test_hub_vertex(spark):
     edges = [("hub", f"id{i:04d}") for i in range(2000)] + [("x", "y")]
     got = _labels(connected_components(spark.createDataFrame(edges, "src string, dst string")))
     assert got["hub"] == "hub" and got["id0007"] == "hub" and got["y"] == "x"
+
+
+def test_encoded_path_matches(spark):
+    rng = random.Random(11)
+    nodes = [f"id{i:03d}" for i in range(150)]
+    edges = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(120)] + [("hub", n) for n in nodes[:40]]
+    expect = _union_find(edges)
+    df = spark.createDataFrame(edges, "src string, dst string")
+    assert _labels(connected_components(df, encode=True)) == expect
+    assert _labels(connected_components(df, encode=False)) == expect
