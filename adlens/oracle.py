@@ -257,7 +257,7 @@ ORACLE["resolve_app_name"] = (f"WITH {ADLOG}, {APPDICT_R} SELECT a.sessionid, {A
                               "FROM adlog a LEFT JOIN appdict_r d ON a.appid = d.appid")
 
 # ingest
-ORACLE["raw_log_parse"] = (f"WITH {RAW} SELECT len(f) AS n_fields, f[1] AS f_sessionid, f[23] AS f_long, "
+ORACLE["raw_log_parse"] = (f"WITH {RAW} SELECT CAST(len(f) AS INTEGER) AS n_fields, f[1] AS f_sessionid, f[23] AS f_long, "
                            "f[81] AS f_keywords, f[85] AS f_last FROM fields WHERE len(f) >= 85")
 ORACLE["raw_log_typed"] = f"WITH {RAW} SELECT {_typed_select()} FROM fields WHERE len(f) >= 85"
 ORACLE["log_roundtrip"] = f"WITH {ADLOG} SELECT * FROM adlog"
