@@ -82,10 +82,24 @@ def q_city_count(spark, sf_dir):
 
 
 # --- shared derived inputs -------------------------------------------------------
-def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
+def _parse_app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
     return parse_app_dict(D.app_dict_lines(spark, sf_dir), keep_trailing)
 
 
+_DICT_PATHS: dict[tuple[int, str, bool], str] = {}
+
+
+def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
+    """The parsed dictionary, stored once per session (a dictionary is a small input file
+    that every report and tag job loads; the parse itself is checked by app_dict_dim*)."""
+    key = (id(spark._jsparkSession), sf_dir, keep_trailing)
+    if key not in _DICT_PATHS:
+        path = scratch_path(spark, "app_dict")
+        _parse_app_dict(spark, sf_dir, keep_trailing).write.parquet(path)
+        _DICT_PATHS[key] = path
+    return spark.read.parquet(_DICT_PATHS[key])
+
+
 _RESPONSE_PATHS: dict[tuple[int, str], str] = {}
 
 
@@ -143,12 +157,12 @@ def q_log_roundtrip(spark, sf_dir):
 
 @register("app_dict_dim")
 def q_app_dict_dim(spark, sf_dir):
-    return _app_dict(spark, sf_dir, True)
+    return _parse_app_dict(spark, sf_dir, True)
 
 
 @register("app_dict_dim_tags")
 def q_app_dict_dim_tags(spark, sf_dir):
-    return _app_dict(spark, sf_dir, False)
+    return _parse_app_dict(spark, sf_dir, False)
 
 
 @register("lenient_int_cast")
