@@ -294,7 +294,7 @@ ORACLE["business_names_all"] = (
 ORACLE["missing_geo_cells"] = (
     f"WITH {ADLOG}, {GEO}, pts AS (SELECT {CELL} AS geohash6, {lenient_double('long')} AS lo, "
     f"{lenient_double('lat')} AS la FROM adlog WHERE {IN_BOX}) "
-    "SELECT geohash6, first(lo ORDER BY lo, la) AS long, first(la ORDER BY lo, la) AS lat FROM pts "
+    "SELECT geohash6, min(lo) AS long, min(la) AS lat FROM pts "
     "WHERE geohash6 NOT IN (SELECT geohash6 FROM geodim) GROUP BY geohash6")
 
 # tag families
