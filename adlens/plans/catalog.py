@@ -24,6 +24,7 @@ from adlens.plans import profiles as P
 from adlens.plans import reports as R
 from adlens.session import scratch_path
 from adlens.sources import derived as D
+from adlens.sources.derived import session_key
 from adlens.sources.dictionaries import parse_app_dict, stopwords_frame
 from adlens.sources.rawlog import read_raw_log, type_log
 from adlens.sources.sinks import read_log, report_lines, write_log, write_partitioned_json
@@ -86,13 +87,13 @@ def _parse_app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
     return parse_app_dict(D.app_dict_lines(spark, sf_dir), keep_trailing)
 
 
-_DICT_PATHS: dict[tuple[int, str, bool], str] = {}
+_DICT_PATHS: dict[tuple[str, str, bool], str] = {}
 
 
 def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
     """The parsed dictionary, stored once per session (a dictionary is a small input file
     that every report and tag job loads; the parse itself is checked by app_dict_dim*)."""
-    key = (id(spark._jsparkSession), sf_dir, keep_trailing)
+    key = (session_key(spark), sf_dir, keep_trailing)
     if key not in _DICT_PATHS:
         path = scratch_path(spark, "app_dict")
         _parse_app_dict(spark, sf_dir, keep_trailing).write.parquet(path)
@@ -100,7 +101,7 @@ def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
     return spark.read.parquet(_DICT_PATHS[key])
 
 
-_RESPONSE_PATHS: dict[tuple[int, str], str] = {}
+_RESPONSE_PATHS: dict[tuple[str, str], str] = {}
 
 
 def _geo_responses(spark, sf_dir) -> DataFrame:
@@ -109,7 +110,7 @@ def _geo_responses(spark, sf_dir) -> DataFrame:
     Written once per session as a Parquet table (responses are stored data, not a view), so
     later filters and joins read a table instead of re-deriving cells from the log.
     """
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _RESPONSE_PATHS:
         cells = G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct()
         path = scratch_path(spark, "geo_responses")

@@ -23,6 +23,11 @@ E = "event_id"
 U = "user_id"
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application: derived inputs are written once per application."""
+    return spark.sparkContext.applicationId
+
+
 def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
 
@@ -122,7 +127,7 @@ def derived_log_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.selectExpr(*[f"{expr} AS {name}" for name, expr in derived_log_exprs()])
 
 
-_LOG_PATHS: dict[tuple[int, str], str] = {}
+_LOG_PATHS: dict[tuple[str, str], str] = {}
 
 
 def log_table_path(spark: SparkSession, sf_dir: str) -> str:
@@ -130,7 +135,7 @@ def log_table_path(spark: SparkSession, sf_dir: str) -> str:
     the way the platform's jobs read the ETL output (a Parquet log table)."""
     from adlens.session import scratch_path
 
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    key = (session_key(spark), os.path.abspath(sf_dir))
     if key not in _LOG_PATHS:
         path = scratch_path(spark, "adlog")
         derived_log_frame(spark, sf_dir).write.option("compression", "snappy").parquet(path)
@@ -183,7 +188,7 @@ def raw_line_sql(source: str = "events") -> str:
     )
 
 
-_RAW_PATHS: dict[tuple[int, str], str] = {}
+_RAW_PATHS: dict[tuple[str, str], str] = {}
 
 
 def raw_log_path(spark: SparkSession, sf_dir: str) -> str:
@@ -191,7 +196,7 @@ def raw_log_path(spark: SparkSession, sf_dir: str) -> str:
     folder (the way a raw log arrives: text files read by ``spark.read.text``)."""
     from adlens.session import scratch_path
 
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    key = (session_key(spark), os.path.abspath(sf_dir))
     if key not in _RAW_PATHS:
         events = read_events(spark, sf_dir)
         events.createOrReplaceTempView("adlens_events_src")
