@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.scalar import md5_bucket
+from adlens.operators.dimensions import DEFAULT_MAX_BROADCAST_ROWS
 
 DEFAULT_CHUNK_SIZE = 10_000
 
@@ -31,17 +32,23 @@ def merge_tags(long_df: DataFrame, key: str | list[str], weight_col: str | None
 
 
 def chunked_collect(df: DataFrame, keys: list[str], item: Column, sort_key: Column,
-                    chunk_size: int = DEFAULT_CHUNK_SIZE, out_col: str = "items") -> DataFrame:
+                    chunk_size: int = DEFAULT_CHUNK_SIZE, out_col: str = "items",
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``(keys..., chunk, n_items, items)`` with each key's items split into bounded chunks.
 
     ``chunk`` = md5 bucket of ``sort_key`` among ``ceil(n / chunk_size)`` buckets, where ``n``
     is the key's item count; items inside a chunk are sorted by ``sort_key``. The count is a
-    partial aggregation and is joined back on the key (AQE splits a skewed key's side).
+    partial aggregation; only the hot keys' counts are joined back.
     """
     base = df.select(*keys, sort_key.alias("__sk"), item.alias("__item"))
-    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    n_chunks = F.greatest(F.ceil(F.col("__n") / F.lit(float(chunk_size))), F.lit(1))
-    with_chunk = base.join(sizes, keys, "inner").withColumn(
+    # Only hot keys (more than chunk_size items) need more than one chunk; there are at
+    # most items / chunk_size of them. They are counted and broadcast under the bound,
+    # else joined with a shuffle; every other key keeps chunk 0 without any join.
+    hot = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+               .filter(F.col("__n") > chunk_size))
+    hot = F.broadcast(hot) if hot.count() <= max_broadcast_rows else hot
+    n_chunks = F.greatest(F.ceil(F.coalesce(F.col("__n"), F.lit(1)) / F.lit(float(chunk_size))), F.lit(1))
+    with_chunk = base.join(hot, keys, "left").withColumn(
         "chunk", md5_bucket(F.col("__sk"), n_chunks).cast("int"))
     grouped = with_chunk.groupBy(*keys, "chunk").agg(
         F.count(F.lit(1)).alias("n_items"),
