@@ -10,22 +10,30 @@ from adlens.functions.scalar import not_blank
 from adlens.operators.dimensions import DEFAULT_MAX_BROADCAST_ROWS
 
 
-def _prefixed_ids() -> list[Column]:
-    return [F.when(not_blank(c), F.concat(F.lit(p), F.col(c))) for c, p in S.ID_COLUMNS]
-
-
-def user_key() -> Column:
+def _prefixed_ids(deny_ids: list[str] | None = None) -> list[Column]:
+    """Prefixed id per column, null when blank. Ids in ``deny_ids`` (prefixed placeholder
+    values such as an all-zero IMEI, which would fuse everybody into one person) are
+    treated like blank columns; the guard is off unless a deny-list is given."""
+    out = []
+    for c, p in S.ID_COLUMNS:
+        pid = F.concat(F.lit(p), F.col(c))
+        cond = not_blank(c) if not deny_ids else not_blank(c) & ~pid.isin(list(deny_ids))
+        out.append(F.when(cond, pid))
+    return out
+
+
+def user_key(deny_ids: list[str] | None = None) -> Column:
     """First non-blank id in priority order with its kind prefix, else the anonymous key."""
-    return F.coalesce(*_prefixed_ids(), F.lit(S.OTHER))
+    return F.coalesce(*_prefixed_ids(deny_ids), F.lit(S.OTHER))
 
 
-def all_ids() -> Column:
+def all_ids(deny_ids: list[str] | None = None) -> Column:
     """Every non-blank id of the row in priority order, duplicates removed."""
-    return F.array_distinct(F.array_compact(F.array(*_prefixed_ids())))
+    return F.array_distinct(F.array_compact(F.array(*_prefixed_ids(deny_ids))))
 
 
-def with_ids(df: DataFrame, out_col: str = "ids") -> DataFrame:
-    return df.withColumn(out_col, all_ids())
+def with_ids(df: DataFrame, out_col: str = "ids", deny_ids: list[str] | None = None) -> DataFrame:
+    return df.withColumn(out_col, all_ids(deny_ids))
 
 
 def vertices(df_ids: DataFrame, ids_col: str = "ids") -> DataFrame:

@@ -22,35 +22,38 @@ from adlens.operators.merge import chunked_collect, merge_tags, profile_chunks
 from adlens.operators.tags import FAMILIES_V1, FAMILIES_V2, TagContext, row_tags
 
 
-def user_tag_long(log: DataFrame, ctx: TagContext, families: list[str] = FAMILIES_V1) -> DataFrame:
+def user_tag_long(log: DataFrame, ctx: TagContext, families: list[str] = FAMILIES_V1,
+                  deny_ids: list[str] | None = None) -> DataFrame:
     """``(user_key, kind, tag)`` one row per tag occurrence."""
-    keyed = log.withColumn("user_key", I.user_key())
+    keyed = log.withColumn("user_key", I.user_key(deny_ids))
     return row_tags(keyed, families, ctx, ["user_key"])
 
 
-def user_profiles(log: DataFrame, ctx: TagContext, families: list[str] = FAMILIES_V1) -> DataFrame:
-    """``(user_key, tag, kind, weight)``."""
-    return merge_tags(user_tag_long(log, ctx, families), "user_key")
+def user_profiles(log: DataFrame, ctx: TagContext, families: list[str] = FAMILIES_V1,
+                  deny_ids: list[str] | None = None) -> DataFrame:
+    """``(user_key, kind, tag, weight)``."""
+    return merge_tags(user_tag_long(log, ctx, families, deny_ids), "user_key")
 
 
-def identity_graph(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+def identity_graph(log: DataFrame, deny_ids: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows with ``ids``, star edges)."""
-    with_ids = I.with_ids(log)
+    with_ids = I.with_ids(log, deny_ids=deny_ids)
     return with_ids, I.edges(with_ids)
 
 
-def resolve_identities(log: DataFrame, stats: dict | None = None) -> DataFrame:
+def resolve_identities(log: DataFrame, stats: dict | None = None,
+                       deny_ids: list[str] | None = None) -> DataFrame:
     """``(id, component)`` over the identity graph of the log."""
-    with_ids, edges = identity_graph(log.select(*[c for c, _ in S.ID_COLUMNS]))
+    with_ids, edges = identity_graph(log.select(*[c for c, _ in S.ID_COLUMNS]), deny_ids)
     return connected_components(edges, stats=stats)
 
 
 def person_profiles(log: DataFrame, ctx: TagContext, families: list[str] = FAMILIES_V2,
-                    labels: DataFrame | None = None) -> DataFrame:
-    """``(component, tag, kind, weight)`` including each id with weight 0."""
+                    labels: DataFrame | None = None, deny_ids: list[str] | None = None) -> DataFrame:
+    """``(component, kind, tag, weight)`` including each id with weight 0."""
     if labels is None:
-        labels = resolve_identities(log)
-    with_ids = I.with_ids(log)
+        labels = resolve_identities(log, deny_ids=deny_ids)
+    with_ids = I.with_ids(log, deny_ids=deny_ids)
     rows = I.attach_component(with_ids, labels, keep=[c for c in with_ids.columns if c != "ids"])
     tag_long = row_tags(rows, families, ctx, ["component"]).withColumn("weight", F.lit(1).cast("bigint"))
     id_long = labels.select("component", F.lit("id").alias("kind"), F.col("id").alias("tag"),

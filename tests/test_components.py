@@ -95,3 +95,18 @@ def test_encoded_path_matches(spark):
     df = spark.createDataFrame(edges, "src string, dst string")
     assert _labels(connected_components(df, encode=True)) == expect
     assert _labels(connected_components(df, encode=False)) == expect
+
+
+def test_deny_list_keeps_placeholder_ids_from_fusing_people(spark):
+    from adlens import schema as S
+    from adlens.plans.profiles import resolve_identities
+    defaults = {"S": "", "I": 0, "D": 0.0}
+    rows = []
+    for u in range(5):
+        r = {"imei": "000000000000000", "androidid": f"a{u}"}
+        rows.append(tuple(r.get(n, defaults[k]) for n, k in S.LOG_COLUMNS))
+    log = spark.createDataFrame(rows, S.LOG_SCHEMA)
+    fused = _labels(resolve_identities(log))
+    assert len(set(fused.values())) == 1
+    kept = _labels(resolve_identities(log, deny_ids=["IM000000000000000"]))
+    assert kept == {f"ADa{u}": f"ADa{u}" for u in range(5)}
