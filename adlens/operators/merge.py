@@ -57,8 +57,16 @@ def render_pairs(items: Column) -> Column:
         F.lit("("), x["tag"], F.lit(","), x["weight"].cast("string"), F.lit(")"))), ",")
 
 
-def profile_chunks(weights: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
-    """Rendered profile per key: ``(key, chunk, n_tags, tags)``, tags sorted by tag text."""
+def profile_chunks(weights: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
+                   materialize: bool = True) -> DataFrame:
+    """Rendered profile per key: ``(key, chunk, n_tags, tags)``, tags sorted by tag text.
+
+    The weights are read twice (item lists and per-key counts), so by default they are
+    checkpointed first to the reliable checkpoint folder: the upstream log scan and tag
+    aggregation then run once.
+    """
+    if materialize:
+        weights = weights.checkpoint(eager=True)
     item = F.struct(F.col("tag").alias("tag"), F.col("weight").alias("weight"))
     chunks = chunked_collect(weights, [key], item, F.col("tag"), chunk_size, "__items")
     return chunks.select(key, "chunk", F.col("n_items").alias("n_tags"),
