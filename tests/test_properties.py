@@ -35,3 +35,26 @@ def test_lenient_int_matches_java_model(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = [r[0] for r in df.select(lenient_int("v")).collect()]
     assert got == [_java_parse_int(v) for v in values]
+
+
+def _java_parse_double(s):
+    """Java Double.parseDouble on strings over [0-9.+-e ]: surrounding whitespace allowed,
+    optional sign, decimal digits with an optional point and exponent; anything else fails."""
+    import re
+    if s is None:
+        return 0.0
+    t = s.strip(" ")
+    if not re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?", t):
+        return 0.0
+    return float(t)
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789.+-e ", max_size=10),
+                          st.floats(allow_nan=False, allow_infinity=False).map(repr)),
+                min_size=50, max_size=200))
+def test_lenient_double_matches_java_model(spark, values):
+    from adlens.functions.scalar import lenient_double
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(lenient_double("v")).collect()]
+    assert got == [_java_parse_double(v) for v in values]
