@@ -2,7 +2,7 @@
 
 A dimension is broadcast only behind a size check: it is counted first (one number to the
 driver) and broadcast when the row count is within ``max_broadcast_rows``; otherwise the
-join is left to a shuffle join, where AQE may still pick a broadcast from runtime sizes.
+join is a sort-merge join on the key, where AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -20,9 +20,15 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 def join_dimension(big: DataFrame, dim: DataFrame, on, how: str = "left",
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                    known_small: bool = False) -> DataFrame:
-    """Join ``dim`` to ``big``; broadcast it only when its size is proven small."""
+    """Join ``dim`` to ``big``; broadcast it only when its size is proven small.
+
+    Above the bound the join is hinted as a sort-merge join, so a misestimated plan can
+    never broadcast the log side instead; AQE still splits skewed keys of that join.
+    """
     if known_small or dim.count() <= max_broadcast_rows:
         dim = F.broadcast(dim)
+    else:
+        dim = dim.hint("merge")
     return big.join(dim, on, how)
 
 
