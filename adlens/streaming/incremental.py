@@ -35,7 +35,13 @@ def kpi_report_stream(log_stream: DataFrame, dims: list) -> DataFrame:
 
 def user_profile_stream(log_stream: DataFrame, ctx: TagContext,
                         families: list[str] = FAMILIES_V1) -> DataFrame:
-    """Running tag weights per (user, kind, tag); dimensions in ``ctx`` are static tables."""
+    """Running tag weights per (user, kind, tag); dimensions in ``ctx`` are static tables.
+
+    The state holds one row per (user, kind, tag): it is the cumulative profile table
+    itself and grows with the number of users, not with the number of events. For
+    per-day profiles, run one query per day folder (or add the day to the grouping) so
+    old state can be dropped.
+    """
     return merge_tags(user_tag_long(log_stream, ctx, families), "user_key")
 
 
