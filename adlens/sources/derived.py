@@ -199,9 +199,8 @@ def raw_log_path(spark: SparkSession, sf_dir: str) -> str:
     key = (session_key(spark), os.path.abspath(sf_dir))
     if key not in _RAW_PATHS:
         events = read_events(spark, sf_dir)
-        events.createOrReplaceTempView("adlens_events_src")
         path = scratch_path(spark, "raw_log")
-        spark.sql(raw_line_sql("adlens_events_src")).select("value").write.text(path)
+        spark.sql(raw_line_sql("{src}"), src=events).select("value").write.text(path)
         _RAW_PATHS[key] = path
     return _RAW_PATHS[key]
 
@@ -229,8 +228,7 @@ def app_dict_line_sql(source: str = "events") -> str:
 
 def app_dict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_events(spark, sf_dir)
-    events.createOrReplaceTempView("adlens_events_src")
-    return spark.sql(app_dict_line_sql("adlens_events_src"))
+    return spark.sql(app_dict_line_sql("{src}"), src=events)
 
 
 # ---------------------------------------------------------------------------
