@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adlens import schema as S
 from adlens.functions.scalar import not_blank
-from adlens.operators.dimensions import DEFAULT_MAX_BROADCAST_ROWS
+from adlens.operators.dimensions import DEFAULT_MAX_BROADCAST_ROWS, is_broadcastable
 
 
 def _prefixed_ids(deny_ids: list[str] | None = None) -> list[Column]:
@@ -59,7 +59,7 @@ def attach_component(df_ids: DataFrame, labels: DataFrame, ids_col: str = "ids",
     """
     rows = df_ids.filter(F.size(ids_col) > 0).withColumn("__head", F.col(ids_col)[0])
     lab = labels.select(F.col("id").alias("__head"), "component")
-    lab = F.broadcast(lab) if lab.count() <= max_broadcast_rows else lab.hint("merge")
+    lab = F.broadcast(lab) if is_broadcastable(lab, max_broadcast_rows) else lab.hint("merge")
     out = rows.join(lab, "__head", "inner")
     cols = keep if keep is not None else [c for c in df_ids.columns]
     return out.select(*cols, "component")

@@ -39,3 +39,19 @@ def test_dimension_not_broadcast_above_bound(spark):
     plan = join_dimension(big, dim, "k", "left", max_broadcast_rows=5)._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert "broadcast" not in plan.lower()
+
+
+def test_measure_counts_rows_and_bytes(spark):
+    from adlens.operators.dimensions import measure
+    df = spark.createDataFrame([("ab", 1), ("电视", 2), (None, 3)], "s string, i int")
+    assert measure(df) == (3, 2 + 6 + 0 + 3 * 4)
+
+
+def test_dimension_not_broadcast_above_byte_bound(spark):
+    from pyspark.sql import functions as F
+    from adlens.operators.dimensions import join_dimension
+    big = spark.range(100).withColumn("k", F.col("id") % 10)
+    dim = spark.range(10).withColumnRenamed("id", "k").withColumn("pad", F.lit("x" * 100))
+    plan = join_dimension(big, dim, "k", "left", max_broadcast_bytes=500)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
