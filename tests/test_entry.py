@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from adlens.plans.catalog import QUERIES
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -19,7 +20,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def _norm(v):
@@ -48,7 +50,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.sql(E.oracle_sql()[name]).df()
