@@ -65,5 +65,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lineage like checkpoint(), survives lost executors and keeps column pruning."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

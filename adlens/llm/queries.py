@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.llm import bpe, quality
+from adlens.llm import bpe, line_dedup, lm, mixing, quality, sharding, simhash, token_counts, token_files
 from adlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,42 @@ def op4_byte_bpe(spark, sf_dir):
     import public_tokenizers as P
 
     return bpe.op4(read_table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+
+
+@register("op3_source_mix", mixing.OP3_SQL)
+def op3_source_mix(spark, sf_dir):
+    return mixing.op3(read_table(spark, sf_dir, "documents"))
+
+
+@register("op9_byte_shards")
+def op9_byte_shards(spark, sf_dir):
+    return sharding.op9(read_table(spark, sf_dir, "documents"))
+
+
+@register("op5_simhash")
+def op5_simhash(spark, sf_dir):
+    return simhash.op5(read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_line_dedup", line_dedup.OP10_SQL)
+def op10_line_dedup(spark, sf_dir):
+    return line_dedup.op10(read_table(spark, sf_dir, "documents"))
+
+
+@register("op6_token_files")
+def op6_token_files(spark, sf_dir):
+    import public_tokenizers as P
+
+    return token_files.op6(spark, read_table(spark, sf_dir, "documents"), P.path("word_bpe_49k.json"))
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    import public_tokenizers as P
+
+    return token_counts.op7(read_table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+
+
+@register("op1_log_bilinear")
+def op1_log_bilinear(spark, sf_dir):
+    return lm.op1(read_table(spark, sf_dir, "documents"))
