@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.llm import bpe, line_dedup, lm, mixing, quality, sharding, simhash, token_counts, token_files
+from adlens.llm import ann, bpe, line_dedup, lm, mixing, quality, sharding, simhash, token_counts, token_files
 from adlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op7_token_counts(spark, sf_dir):
 @register("op1_log_bilinear")
 def op1_log_bilinear(spark, sf_dir):
     return lm.op1(read_table(spark, sf_dir, "documents"))
+
+
+@register("op2_adaptive_scan")
+def op2_adaptive_scan(spark, sf_dir):
+    return ann.op2(read_table(spark, sf_dir, "embeddings"))
