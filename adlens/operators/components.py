@@ -1,44 +1,33 @@
-"""Connected components of an undirected graph as a DataFrame loop.
+"""Connected components of an undirected graph by contraction.
 
 Label = smallest vertex id of the component (ids may be strings or numbers; the order is
-the column type's order). Each round does, for every vertex ``v``:
-
-1. propagation: ``a(v) = min(label(u) for u in N[v])`` over the closed neighbourhood, one
-   join of the edge list with the labels and one partial + final min aggregation;
-2. pointer jumping: ``label(v) = min(a(v), a(a(v)))``, a self-join on the label, which
-   shortens long chains so the number of rounds grows with the log of the diameter rather
-   than the diameter itself.
-
-Labels only decrease; the loop stops after the first round in which no label changed (one
-boolean reaches the driver per round). Every round's labels are checkpointed to the
-reliable checkpoint folder, which cuts the lineage and survives the loss of executors.
-
-String ids are encoded as order-preserving BIGINT codes first, so the rounds shuffle
-8-byte keys and compute ``min`` in hash aggregates (a string ``min`` forces a sort-based
-aggregate); the component label is decoded back to the smallest original id.
-
-Skew: a hub vertex (a placeholder id shared by a third of all rows) makes the edge side of
-the propagation join skewed and the pointer-jumping join skewed on the giant component's
-label; both are sort-merge joins that AQE's skew handling splits, and both aggregations are
-partial before the shuffle. No per-vertex neighbour list is ever collected.
+the column type's order). Each round
+
+1. hooks every vertex of the current graph to its smallest neighbour, if that is smaller
+   (one partial + final ``min`` over both directions of the edge list);
+2. shortcuts the resulting forest to its roots by pointer doubling
+   (``p(v) <- p(p(v))`` until nothing changes: as many steps as the log of its depth);
+3. contracts: edges are renamed to their ends' roots, loops and repeats dropped.
+
+Two rounds at least halve the vertices: a root that has more roots than hooked vertices around it
+lends its label to the hooked ones, next to which the other roots are no longer smallest. So
+rounds and doubling steps are logarithmic, on chains of any numbering too, and uncapped. Roots are the smallest
+ids of their trees, so the last root is the smallest id of the component. Afterwards the rounds'
+root tables are composed from the smallest (last) to the largest, which costs as much as the
+first round alone. Every size of graph and type of id takes this one path.
+
+Every table of a round is written under the reliable checkpoint folder: it cuts the lineage,
+survives lost executors, and a join of two stored tables shuffles both sides, so AQE may split
+a hub id or the label of a giant component. Tables no longer needed are deleted. The driver
+sees one boolean per step.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from adlens.session import ensure_checkpoint_dir
-
-DEFAULT_MAX_ROUNDS = 200
-# Below this many directed pairs the one-off cost of encoding (a sort and four joins)
-# outweighs the cheaper rounds, so small graphs keep their ids.
-ENCODE_MIN_PAIRS = 5_000_000
-
-
-class ComponentsDidNotConverge(RuntimeError):
-    pass
+from adlens.session import Scratch
 
 
 def symmetric_edges(edges: DataFrame, vertices: DataFrame | None = None,
@@ -58,69 +47,73 @@ def symmetric_edges(edges: DataFrame, vertices: DataFrame | None = None,
     return e.distinct()
 
 
-def encode_ids(sym: DataFrame) -> DataFrame:
-    """``(id, vid)``: an order-preserving BIGINT code for every vertex.
-
-    The distinct ids are range-sorted and numbered with ``monotonically_increasing_id``
-    (partition index in the high bits, position in the sorted partition below), so
-    ``vid`` order equals id order; the table is checkpointed so the numbering is stable.
-    """
-    return (sym.select(F.col("a").alias("id")).distinct().orderBy("id")
-               .withColumn("vid", F.monotonically_increasing_id()).checkpoint(eager=True))
+def _undirected(pairs: DataFrame, a: Column, b: Column) -> DataFrame:
+    """Distinct ``(a, b)`` with ``a < b``."""
+    return (pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+                 .filter(F.col("a") < F.col("b")).distinct())
 
 
-def _propagate(sym: DataFrame, max_rounds: int, stats: dict | None) -> DataFrame:
-    labels = sym.groupBy("a").agg(F.min("b").alias("label")).select(F.col("a").alias("id"), "label")
-    rounds = 0
+def _roots(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, str, int]:
+    """``(v, p)``: the root of every vertex's tree of the hooking forest, and the steps taken."""
+    def pair(x, y):
+        return F.struct(F.col(x).alias("v"), F.col(y).alias("u"))
+    hooks = (edges.select(F.explode(F.array(pair("a", "b"), pair("b", "a"))).alias("e")).select("e.v", "e.u")
+                  .groupBy("v").agg(F.min("u").alias("u")).select("v", F.least("v", "u").alias("p")))
+    p, path = scratch.write(hooks, "hooks")
+    steps = 0
     while True:
-        rounds += 1
-        if rounds > max_rounds:
-            raise ComponentsDidNotConverge(f"no convergence after {max_rounds} rounds")
-        prop = (sym.join(labels, sym["a"] == labels["id"])
-                   .select(F.col("b").alias("id"), F.col("label"),
-                           F.when(F.col("a") == F.col("b"), F.col("label")).alias("old")))
-        agg = prop.groupBy("id").agg(F.min("label").alias("label"), F.min("old").alias("old"))
-        hop = agg.select(F.col("id").alias("hop_id"), F.col("label").alias("hop_label"))
-        jumped = (agg.join(hop, agg["label"] == hop["hop_id"], "inner")
-                     .select("id", F.least("label", "hop_label").alias("label"), "old"))
-        nxt = jumped.select("id", "label", (F.col("label") < F.col("old")).alias("changed")) \
-                    .checkpoint(eager=True)
-        labels = nxt.select("id", "label")
-        if nxt.filter("changed").isEmpty():
-            break
-    if stats is not None:
-        stats["rounds"] = rounds
-    return labels
+        steps += 1
+        up = p.select(F.col("v").alias("w"), F.col("p").alias("q"))
+        nxt, nxt_path = scratch.write(
+            p.join(up, p["p"] == up["w"]).select("v", F.col("q").alias("p"), (F.col("q") < F.col("p")).alias("moved")),
+            "roots")
+        scratch.drop(path)
+        p, path = nxt.select("v", "p"), nxt_path
+        if nxt.filter("moved").isEmpty():
+            return p, path, steps
+
+
+def _renamed(edges: DataFrame, p: DataFrame) -> DataFrame:
+    a = p.select(F.col("v").alias("a"), F.col("p").alias("pa"))
+    b = p.select(F.col("v").alias("b"), F.col("p").alias("pb"))
+    return _undirected(edges.join(a, "a").join(b, "b"), F.col("pa"), F.col("pb"))
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
                          src: str = "src", dst: str = "dst", id_col: str = "id",
-                         max_rounds: int = DEFAULT_MAX_ROUNDS,
-                         stats: dict | None = None, encode: bool | None = None) -> DataFrame:
+                         stats: dict | None = None) -> DataFrame:
     """``(id, component)`` for every vertex of ``edges`` (and of ``vertices`` if given).
 
-    Non-integral ids (strings) of a large graph are first replaced by order-preserving
-    BIGINT codes (``encode_ids``), so every round shuffles 8-byte keys and aggregates ``min``
-    in a hash aggregate; the labels are decoded back at the end. ``encode`` forces the choice.
+    Edges with a null end are ignored. ``stats`` receives ``rounds`` and ``steps`` (pointer
+    doublings over all rounds).
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Checkpointed as produced by the distinct, i.e. spread by (a, b): a hub id is not
-    # concentrated in one partition, and every join below shuffles, so AQE can split it.
-    sym = symmetric_edges(edges, vertices, src, dst, id_col).checkpoint(eager=True)
-    if encode is None:
-        encode = (not isinstance(sym.schema["a"].dataType, T.IntegralType)
-                  and sym.count() > ENCODE_MIN_PAIRS)
-    if not encode:
-        labels = _propagate(sym, max_rounds, stats)
-        return labels.select("id", F.col("label").alias("component"))
-    codes = encode_ids(sym)
-    coded = (sym.join(codes.select(F.col("id").alias("a"), F.col("vid").alias("la")), "a")
-                .join(codes.select(F.col("id").alias("b"), F.col("vid").alias("lb")), "b")
-                .select(F.col("la").alias("a"), F.col("lb").alias("b"))
-                .checkpoint(eager=True))
-    labels = _propagate(coded, max_rounds, stats)
-    by_vid = codes.select(F.col("vid").alias("id"), F.col("id").alias("orig"))
-    by_label = codes.select(F.col("vid").alias("label"), F.col("id").alias("component"))
-    return (labels.join(by_vid, "id").join(by_label, "label")
-                  .select(F.col("orig").alias("id"), "component"))
+    scratch = Scratch(edges.sparkSession)
+    pairs, pairs_path = scratch.write(
+        edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna(), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    if vertices is not None:
+        ids = ids.unionByName(vertices.select(F.col(id_col).alias("id")).dropna())
+    cur, cur_path = scratch.write(_undirected(pairs, F.col("a"), F.col("b")), "edges")
+    levels: list[tuple[DataFrame, str]] = []
+    steps = 0
+    while not cur.isEmpty():
+        p, p_path, n = _roots(cur, scratch)
+        steps += n
+        levels.append((p, p_path))
+        nxt, nxt_path = scratch.write(_renamed(cur, p), "edges")
+        scratch.drop(cur_path)
+        cur, cur_path = nxt, nxt_path
+    if stats is not None:
+        stats.update(rounds=len(levels), steps=steps)
+    if not levels:
+        return ids.distinct().select("id", F.col("id").alias("component"))
+    label, label_path = levels.pop()
+    while levels:
+        lower, lower_path = levels.pop()
+        top = label.select(F.col("v").alias("w"), F.col("p").alias("q"))
+        composed, path = scratch.write(
+            lower.join(top, lower["p"] == top["w"], "left").select("v", F.coalesce("q", "p").alias("p")), "labels")
+        scratch.drop(label_path, lower_path)
+        label, label_path = composed, path
+    return (ids.distinct().join(label.select(F.col("v").alias("id"), "p"), "id", "left")
+               .select("id", F.coalesce("p", "id").alias("component")))

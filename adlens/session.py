@@ -1,17 +1,19 @@
 """Session helpers: defaults for local runs and the shared checkpoint / scratch folder.
 
 On a cluster the caller owns the session and names a shared, reliable folder in
-``spark.checkpoint.dir``; we only read it. A local folder is created solely when no
-checkpoint folder is configured at all (tests, local benchmarks).
+``spark.checkpoint.dir``; we only read it. A local folder is created solely when none is
+configured and the master is local (tests, local benchmarks); any other master without a
+configured folder is an error, as its nodes would not see one another's files.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -53,7 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        # Only reached in local runs: nothing names a shared folder.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; master {sc.master} needs a folder that "
+                               "the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="adlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -63,3 +67,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written intermediate table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+class Scratch:
+    """Intermediate tables of one job, written under the shared checkpoint folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def write(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+        """``df`` stored and read back, and where it lies."""
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def drop(self, *paths: str) -> None:
+        """Delete stored tables that nothing will read again."""
+        jvm = self.spark._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)

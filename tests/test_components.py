@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from adlens.operators.components import connected_components
@@ -58,13 +59,22 @@ def test_isolated_vertices_and_self_loops(spark):
     assert _labels(connected_components(edges, verts)) == {"a": "a", "b": "b", "c": "a", "z": "z"}
 
 
-def test_long_chain_converges_in_few_rounds(spark):
-    n = 300
-    edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "src bigint, dst bigint")
+def _zigzag(n):
+    """A path whose numbers alternate between low and high ones."""
+    low, high = list(range(n // 2)), list(range(n // 2, n))
+    return [x for pair in zip(low, reversed(high)) for x in pair]
+
+
+@pytest.mark.parametrize("numbering", ["ascending", "descending", "random", "zigzag"])
+def test_long_chains_converge_in_few_rounds(spark, numbering):
+    n = 2000
+    order = {"ascending": list(range(n)), "descending": list(range(n))[::-1], "zigzag": _zigzag(n),
+             "random": random.Random(3).sample(range(n), n)}[numbering]
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "src bigint, dst bigint")
     stats = {}
     got = _labels(connected_components(edges, stats=stats))
-    assert set(got.values()) == {0} and len(got) == n + 1
-    assert stats["rounds"] <= 20  # pointer jumping: far fewer rounds than the chain length
+    assert len(got) == n and set(got.values()) == {0}
+    assert stats["rounds"] + stats["steps"] <= 40 and stats["rounds"] <= 12
 
 
 def test_random_graphs_match_union_find_and_edge_order(spark):
@@ -87,14 +97,31 @@ def test_hub_vertex(spark):
     assert got["hub"] == "hub" and got["id0007"] == "hub" and got["y"] == "x"
 
 
-def test_encoded_path_matches(spark):
+def test_string_ids(spark):
     rng = random.Random(11)
     nodes = [f"id{i:03d}" for i in range(150)]
     edges = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(120)] + [("hub", n) for n in nodes[:40]]
-    expect = _union_find(edges)
     df = spark.createDataFrame(edges, "src string, dst string")
-    assert _labels(connected_components(df, encode=True)) == expect
-    assert _labels(connected_components(df, encode=False)) == expect
+    assert _labels(connected_components(df)) == _union_find(edges)
+
+
+def test_no_edges_and_null_ends(spark):
+    edges = spark.createDataFrame([(None, 1), (2, None)], "src bigint, dst bigint")
+    assert _labels(connected_components(edges)) == {}
+    verts = spark.createDataFrame([(7,), (None,)], "id bigint")
+    assert _labels(connected_components(edges, verts)) == {7: 7}
+
+
+def test_round_tables_are_deleted(spark, tmp_path):
+    from pathlib import Path
+
+    from adlens.session import ensure_checkpoint_dir
+    tables = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    before = set(tables.glob("*")) if tables.exists() else set()
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)], "src bigint, dst bigint")
+    connected_components(edges).collect()
+    left = sorted(p.name.rsplit("-", 1)[0] for p in set(tables.glob("*")) - before)
+    assert left == ["edges", "pairs", "roots"]  # the inputs of the lazy result and the empty last edge list
 
 
 def test_deny_list_keeps_placeholder_ids_from_fusing_people(spark):
