@@ -82,7 +82,7 @@ def _renamed(edges: DataFrame, p: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
                          src: str = "src", dst: str = "dst", id_col: str = "id",
                          stats: dict | None = None) -> DataFrame:
-    """``(id, component)`` for every vertex of ``edges`` (and of ``vertices`` if given).
+    """``(id, component)`` for every vertex of ``edges`` (and of ``vertices`` if given), stored.
 
     Edges with a null end are ignored. ``stats`` receives ``rounds`` and ``steps`` (pointer
     doublings over all rounds).
@@ -105,8 +105,11 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
         cur, cur_path = nxt, nxt_path
     if stats is not None:
         stats.update(rounds=len(levels), steps=steps)
+    scratch.drop(cur_path)
     if not levels:
-        return ids.distinct().select("id", F.col("id").alias("component"))
+        labels, _ = scratch.write(ids.distinct().select("id", F.col("id").alias("component")), "components")
+        scratch.drop(pairs_path)
+        return labels
     label, label_path = levels.pop()
     while levels:
         lower, lower_path = levels.pop()
@@ -115,5 +118,8 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
             lower.join(top, lower["p"] == top["w"], "left").select("v", F.coalesce("q", "p").alias("p")), "labels")
         scratch.drop(label_path, lower_path)
         label, label_path = composed, path
-    return (ids.distinct().join(label.select(F.col("v").alias("id"), "p"), "id", "left")
-               .select("id", F.coalesce("p", "id").alias("component")))
+    labels, _ = scratch.write(
+        ids.distinct().join(label.select(F.col("v").alias("id"), "p"), "id", "left")
+           .select("id", F.coalesce("p", "id").alias("component")), "components")
+    scratch.drop(pairs_path, label_path)
+    return labels

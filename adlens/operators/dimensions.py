@@ -51,14 +51,14 @@ def is_broadcastable(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 
 def join_dimension(big: DataFrame, dim: DataFrame, on, how: str = "left",
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   known_small: bool = False,
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``dim`` to ``big``; broadcast it only when its size is proven small.
 
     Above the bound the join is hinted as a sort-merge join, so a misestimated plan can
-    never broadcast the log side instead; AQE still splits skewed keys of that join.
+    never broadcast the log side instead; AQE still splits skewed keys of that join. The
+    measurement is a job of its own, so pass a stored table rather than a computed one.
     """
-    if known_small or is_broadcastable(dim, max_broadcast_rows, max_broadcast_bytes):
+    if is_broadcastable(dim, max_broadcast_rows, max_broadcast_bytes):
         dim = F.broadcast(dim)
     else:
         dim = dim.hint("merge")

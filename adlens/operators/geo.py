@@ -65,16 +65,34 @@ def lookup_business(df: DataFrame, geo_dim: DataFrame, box_filter: bool = True,
 def missing_cells(df: DataFrame, geo_dim: DataFrame, **join_kw) -> DataFrame:
     """Distinct in-box cells absent from the cache, each with one representative point.
 
-    The point is (smallest longitude, smallest latitude) seen in the cell: deterministic and
-    inside the cell (a cell is a rectangle). Two double ``min``s keep the aggregation a
-    fixed-width hash aggregate with a map-side partial step over the log rows.
+    The point is one that a row has: the smallest longitude seen in the cell and, of those,
+    the smallest latitude.
     """
     pts = in_box_cells(df).select(CELL, lenient_double("long").alias("long"),
                                   lenient_double("lat").alias("lat"))
-    per_cell = pts.groupBy(CELL).agg(F.min("long").alias("long"), F.min("lat").alias("lat"))
+    per_cell = pts.groupBy(CELL).agg(F.min(F.struct("long", "lat")).alias("p")).select(CELL, "p.long", "p.lat")
     return join_dimension(per_cell, geo_dim.select(CELL), CELL, "left_anti", **join_kw)
 
 
+def upsert_cells(dim: DataFrame, responses: DataFrame, cell_col: str = CELL, response_col: str = "response",
+                 order_col: str | None = None) -> DataFrame:
+    """J4, closing the loop: the cache ``dim`` with the newly fetched ``responses`` in it.
+
+    A cell with a new non-empty result gets that result, of several the one with the largest
+    ``order_col`` (without one, the largest text); a response without any result changes nothing, as
+    only results are cached. The caller stores the outcome as the next dimension.
+    """
+    if order_col is None:
+        new = geo_dimension(responses, cell_col, response_col)
+    else:
+        parsed = (responses.select(F.col(cell_col).alias(CELL), F.col(order_col).alias("__o"),
+                                   parse_response(response_col).alias("__p"))
+                           .select(CELL, "__o", business_areas_from_parsed(F.col("__p")).alias("business_areas")))
+        new = (parsed.filter(F.col("business_areas") != "").groupBy(CELL)
+                     .agg(F.max(F.struct("__o", "business_areas")).alias("b")).select(CELL, "b.business_areas"))
+    return dim.select(CELL, "business_areas").join(new.select(CELL), CELL, "left_anti").unionByName(new)
+
+
 def business_names(business: F.Column) -> F.Column:
     """Names of one cached value, split like Java ``split(",")`` (trailing empties dropped)."""
     stripped = F.regexp_replace(business, ",+$", "")

@@ -24,7 +24,7 @@ def _prefixed_ids(deny_ids: list[str] | None = None) -> list[Column]:
 
 def user_key(deny_ids: list[str] | None = None) -> Column:
     """First non-blank id in priority order with its kind prefix, else the anonymous key."""
-    return F.coalesce(*_prefixed_ids(deny_ids), F.lit(S.OTHER))
+    return F.coalesce(head_id(deny_ids), F.lit(S.OTHER))
 
 
 def all_ids(deny_ids: list[str] | None = None) -> Column:
@@ -41,14 +41,17 @@ def vertices(df_ids: DataFrame, ids_col: str = "ids") -> DataFrame:
     return df_ids.select(F.explode(ids_col).alias("id")).distinct()
 
 
+def head_id(deny_ids: list[str] | None = None) -> Column:
+    """The row's first id, null without any: the head of ``all_ids`` without building the array."""
+    return F.coalesce(*_prefixed_ids(deny_ids))
+
+
 def edges(df_ids: DataFrame, ids_col: str = "ids") -> DataFrame:
     """I4: star edges from each row's first id to each of its ids (self-loop included)."""
-    return (df_ids.filter(F.size(ids_col) > 0)
-                  .select(F.col(ids_col)[0].alias("src"), F.explode(ids_col).alias("dst"))
-                  .distinct())
+    return df_ids.select(F.get(ids_col, F.lit(0)).alias("src"), F.explode(ids_col).alias("dst")).distinct()
 
 
-def attach_component(df_ids: DataFrame, labels: DataFrame, ids_col: str = "ids",
+def attach_component(df: DataFrame, labels: DataFrame, head: Column | None = None,
                      keep: list[str] | None = None,
                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Each row with ids gets the component of its first id (inner join on that id).
@@ -57,9 +60,7 @@ def attach_component(df_ids: DataFrame, labels: DataFrame, ids_col: str = "ids",
     the bound; otherwise the join is a sort-merge join on the head id (never a broadcast of
     the log side), where AQE splits a hot head id (a placeholder device id) across tasks.
     """
-    rows = df_ids.filter(F.size(ids_col) > 0).withColumn("__head", F.col(ids_col)[0])
+    rows = df.withColumn("__head", head_id() if head is None else head).filter(F.col("__head").isNotNull())
     lab = labels.select(F.col("id").alias("__head"), "component")
     lab = F.broadcast(lab) if is_broadcastable(lab, max_broadcast_rows) else lab.hint("merge")
-    out = rows.join(lab, "__head", "inner")
-    cols = keep if keep is not None else [c for c in df_ids.columns]
-    return out.select(*cols, "component")
+    return rows.join(lab, "__head", "inner").select(*(df.columns if keep is None else keep), "component")

@@ -35,15 +35,17 @@ def chunked_collect(df: DataFrame, keys: list[str], item: Column, sort_key: Colu
     """``(keys..., chunk, n_items, items)`` with each key's items split into bounded chunks.
 
     ``chunk`` = md5 bucket of ``sort_key`` among ``ceil(n / chunk_size)`` buckets, where ``n``
-    is the key's item count; items inside a chunk are sorted by ``sort_key``. The count is a
-    partial aggregation and is joined back on the key (AQE splits a skewed key's side).
+    is the key's item count; items inside a chunk are sorted by ``sort_key``. The counts are
+    stored first, so that the join with them shuffles both sides and AQE may split a hot key, and the
+    rows are dealt anew by (key, chunk) before lists are built: the join's partitioning by
+    key alone would satisfy the grouping, and put all chunks of a key into one task.
     """
     base = df.select(*keys, sort_key.alias("__sk"), item.alias("__item"))
-    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
     n_chunks = F.greatest(F.ceil(F.col("__n") / F.lit(float(chunk_size))), F.lit(1))
     with_chunk = base.join(sizes, keys, "inner").withColumn(
         "chunk", md5_bucket(F.col("__sk"), n_chunks).cast("int"))
-    grouped = with_chunk.groupBy(*keys, "chunk").agg(
+    grouped = with_chunk.repartition(*keys, "chunk").groupBy(*keys, "chunk").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.array_sort(F.collect_list(F.struct(F.col("__sk").alias("k"), F.col("__item").alias("v"))))
          .alias("__sorted"))
@@ -51,6 +53,11 @@ def chunked_collect(df: DataFrame, keys: list[str], item: Column, sort_key: Colu
                           F.transform("__sorted", lambda x: x["v"]).alias(out_col))
 
 
+def by_text(weights: DataFrame, key: str) -> DataFrame:
+    """``(key, tag, weight)``: a tag text counts once per key, whichever families gave it."""
+    return weights.groupBy(key, "tag").agg(F.sum("weight").alias("weight"))
+
+
 def render_pairs(items: Column) -> Column:
     """C14: ``(tag,weight),(tag,weight)`` from an array of (tag, weight) structs."""
     return F.array_join(F.transform(items, lambda x: F.concat(
@@ -61,10 +68,11 @@ def profile_chunks(weights: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK
                    materialize: bool = True) -> DataFrame:
     """Rendered profile per key: ``(key, chunk, n_tags, tags)``, tags sorted by tag text.
 
-    The weights are read twice (item lists and per-key counts), so by default they are
-    checkpointed first to the reliable checkpoint folder: the upstream log scan and tag
-    aggregation then run once.
+    Weights of one text under several kinds are summed first. The sums are read twice (item
+    lists and per-key counts), so by default they are checkpointed to the reliable checkpoint
+    folder: the upstream log scan and tag aggregation then run once.
     """
+    weights = by_text(weights, key)
     if materialize:
         weights = weights.checkpoint(eager=True)
     item = F.struct(F.col("tag").alias("tag"), F.col("weight").alias("weight"))
@@ -74,7 +82,8 @@ def profile_chunks(weights: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK
 
 
 def profile_map(weights: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
-    """``(key, chunk, profile MAP<tag, weight>)``; keys are unique after merge_tags."""
+    """``(key, chunk, profile MAP<tag, weight>)``; each tag text is one map key."""
+    weights = by_text(weights, key).checkpoint(eager=True)
     item = F.struct(F.col("tag").alias("tag"), F.col("weight").alias("weight"))
     chunks = chunked_collect(weights, [key], item, F.col("tag"), chunk_size, "__items")
     return chunks.select(key, "chunk", F.map_from_entries("__items").alias("profile"))

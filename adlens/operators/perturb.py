@@ -2,12 +2,14 @@
 
 Each rule draws random values once per (line, column), exactly like the original tool,
 but the draws are seeded and replayable: draw ``k`` of a column is hex digits
-``8 (k % 4) + 1 .. + 8`` of ``md5(line + ':' + column + ':' + seed + ':' + k div 4)``. The same numbers can be produced by any
-engine with md5, and a re-run (or a retried task) gives the same output.
+``8 (k % 4) + 1 .. + 8`` of ``md5(md5(line) + ':' + column + ':' + seed + ':' + k div 4)``; the
+line itself is digested once. The same numbers can be produced by any engine with md5, and a
+re-run (or a retried task) gives the same output.
 
 Substring rules replace every occurrence of a character by one drawn value. The original
 tool's ``replace("", x)`` inserts ``x`` into every gap of a string; here such rules fill
-only empty cells (documented deviation). Output lines have exactly 85 fields.
+only empty cells (documented deviation). No line is lost: a line of fewer than 85 fields keeps
+its number of fields, a longer one is cut to 85.
 """
 
 from __future__ import annotations
@@ -30,9 +32,14 @@ SUBSTRING_RULES = {
     31: ("0", "zero_one", 1), 35: ("2", "one_to_three", 1), 39: ("0", "zero_one", 1),
     40: ("0", "digits", 4), 42: ("0", "zero_one", 1), 78: ("0", "digits", 4),
 }
-# Empty-cell fills: longitude, latitude, and the five plain device ids.
+# FIXED VALUES: empty-cell fills of longitude, latitude and the five plain device ids, as text and
+# one pool per drawn character.
 LONG_COLUMN, LAT_COLUMN = 22, 23
 ID_FILL_COLUMNS = [46, 47, 48, 49, 50]
+LONG_FILL = ["11", "digits", "."] + ["digits"] * 9
+LAT_FILL = ["two_three", "digits", "."] + ["digits"] * 9
+ID_FILL = ["index9", "letters", "letters", "letters", "index9", "letters",
+           "index9", "letters", "index9", "letters"]
 
 POOLS = {
     "digits": [str(d) for d in DIGITS],
@@ -51,25 +58,22 @@ def _hash_col(col: int, block: int) -> str:
     return f"__h{col}_{block}"
 
 
+FILLS = {LONG_COLUMN: LONG_FILL, LAT_COLUMN: LAT_FILL, **dict.fromkeys(ID_FILL_COLUMNS, ID_FILL)}
+
+
 def _n_draws(col: int) -> int:
-    if col in SUBSTRING_RULES:
-        return SUBSTRING_RULES[col][2]
-    if col == LONG_COLUMN:
-        return 10
-    if col == LAT_COLUMN:
-        return 11
-    return 10  # id fills
+    return SUBSTRING_RULES[col][2] if col in SUBSTRING_RULES else sum(part in POOLS for part in FILLS[col])
 
 
-PERTURBED = sorted(set(SUBSTRING_RULES) | {LONG_COLUMN, LAT_COLUMN} | set(ID_FILL_COLUMNS))
+PERTURBED = sorted({*SUBSTRING_RULES, *FILLS})
 
 
-def hash_columns(line: Column, seed: int) -> list[Column]:
-    """md5 of ``line:col:seed:block`` for every block of draws a column needs."""
+def hash_columns(digest: Column, seed: int) -> list[Column]:
+    """md5 of ``digest:col:seed:block`` for every block of draws a column needs."""
     out = []
     for col in PERTURBED:
         for block in range((_n_draws(col) + DRAWS_PER_HASH - 1) // DRAWS_PER_HASH):
-            key = F.concat_ws(":", line, F.lit(str(col)), F.lit(str(seed)), F.lit(str(block)))
+            key = F.concat_ws(":", digest, F.lit(str(col)), F.lit(str(seed)), F.lit(str(block)))
             out.append(F.md5(key).alias(_hash_col(col, block)))
     return out
 
@@ -86,38 +90,36 @@ def pick(pool: str, col: int, k: int) -> Column:
     return F.lit(values).substr(idx, F.lit(1))
 
 
-def _picks(pools: list[str], col: int, start: int = 0) -> Column:
-    return F.concat(*[pick(p, col, start + i) for i, p in enumerate(pools)])
+def _drawn(parts: list[str], col: int) -> Column:
+    """Literal parts as they are, a drawn character for each pool name."""
+    out, k = [], 0
+    for part in parts:
+        out.append(pick(part, col, k) if part in POOLS else F.lit(part))
+        k += part in POOLS
+    return F.concat(*out)
 
 
 def perturb_fields(fields: Column) -> list[Column]:
+    """The first 85 fields after perturbation; null where the line has no such field."""
     out = []
     for i in range(S.N_LOG_FIELDS):
-        v = fields[i]
+        v = F.get(fields, F.lit(i))
         if i in SUBSTRING_RULES:
             ch, pool, n = SUBSTRING_RULES[i]
-            v = F.replace(v, F.lit(ch), _picks([pool] * n, i))
-        elif i == LONG_COLUMN:
-            fill = F.concat(F.lit("11"), pick("digits", i, 0), F.lit("."),
-                            _picks(["digits"] * 9, i, start=1))
-            v = F.when(v == "", fill).otherwise(v)
-        elif i == LAT_COLUMN:
-            fill = F.concat(pick("two_three", i, 0), pick("digits", i, 1),
-                            F.lit("."), _picks(["digits"] * 9, i, start=2))
-            v = F.when(v == "", fill).otherwise(v)
-        elif i in ID_FILL_COLUMNS:
-            pattern = ["index9", "letters", "letters", "letters", "index9", "letters",
-                       "index9", "letters", "index9", "letters"]
-            v = F.when(v == "", _picks(pattern, i)).otherwise(v)
+            v = F.replace(v, F.lit(ch), _drawn([pool] * n, i))
+        elif i in FILLS:
+            v = F.when(v == "", _drawn(FILLS[i], i)).otherwise(v)
         out.append(v)
     return out
 
 
 def perturb_lines(lines: DataFrame, seed: int = 0, value_col: str = "value",
                   keep: list[str] | None = None) -> DataFrame:
-    """Perturbed 85-field lines for every input line with at least 85 fields."""
+    """Every input line, perturbed; a null line stays null."""
     keep = keep or []
     line = F.col(value_col)
-    hashed = (lines.select(*keep, F.split(line, ",", -1).alias("__f"), *hash_columns(line, seed))
-                   .filter(F.size("__f") >= S.N_LOG_FIELDS))
-    return hashed.select(*keep, F.concat_ws(",", *perturb_fields(F.col("__f"))).alias(value_col))
+    digested = lines.select(*keep, F.split(line, ",", -1).alias("__f"), F.md5(line).alias("__d"))
+    hashed = digested.select(*keep, "__f", *hash_columns(F.col("__d"), seed))
+    # concat_ws skips nulls, which here are the fields that a short line does not have.
+    text = F.concat_ws(",", *perturb_fields(F.col("__f")))
+    return hashed.select(*keep, F.when(F.col("__f").isNotNull(), text).alias(value_col))

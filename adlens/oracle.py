@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from adlens import schema as S
 from adlens.functions.geohash import GEOHASH_ALPHABET
-from adlens.operators import perturb as PT
 from adlens.sources import derived as D
 
 ADLOG = f"adlog AS (\n{D.derived_log_sql('events')}\n)"
@@ -82,8 +81,9 @@ _WINS = "iseffective = 1 AND isbilling = 1 AND isbid = 1 AND iswin = 1 AND adord
 
 
 def _money(col: str) -> str:
-    return (f"CAST(coalesce(sum(CASE WHEN {_WINS} THEN CAST(coalesce({col}, 0) AS DECIMAL(38,10)) END), 0) "
-            f"AS DOUBLE) / 1000.0")
+    x = f"coalesce({col}, 0)"
+    return (f"(CAST(coalesce(sum(CASE WHEN {_WINS} AND abs({x}) < 1e15 THEN CAST({x} AS DECIMAL(38,10)) END), 0) "
+            f"AS DOUBLE) + coalesce(sum(CASE WHEN {_WINS} AND NOT abs({x}) < 1e15 THEN {x} END), 0)) / 1000.0")
 
 
 KPI_SELECT = f"""
@@ -185,36 +185,40 @@ def _chunk(key: str, sort_key: str, source: str, chunk_size: int = 10000) -> str
 
 # --- perturbation -------------------------------------------------------------------------------------
 def _perturb_sql(seed: int) -> str:
-    def h(col, block):
-        return f"md5(value || ':{col}:{seed}:{block}')"
-
-    def draw(col, k):
-        return f"('0x' || substr({h(col, k // 4)}, {(k % 4) * 8 + 1}, 8))::BIGINT"
-
-    def pick(pool, col, k):
-        vals = "".join(PT.POOLS[pool])
-        return f"substr('{vals}', CAST({draw(col, k)} % {len(vals)} + 1 AS INTEGER), 1)"
-
-    def picks(pools, col, start=0):
-        return " || ".join(pick(p, col, start + i) for i, p in enumerate(pools))
+    """Rules written out here on their own: column -> replaced character, alphabet and draws, or
+    the alphabets (and fixed text) that fill an empty cell."""
+    digits, letters, nine = "132456789", "abcd5etshlzbcmpoqw", "012345678"
+    replaced = {2: ("0", "01", 1), 8: ("1", "123", 1), 30: ("0", "01", 1), 31: ("0", "01", 1), 35: ("2", "123", 1),
+                39: ("0", "01", 1), 40: ("0", digits, 4), 42: ("0", "01", 1), 78: ("0", digits, 4)}
+    device = [nine, letters, letters, letters, nine, letters, nine, letters, nine, letters]
+    filled = {22: [None, digits, "."] + [digits] * 9, 23: ["23", digits, "."] + [digits] * 9,
+              **{c: device for c in range(46, 51)}}
+
+    def one(alphabet, col, k):
+        digest = f"md5(md5(value) || ':{col}:{seed}:{k // 4}')"
+        number = f"('0x' || substr({digest}, {(k % 4) * 8 + 1}, 8))::BIGINT"
+        return f"substr('{alphabet}', CAST({number} % {len(alphabet)} + 1 AS INTEGER), 1)"
+
+    def text(parts, col):
+        out, k = [], 0
+        for part in parts:
+            if part is None or part == ".":
+                out.append("'11'" if part is None else "'.'")
+            else:
+                out.append(one(part, col, k))
+                k += 1
+        return " || ".join(out)
 
     out = []
-    for i in range(S.N_LOG_FIELDS):
+    for i in range(85):
         v = f"f[{i + 1}]"
-        if i in PT.SUBSTRING_RULES:
-            ch, pool, n = PT.SUBSTRING_RULES[i]
-            v = f"replace({v}, '{ch}', {picks([pool] * n, i)})"
-        elif i == PT.LONG_COLUMN:
-            v = f"CASE WHEN {v} = '' THEN '11' || {pick('digits', i, 0)} || '.' || {picks(['digits'] * 9, i, 1)} ELSE {v} END"
-        elif i == PT.LAT_COLUMN:
-            v = (f"CASE WHEN {v} = '' THEN {pick('two_three', i, 0)} || {pick('digits', i, 1)} || '.' || "
-                 f"{picks(['digits'] * 9, i, 2)} ELSE {v} END")
-        elif i in PT.ID_FILL_COLUMNS:
-            pattern = ["index9", "letters", "letters", "letters", "index9", "letters",
-                       "index9", "letters", "index9", "letters"]
-            v = f"CASE WHEN {v} = '' THEN {picks(pattern, i)} ELSE {v} END"
+        if i in replaced:
+            ch, alphabet, n = replaced[i]
+            v = f"replace({v}, '{ch}', {text([alphabet] * n, i)})"
+        elif i in filled:
+            v = f"CASE WHEN {v} = '' THEN {text(filled[i], i)} ELSE {v} END"
         out.append(v)
-    return f"WITH {RAW}\nSELECT concat_ws(',', {', '.join(out)}) AS value FROM fields WHERE len(f) >= 85"
+    return f"WITH {RAW}\nSELECT concat_ws(',', {', '.join(out)}) AS value FROM fields"
 
 
 def _typed_select() -> str:
@@ -294,8 +298,8 @@ ORACLE["business_names_all"] = (
 ORACLE["missing_geo_cells"] = (
     f"WITH {ADLOG}, {GEO}, pts AS (SELECT {CELL} AS geohash6, {lenient_double('long')} AS lo, "
     f"{lenient_double('lat')} AS la FROM adlog WHERE {IN_BOX}) "
-    "SELECT geohash6, min(lo) AS long, min(la) AS lat FROM pts "
-    "WHERE geohash6 NOT IN (SELECT geohash6 FROM geodim) GROUP BY geohash6")
+    "SELECT geohash6, p.lo AS long, p.la AS lat FROM (SELECT geohash6, min({'lo': lo, 'la': la}) AS p FROM pts "
+    "WHERE geohash6 NOT IN (SELECT geohash6 FROM geodim) GROUP BY geohash6) m")
 
 # tag families
 for key, table in [("ad_tags", "t_ad"), ("app_tags", "t_app"), ("device_tags", "t_dev"),
@@ -305,13 +309,24 @@ ORACLE["row_tags_all"] = f"WITH {TAG_CTES} {_union(V1, 'sessionid, kind, tag')}"
 
 # profiles
 USER_WEIGHTS = (f"uw AS (SELECT user_key, kind, tag, CAST(count(*) AS BIGINT) AS weight "
-                f"FROM ({_union(V1)}) t GROUP BY user_key, kind, tag)")
+                f"FROM ({_union(V1)}) t GROUP BY user_key, kind, tag), "
+                "ut AS (SELECT user_key, tag, CAST(sum(weight) AS BIGINT) AS weight FROM uw GROUP BY user_key, tag)")
 ORACLE["user_tag_weights"] = f"WITH {TAG_CTES}, {USER_WEIGHTS} SELECT * FROM uw"
-ORACLE["profile_rendered"] = (
-    f"WITH {TAG_CTES}, {USER_WEIGHTS}, ch AS ({_chunk('user_key', 'tag', 'uw')}) "
-    "SELECT user_key, chunk, count(*) AS n_tags, "
-    "string_agg('(' || tag || ',' || CAST(weight AS VARCHAR) || ')', ',' ORDER BY tag) AS tags "
-    "FROM ch GROUP BY user_key, chunk")
+
+
+def _rendered(chunk_size: int) -> str:
+    return (f"WITH {TAG_CTES}, {USER_WEIGHTS}, ch AS ({_chunk('user_key', 'tag', 'ut', chunk_size)}) "
+            "SELECT user_key, chunk, count(*) AS n_tags, "
+            "string_agg('(' || tag || ',' || CAST(weight AS VARCHAR) || ')', ',' ORDER BY tag) AS tags "
+            "FROM ch GROUP BY user_key, chunk")
+
+
+ORACLE["profile_rendered"] = _rendered(10_000)
+ORACLE["profile_rendered_chunked"] = _rendered(8)
+ORACLE["profile_sink"] = (f"SELECT p.*, d.dt FROM ({_rendered(10_000)}) p, "
+                          "(SELECT unnest(['20190921', '20190922']) AS dt) d")
+ORACLE["profile_map_rows"] = (f"WITH {TAG_CTES}, {USER_WEIGHTS} "
+                              f"SELECT user_key, chunk, tag, weight FROM ({_chunk('user_key', 'tag', 'ut')}) c")
 
 # identity
 ORACLE["user_key"] = f"WITH {ADLOG} SELECT sessionid, {USER_KEY} AS user_key FROM adlog"
@@ -328,7 +343,39 @@ ORACLE["component_profiles"] = (
     "CAST(sum(weight) AS BIGINT) AS weight FROM ("
     f"SELECT rc.component, t.kind, t.tag, 1 AS weight FROM ({_union(V2)}) t JOIN rowcomp rc USING (sessionid) "
     "UNION ALL SELECT component, 'id', id, 0 FROM cc) x GROUP BY component, kind, tag")
-ORACLE["component_members"] = (
-    f"WITH RECURSIVE {TAG_CTES}, {GRAPH}, ch AS ({_chunk('component', 'id', 'cc')}) "
-    "SELECT component, chunk, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS members "
-    "FROM ch GROUP BY component, chunk")
+
+
+def _members(chunk_size: int) -> str:
+    return (f"WITH RECURSIVE {TAG_CTES}, {GRAPH}, ch AS ({_chunk('component', 'id', 'cc', chunk_size)}) "
+            "SELECT component, chunk, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS members "
+            "FROM ch GROUP BY component, chunk")
+
+
+ORACLE["component_members"] = _members(10_000)
+ORACLE["component_members_chunked"] = _members(3)
+
+# files, chains and hard inputs
+ORACLE["etl_chain"] = ORACLE["raw_log_typed"]
+ORACLE["app_dict_file"] = ORACLE["app_dict_dim"]
+ORACLE["stopwords_file"] = ORACLE["keyword_tags"]
+ORACLE["custom_family_tags"] = (
+    f"WITH {TAG_CTES} SELECT sessionid, 'custom' AS kind, 'HX' || CAST(length(sessionid) AS VARCHAR) || '_' || "
+    "coalesce(ispname, '-') AS tag FROM adlog UNION ALL SELECT sessionid, kind, tag FROM t_loc")
+ORACLE["kpi_dirty_amounts"] = (
+    f"WITH {ADLOG}, dirty AS (SELECT * REPLACE ({D.dirty_price_expr()} AS winprice) FROM adlog), "
+    f"k AS (SELECT provincename, cityname,{KPI_SELECT} FROM dirty GROUP BY provincename, cityname), "
+    "c AS (SELECT *, CASE WHEN isnan(win_price_k) THEN 'nan' WHEN isinf(win_price_k) THEN 'infinite' "
+    "ELSE 'finite' END AS price_kind FROM k) "
+    "SELECT * REPLACE (CASE WHEN price_kind = 'finite' THEN win_price_k END AS win_price_k) FROM c")
+# A chain's component is the smallest scrambled id of its block of 500 events.
+ORACLE["identity_chain_components"] = (
+    "WITH v AS (SELECT event_id // 500 AS block, event_id * 48271 % 2147483647 AS id FROM events "
+    "UNION SELECT event_id // 500, (event_id + CASE WHEN event_id % 500 = 499 THEN 0 ELSE 1 END) * 48271 % 2147483647 "
+    "FROM events) SELECT id, min(id) OVER (PARTITION BY block) AS component FROM v")
+ORACLE["geo_dim_upsert"] = (
+    f"WITH {ADLOG}, {GEO}, fetched AS (SELECT geohash6, at2 AS seq, {D.new_response_expr('geohash6', 'at2')} AS response "
+    "FROM geo_cells, (SELECT unnest([1, 2]) AS at2) n), "
+    f"parsed AS (SELECT geohash6, seq, {parse_areas('response')} AS areas FROM fetched WHERE response IS NOT NULL), "
+    "fresh AS (SELECT geohash6, arg_max(areas, seq) AS areas FROM parsed WHERE areas <> '' GROUP BY geohash6) "
+    "SELECT geohash6, areas AS business_areas FROM fresh UNION ALL "
+    "SELECT geohash6, business_areas FROM geodim WHERE geohash6 NOT IN (SELECT geohash6 FROM fresh)")

@@ -16,18 +16,21 @@ from adlens.functions.geocode import parse_business_areas
 from adlens.functions.scalar import in_geo_box, is_blank, lenient_double, lenient_int, not_blank
 from adlens.operators import geo as G
 from adlens.operators import identity as Ident
+from adlens.operators.components import connected_components
 from adlens.operators.dimensions import resolve_app_name
-from adlens.operators.merge import profile_chunks
+from adlens.operators.kpi import kpi_report
+from adlens.operators.merge import profile_chunks, profile_map
 from adlens.operators.perturb import perturb_lines
-from adlens.operators.tags import FAMILIES_V1, TagContext, row_tags
+from adlens.operators.tags import FAMILIES_V1, TagContext, register_family, row_tags
 from adlens.plans import profiles as P
 from adlens.plans import reports as R
+from adlens.plans.jobs import etl_job
 from adlens.session import scratch_path
 from adlens.sources import derived as D
-from adlens.sources.derived import session_key
-from adlens.sources.dictionaries import parse_app_dict, stopwords_frame
+from adlens.sources.derived import input_key
+from adlens.sources.dictionaries import load_app_dict, load_stopwords, parse_app_dict, stopwords_frame
 from adlens.sources.rawlog import read_raw_log, type_log
-from adlens.sources.sinks import read_log, report_lines, write_log, write_partitioned_json
+from adlens.sources.sinks import read_log, report_lines, write_log, write_partitioned_json, write_profiles
 
 ID_COLS = [c for c, _ in S.ID_COLUMNS]
 
@@ -87,13 +90,13 @@ def _parse_app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
     return parse_app_dict(D.app_dict_lines(spark, sf_dir), keep_trailing)
 
 
-_DICT_PATHS: dict[tuple[str, str, bool], str] = {}
+_DICT_PATHS: dict[tuple, str] = {}
 
 
 def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
-    """The parsed dictionary, stored once per session (a dictionary is a small input file
+    """The parsed dictionary, stored once per session and state of the input (a dictionary is a small input file
     that every report and tag job loads; the parse itself is checked by app_dict_dim*)."""
-    key = (session_key(spark), sf_dir, keep_trailing)
+    key = (*input_key(spark, sf_dir), keep_trailing)
     if key not in _DICT_PATHS:
         path = scratch_path(spark, "app_dict")
         _parse_app_dict(spark, sf_dir, keep_trailing).write.parquet(path)
@@ -101,16 +104,17 @@ def _app_dict(spark, sf_dir, keep_trailing: bool) -> DataFrame:
     return spark.read.parquet(_DICT_PATHS[key])
 
 
-_RESPONSE_PATHS: dict[tuple[str, str], str] = {}
+_RESPONSE_PATHS: dict[tuple, str] = {}
+_GEO_PATHS: dict[tuple, str] = {}
 
 
 def _geo_responses(spark, sf_dir) -> DataFrame:
     """Stored geocoder responses: one per distinct in-box cell of the log that was geocoded.
 
-    Written once per session as a Parquet table (responses are stored data, not a view), so
+    Written once per session and state of the input as a Parquet table (responses are stored data, not a view), so
     later filters and joins read a table instead of re-deriving cells from the log.
     """
-    key = (session_key(spark), sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _RESPONSE_PATHS:
         cells = G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct()
         path = scratch_path(spark, "geo_responses")
@@ -121,7 +125,13 @@ def _geo_responses(spark, sf_dir) -> DataFrame:
 
 
 def _geo_dim(spark, sf_dir) -> DataFrame:
-    return G.geo_dimension(_geo_responses(spark, sf_dir))
+    """The cache table, stored: its size is measured before each join."""
+    key = input_key(spark, sf_dir)
+    if key not in _GEO_PATHS:
+        path = scratch_path(spark, "geo_dim")
+        G.geo_dimension(_geo_responses(spark, sf_dir)).write.parquet(path)
+        _GEO_PATHS[key] = path
+    return spark.read.parquet(_GEO_PATHS[key])
 
 
 def _ctx(spark, sf_dir, stop_as_frame: bool = False, with_geo: bool = True) -> TagContext:
@@ -311,8 +321,7 @@ def q_connected_components(spark, sf_dir):
 def q_event_component(spark, sf_dir):
     log = _log(spark, sf_dir)
     labels = P.resolve_identities(log)
-    return Ident.attach_component(Ident.with_ids(log.select("sessionid", *ID_COLS)), labels,
-                                  keep=["sessionid"])
+    return Ident.attach_component(log.select("sessionid", *ID_COLS), labels, keep=["sessionid"])
 
 
 @register("component_profiles")
@@ -331,3 +340,96 @@ def q_component_members(spark, sf_dir):
 @register("log_perturb")
 def q_log_perturb(spark, sf_dir):
     return perturb_lines(D.raw_lines(spark, sf_dir), seed=7)
+
+
+# --- files and chains: P1, S5, S6, S10, K14 ------------------------------------------------------------
+@register("etl_chain")
+def q_etl_chain(spark, sf_dir):
+    path = scratch_path(spark, "etl_log")
+    etl_job(spark, D.raw_log_path(spark, sf_dir), path)
+    return read_log(spark, path)
+
+
+@register("app_dict_file")
+def q_app_dict_file(spark, sf_dir):
+    """The dictionary as several text files, whose order decides between lines of one key."""
+    path = scratch_path(spark, "app_dict_lines")
+    D.app_dict_lines(spark, sf_dir).repartitionByRange(5, "line_no").sortWithinPartitions("line_no") \
+        .select("value").write.text(path)
+    return load_app_dict(spark, path)
+
+
+@register("stopwords_file")
+def q_stopwords_file(spark, sf_dir):
+    path = scratch_path(spark, "stopwords")
+    stopwords_frame(spark, D.FIXTURE_STOP_WORDS).write.text(path)
+    ctx = TagContext(stop_words=load_stopwords(spark, path))
+    return row_tags(_log(spark, sf_dir), ["keyword"], ctx, ["sessionid"])
+
+
+def _weights(spark, sf_dir) -> DataFrame:
+    return P.user_profiles(_log(spark, sf_dir), _ctx(spark, sf_dir))
+
+
+@register("profile_sink")
+def q_profile_sink(spark, sf_dir):
+    path = scratch_path(spark, "profiles")
+    write_profiles(profile_chunks(_weights(spark, sf_dir), "user_key"), path, "20190921")
+    write_profiles(profile_chunks(_weights(spark, sf_dir), "user_key"), path, "20190922")
+    write_profiles(profile_chunks(_weights(spark, sf_dir), "user_key"), path, "20190922")
+    return spark.read.parquet(path).withColumn("dt", F.col("dt").cast("string"))
+
+
+@register("profile_map_rows")
+def q_profile_map_rows(spark, sf_dir):
+    return profile_map(_weights(spark, sf_dir), "user_key").select(
+        "user_key", "chunk", F.explode("profile").alias("tag", "weight"))
+
+
+@register("profile_rendered_chunked")
+def q_profile_rendered_chunked(spark, sf_dir):
+    return profile_chunks(_weights(spark, sf_dir), "user_key", chunk_size=8)
+
+
+@register("component_members_chunked")
+def q_component_members_chunked(spark, sf_dir):
+    return P.component_members(P.resolve_identities(_log(spark, sf_dir)), chunk_size=3).select(
+        "component", "chunk", "n_items", F.array_join("members", ",").alias("members"))
+
+
+def _family_session(df, ctx):
+    """A family a user might add: length of the session id, and carrier."""
+    tag = F.concat(F.lit("HX"), F.length("sessionid").cast("string"), F.lit("_"), F.coalesce("ispname", F.lit("-")))
+    return df, F.array(F.struct(F.lit("custom").alias("kind"), tag.alias("tag")))
+
+
+@register("custom_family_tags")
+def q_custom_family_tags(spark, sf_dir):
+    register_family("custom", _family_session)
+    return row_tags(_log(spark, sf_dir), ["custom", "location"], TagContext(), ["sessionid"])
+
+
+# --- hard inputs: K1, I5, J4 ---------------------------------------------------------------------------
+@register("kpi_dirty_amounts")
+def q_kpi_dirty_amounts(spark, sf_dir):
+    """The vector by city over a log with rare NaN, infinite and huge prices."""
+    log = _log(spark, sf_dir).withColumn("winprice", F.expr(D.dirty_price_expr()))
+    k = F.col("win_price_k")
+    kind = F.when(F.isnan(k), "nan").when(F.abs(k) == float("inf"), "infinite").otherwise("finite")
+    return kpi_report(log, ["provincename", "cityname"]).withColumn("price_kind", kind).withColumn(
+        "win_price_k", F.when(F.col("price_kind") == "finite", k))
+
+
+@register("identity_chain_components")
+def q_identity_chain_components(spark, sf_dir):
+    """Long chains over consecutive events, with scrambled ids."""
+    edges = spark.sql(D.chain_edge_sql("{src}"), src=D.read_events(spark, sf_dir))
+    return connected_components(edges)
+
+
+@register("geo_dim_upsert")
+def q_geo_dim_upsert(spark, sf_dir):
+    cells = G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct()
+    fetched = cells.select(G.CELL, F.explode(F.array(F.lit(1), F.lit(2))).alias("at")).select(
+        G.CELL, "at", F.expr(D.new_response_expr(G.CELL, "at")).alias("response"))
+    return G.upsert_cells(_geo_dim(spark, sf_dir), fetched.filter("response is not null"), order_col="at")

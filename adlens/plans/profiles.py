@@ -5,9 +5,10 @@ P4 (v2): ids per row -> star edges -> connected components -> each row's tags go
 component of its first id; every id of the component is listed with weight 0.
 P5: members of each component, as bounded sorted lists.
 
-Plan shape of P4: log scan -> ids (project) -> edges (distinct) -> component loop
-(checkpointed) -> ``(id, component)`` -> join on the row's head id -> explode tags ->
-partial/final aggregation. Tags are never copied onto vertices.
+Plan shape of P4: log scan -> ids (project) -> edges (distinct) -> component loop (stored) ->
+``(id, component)``; log scan -> tags summed by (head id, kind, tag) -> join with the labels on the
+head id -> summed again by component. Log rows are never shuffled for the join, a hot head id is a few
+summed rows, and tags are never copied onto vertices.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from adlens import schema as S
 from adlens.operators import identity as I
 from adlens.operators.components import connected_components
-from adlens.operators.merge import chunked_collect, merge_tags, profile_chunks
+from adlens.operators.merge import chunked_collect, merge_tags
 from adlens.operators.tags import FAMILIES_V1, FAMILIES_V2, TagContext, row_tags
 
 
@@ -53,19 +54,15 @@ def person_profiles(log: DataFrame, ctx: TagContext, families: list[str] = FAMIL
     """``(component, kind, tag, weight)`` including each id with weight 0."""
     if labels is None:
         labels = resolve_identities(log, deny_ids=deny_ids)
-    with_ids = I.with_ids(log, deny_ids=deny_ids)
-    rows = I.attach_component(with_ids, labels, keep=[c for c in with_ids.columns if c != "ids"])
-    tag_long = row_tags(rows, families, ctx, ["component"]).withColumn("weight", F.lit(1).cast("bigint"))
+    headed = log.withColumn("__id", I.head_id(deny_ids)).filter(F.col("__id").isNotNull())
+    by_head = merge_tags(row_tags(headed, families, ctx, ["__id"]), "__id")
+    tag_long = I.attach_component(by_head, labels, F.col("__id"), ["kind", "tag", "weight"],
+                                  **ctx.join_kw()).select("component", "kind", "tag", "weight")
     id_long = labels.select("component", F.lit("id").alias("kind"), F.col("id").alias("tag"),
                             F.lit(0).cast("bigint").alias("weight"))
     return merge_tags(tag_long.unionByName(id_long), "component", "weight")
 
 
-def person_profile_text(profiles: DataFrame, chunk_size: int | None = None) -> DataFrame:
-    kw = {} if chunk_size is None else {"chunk_size": chunk_size}
-    return profile_chunks(profiles, "component", **kw)
-
-
 def component_members(labels: DataFrame, payload: DataFrame | None = None, id_col: str = "id",
                       chunk_size: int | None = None) -> DataFrame:
     """``(component, chunk, n_items, members)``; members sorted by id within a chunk.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adlens import schema as S
 from adlens.functions.scalar import device_label, int_or_zero, normalise_unknown, os_label
 from adlens.operators.dimensions import resolve_app_name
-from adlens.operators.kpi import city_counts, kpi_report
+from adlens.operators.kpi import city_counts, kpi_from_parts, kpi_parts, kpi_report
 
 
 def _kpi_input(log: DataFrame, *extra: str) -> DataFrame:
@@ -59,6 +59,34 @@ REPORTS = {
 }
 
 
+# All reports from one pass: the log is summed by every report column together, and each report
+# sums those groups further. Labels are applied to the groups, not to the rows.
+REPORT_COLUMNS = ["provincename", "cityname", "client", "devicetype", "networkmannername", "ispname",
+                  "adplatformproviderid", "appid", "appname"]
+
+
+def report_parts(log: DataFrame) -> DataFrame:
+    return kpi_parts(log, REPORT_COLUMNS)
+
+
+REPORTS_FROM_PARTS = {
+    "location": lambda p: kpi_from_parts(p, ["provincename", "cityname"]),
+    "os": lambda p: kpi_from_parts(p, [os_label("client").alias("os")]),
+    "device": lambda p: kpi_from_parts(p, [device_label("devicetype").alias("device")]),
+    "network": lambda p: kpi_from_parts(p, [normalise_unknown("networkmannername").alias("network")]),
+    "carrier": lambda p: kpi_from_parts(p, [normalise_unknown("ispname").alias("carrier")]),
+    "channel": lambda p: kpi_from_parts(p, [int_or_zero("adplatformproviderid").alias("channel")]),
+}
+
+
+def app_from_parts(parts: DataFrame, app_dict: DataFrame, **join_kw) -> DataFrame:
+    return kpi_from_parts(resolve_app_name(parts, app_dict, S.APP_REPORT_DEFAULT, "app", **join_kw), ["app"])
+
+
+def city_count_from_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("provincename", "cityname").agg(F.sum("ct").alias("ct"))
+
+
 def kpi_totals(log: DataFrame) -> DataFrame:
     """Grand total of the KPI vector (used by the invariance property tests)."""
     return kpi_report(log.withColumn("__all", F.lit(1)), ["__all"]).drop("__all")

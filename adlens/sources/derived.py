@@ -111,14 +111,20 @@ def derived_log_sql(source: str = "events") -> str:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table. A table stored in fewer splits than there are cores (one row group
-    here) is spread round-robin so the per-row work runs on every core; a large table,
-    already split into many scan tasks, is read as is."""
+    """The events table; dealt into ``adlens.events.partitions`` parts if that is set (the
+    benchmark's tables are one row group each)."""
     events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores)
-    return events
+    parts = spark.conf.get("adlens.events.partitions", None)
+    return events.repartition(int(parts)) if parts else events
+
+
+def input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names what is derived from ``events``: the session, and path, size and time of every file of
+    the table, so that a changed input is derived anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, "events.parquet"))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (session_key(spark), *sorted((str(f.getPath()), f.getLen(), f.getModificationTime())
+                                        for f in fs.listStatus(path)))
 
 
 def derived_log_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,15 +133,15 @@ def derived_log_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.selectExpr(*[f"{expr} AS {name}" for name, expr in derived_log_exprs()])
 
 
-_LOG_PATHS: dict[tuple[str, str], str] = {}
+_LOG_PATHS: dict[tuple, str] = {}
 
 
 def log_table_path(spark: SparkSession, sf_dir: str) -> str:
-    """The derived ad-log written once per session as Snappy Parquet in the scratch folder,
-    the way the platform's jobs read the ETL output (a Parquet log table)."""
+    """The derived ad-log written once per session and state of ``events`` as Snappy Parquet in the
+    scratch folder, the way the platform's jobs read the ETL output (a Parquet log table)."""
     from adlens.session import scratch_path
 
-    key = (session_key(spark), os.path.abspath(sf_dir))
+    key = input_key(spark, sf_dir)
     if key not in _LOG_PATHS:
         path = scratch_path(spark, "adlog")
         derived_log_frame(spark, sf_dir).write.option("compression", "snappy").parquet(path)
@@ -188,15 +194,15 @@ def raw_line_sql(source: str = "events") -> str:
     )
 
 
-_RAW_PATHS: dict[tuple[str, str], str] = {}
+_RAW_PATHS: dict[tuple, str] = {}
 
 
 def raw_log_path(spark: SparkSession, sf_dir: str) -> str:
-    """Text files holding one raw line per event, written once per session to the scratch
-    folder (the way a raw log arrives: text files read by ``spark.read.text``)."""
+    """Text files holding one raw line per event, written once per session and state of ``events``
+    to the scratch folder (the way a raw log arrives: text files read by ``spark.read.text``)."""
     from adlens.session import scratch_path
 
-    key = (session_key(spark), os.path.abspath(sf_dir))
+    key = input_key(spark, sf_dir)
     if key not in _RAW_PATHS:
         events = read_events(spark, sf_dir)
         path = scratch_path(spark, "raw_log")
@@ -256,5 +262,32 @@ def geo_response_expr(cell: str = "geohash6") -> str:
     )
 
 
+def new_response_expr(cell: str = "geohash6", at: str = "at") -> str:
+    """SQL (portable) for responses fetched later: for some cells none, for some an empty one, and
+    of two for a cell the second one is newer."""
+    k = f"ascii(substr({cell}, 5, 1)) % 4"
+    return (f"CASE WHEN {k} = 0 THEN CAST(NULL AS STRING) "
+            f"WHEN {k} = 1 AND {at} = 2 THEN '{{\"status\":\"0\"}}' "
+            f"WHEN {k} = 2 AND {at} = 1 THEN '{{\"status\":\"1\",\"regeocode\":{{}}}}' "
+            f"ELSE concat('{{\"status\":\"1\",\"regeocode\":{{\"addressComponent\":{{\"businessAreas\":["
+            f"{{\"name\":\"', CASE WHEN {at} = 1 THEN 'Z' ELSE 'B' END, {cell}, '\"}}]}}}}}}') END")
+
+
+def dirty_price_expr() -> str:
+    """SQL (portable): ``winprice`` of the log with a rare NaN, Infinity or 2 ** 100."""
+    h = "ascii(substr(sessionid, length(sessionid), 1)) + 10 * ascii(substr(sessionid, length(sessionid) - 1, 1))"
+    return (f"CASE WHEN ({h}) % 97 = 5 AND length(cityname) % 2 = 0 THEN CAST('NaN' AS DOUBLE) "
+            f"WHEN ({h}) % 89 = 7 AND length(cityname) % 2 = 0 THEN CAST('Infinity' AS DOUBLE) "
+            f"WHEN ({h}) % 13 = 3 THEN CAST(1267650600228229401496703205376 AS DOUBLE) ELSE winprice END")
+
+
+def chain_edge_sql(source: str = "events") -> str:
+    """Each event is tied to the next one unless that begins a new block of 500; the ids are
+    scrambled by a multiplication modulo a prime above every event id."""
+    scramble = "({}) * 48271 % 2147483647"
+    return (f"SELECT {scramble.format(E)} AS src, {scramble.format(f'{E} + CASE WHEN {E} % 500 = 499 THEN 0 ELSE 1 END')} "
+            f"AS dst FROM {source}")
+
+
 # Stop words used with the derived log: the shipped list plus one ASCII word present in it.
 FIXTURE_STOP_WORDS = S.DEFAULT_STOP_WORDS + ["drama"]

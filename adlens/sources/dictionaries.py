@@ -31,8 +31,13 @@ def parse_app_dict(lines: DataFrame, keep_trailing: bool = True, value_col: str
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their order in the input (file order, then offset)."""
-    return spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
+    """Text lines with their order in the input: file name, split of the file, place in it.
+
+    Spark packs files into tasks by size, so a running row number alone is not file order.
+    """
+    return spark.read.text(path).select("value", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")).alias("line_no"))
 
 
 def load_app_dict(spark: SparkSession, path: str, keep_trailing: bool = True) -> DataFrame:
