@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from adlens.operators.merge import chunked_collect, profile_chunks
+from adlens.operators.merge import chunked_collect, profile_chunks, profile_map
 
 
 def test_chunked_collect_splits_hot_key(spark):
@@ -25,3 +25,28 @@ def test_profile_rendering(spark):
     r = profile_chunks(w, "user_key").first()
     assert r["tags"] == "(K女流氓,2),(LN,2),(LN ,1)"
     assert r["n_tags"] == 3
+
+
+def test_hot_key_is_dealt_by_key_and_chunk(spark):
+    w = spark.range(50_000).select(F.when(F.col("id") % 4 < 3, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                   F.concat(F.lit("t"), F.col("id").cast("string")).alias("item"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the counts were many
+    try:
+        out = chunked_collect(w.checkpoint(), ["k"], F.col("item"), F.col("item"), chunk_size=500)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert any("k#" in x and "chunk#" in x for x in exchanges)
+    # Both sides of the join with the counts come from stored tables, so AQE may split the hot key.
+    assert sum("k#" in x and "chunk#" not in x for x in exchanges) == 2
+    spread = out.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
+    assert spread > 1
+
+
+def test_one_text_of_two_kinds_is_one_tag(spark):
+    w = spark.createDataFrame([("u", "business", "ZPx", 2), ("u", "location", "ZPx", 3), ("u", "ad", "LC01", 1)],
+                              "user_key string, kind string, tag string, weight bigint")
+    assert profile_chunks(w, "user_key").first()["tags"] == "(LC01,1),(ZPx,5)"
+    assert profile_map(w, "user_key").first()["profile"] == {"LC01": 1, "ZPx": 5}
