@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adlens.operators.components import connected_components
 from adlens.plans.profiles import component_members
 
+# FIXED VALUES: the worked example of identity resolution, people and links.
 PEOPLE = [(1, "小明", 26), (2, "小红", 30), (6, "小黑", 33), (9, "小白", 26), (133, "小黄", 30),
           (138, "小蓝", 33), (158, "小绿", 26), (16, "小龙", 30), (44, "小强", 33), (21, "小胡", 26),
           (5, "小狗", 30), (7, "小熊", 33)]
