@@ -138,3 +138,28 @@ def test_deny_list_keeps_placeholder_ids_from_fusing_people(spark):
     assert len(set(fused.values())) == 1
     kept = _labels(resolve_identities(log, deny_ids=["IM000000000000000"]))
     assert kept == {f"ADa{u}": f"ADa{u}" for u in range(5)}
+
+
+def test_joins_of_a_round_split_a_hub(spark):
+    from adlens.operators.components import _renamed
+    from adlens.session import Scratch
+    scratch = Scratch(spark)
+    hub = spark.range(1, 60_001).select(F.when(F.col("id") < 40_000, 0).otherwise(F.col("id")).alias("a"),
+                                        (F.col("id") + 100_000).alias("b"))
+    edges, _ = scratch.write(hub, "edges")
+    roots, _ = scratch.write(edges.select(F.explode(F.array("a", "b")).alias("v")).distinct().select(
+        "v", F.col("v").alias("p")), "roots")
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = _renamed(edges.repartition(20), roots)
+        assert len(out.collect()) == 60_000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
