@@ -139,21 +139,23 @@ def hamming_links(prints: DataFrame, distance: int = DISTANCE, task_rows: int =
     sides = tasks.select("depth", "a", "b", F.explode(F.when(F.col("a") == F.col("b"), F.array(F.lit(0)))
                                                        .otherwise(F.array(F.lit(0), F.lit(1)))).alias("side"))
     sides = sides.withColumn("node", F.when(F.col("side") == 0, F.col("a")).otherwise(F.col("b")))
-    at = prints.select("fp", F.explode(F.array(*[
+    sides = F.broadcast(sides) if is_broadcastable(sides) else sides
+    # A node of any task has at most task_rows members: they travel as one row, to each of its tasks.
+    members = prints.select("fp", F.explode(F.array(*[
         F.struct(F.lit(d).alias("depth"), _prefix("fp", d).alias("node")) for d in depths])).alias("x")).select("fp", "x.*")
-    dealt = at.join(F.broadcast(sides) if is_broadcastable(sides) else sides, ["depth", "node"])
+    pages = (members.join(sides.select("depth", "node").distinct(), ["depth", "node"], "left_semi")
+                    .groupBy("depth", "node").agg(F.collect_list("fp").alias("fps")))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         depth, a, b = (int(x) for x in key)
-        fp, side = rows["fp"].to_numpy().view(np.uint64), rows["side"].to_numpy()
-        left = np.sort(fp[side == 0])
-        right = left if a == b else np.sort(fp[side == 1])
+        page = {side: np.sort(np.asarray(fps, np.int64).view(np.uint64)) for side, fps in zip(rows["side"], rows["fps"])}
+        left, right = page[0], page[0 if a == b else 1]
         none = np.empty(0, np.uint64)
         pairs = [(none, none), *((left[i], right[j]) for i, j in trie_pairs(left, right, depth, distance, a == b))]
         a_side, b_side = (np.concatenate(x).view(np.int64) for x in zip(*pairs))
         return pd.DataFrame({"a": a_side, "b": b_side})
 
-    return dealt.groupBy("depth", "a", "b").applyInPandas(run, "a long, b long")
+    return pages.join(sides, ["depth", "node"]).groupBy("depth", "a", "b").applyInPandas(run, "a long, b long")
 
 
 def components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
