@@ -24,6 +24,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,8 @@ MAGIC = b"PFORIDS1"
 _HEAD = struct.Struct("<IBBHI")
 _FOOT = struct.Struct("<8sIQQQQI")
 # A worker's cache of encoded words is emptied at this many entries (about 100 bytes each).
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_500_000
+_MARKS = b".,;:!?*$%&#|"
 _TOKENIZERS: dict = {}
 
 
@@ -172,29 +174,33 @@ class WordEncoder:
     def _learn(self, words: set[bytes]) -> None:
         """Adds words to the cache. Marks that end a word after an ASCII letter or digit are a
         pre-token of their own, so word and marks are looked up apart."""
-        known, cut = self.known, {}
+        known, new, cut = self.known, set(), []
         for word in words:
-            core = word.rstrip(b".,;:!?*$%&#|")
-            split = core and core != word and core[-1] < 128 and chr(core[-1]).isalnum()
-            cut[word] = (core, word[len(core):]) if split else (word,)
-        new = [w for w in {x for parts in cut.values() for x in parts} if w not in known]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
+            core = word.rstrip(_MARKS)
+            if core == word or not core[-1:].isalnum():
+                new.add(word)
+                continue
+            marks = word[len(core):]
+            cut.append((word, core, marks))
+            if core not in known:
+                new.add(core)
+            if marks not in known:
+                new.add(marks)
+        listed = list(new)
+        for at in range(0, len(listed), 4096):
+            part = listed[at:at + 4096]
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, got in zip(part, encoded):
-                known[word] = np.array(got.ids, "<u4").tobytes()
-        for word, parts in cut.items():
-            known[word] = b"".join([known[x] for x in parts])
+            known.update((word, array("I", got.ids).tobytes()) for word, got in zip(part, encoded))
+        known.update((word, known[core] + known[marks]) for word, core, marks in cut)
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [(t or "").encode().lower().split() for t in texts]
-        words = {w for own in split for w in own}
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        self._learn({w for w in words if w not in self.known})
-        known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in own]), "<u4") for own in split]
+        self._learn(set().union(*split).difference(self.known))
+        get = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(get, own)), np.uint32) for own in split]
 
 
 def word_encoder(path: str) -> WordEncoder:
