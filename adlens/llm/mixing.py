@@ -9,9 +9,9 @@ probability ``p``, and the remaining words are drawn by ranking documents by the
 ``u / (1 - u)`` over the inclusion odds ``p / (1 - p)``. The sample's size is fixed in words: the
 ranking is cut where its running total is nearest to what the target still wants.
 
-The ranking is never sorted as a whole. Ranks are mapped to (0, 1) and summed in 4096 buckets
-per source, the bucket that holds the cut is summed in 4096 finer ones, and only documents in
-the last bucket are ordered by a window, so a source with a third of all rows costs what the
+The ranking is never sorted as a whole. Ranks are mapped to (0, 1) and summed in 256 buckets
+per source, the bucket that holds the cut is summed in 256 finer ones, and so once more; only
+documents in the last bucket are ordered by a window, so a source with a third of all rows costs what the
 others cost. All steps are DataFrame functions; documents are not shuffled.
 """
 
@@ -28,7 +28,7 @@ CYCLE = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2
 SEED = "mix-1"
-BUCKETS = 4096
+BUCKETS, LEVELS = 256, 3
 
 
 def _drawn(frame: DataFrame, doc_id: str, text: str, source: str, seed: str) -> DataFrame:
@@ -103,29 +103,33 @@ def _ranked(frame: DataFrame, expected: DataFrame) -> DataFrame:
                  .withColumn("_q", F.when(drawn, q)).withColumn("_v", F.col("_q") / (1 + F.col("_q"))))
 
 
-def _cut_bucket(ranked: DataFrame, bucket: Column, spent: Column, name: str) -> DataFrame:
-    """Per source, the bucket in which the running total passes ``rest``: ``_key, name, spent``."""
-    sums = ranked.groupBy("_key", bucket.alias(name), spent.alias("s0"), "rest").agg(F.sum("_size").alias("words"))
-    upto = F.sum("words").over(W.partitionBy("_key").orderBy(name)) + F.col("s0")
-    return (sums.withColumn("upto", upto).filter((F.col("upto") > F.col("rest")))
-                .groupBy("_key").agg(F.min(F.struct(name, (F.col("upto") - F.col("words")).alias("spent"))).alias("b"))
-                .select("_key", f"b.{name}", "b.spent"))
+def _bucket(level: int) -> Column:
+    """The rank's bucket among BUCKETS ** level equal parts of (0, 1)."""
+    return F.floor(F.col("_v") * BUCKETS ** level)
+
+
+def _cut_bucket(near: DataFrame, level: int) -> DataFrame:
+    """Per source, the bucket in which the running total passes ``rest``, and the total before it."""
+    sums = near.groupBy("_key", _bucket(level).alias("bucket"), "spent", "rest").agg(F.sum("_size").alias("words"))
+    upto = F.sum("words").over(W.partitionBy("_key").orderBy("bucket")) + F.col("spent")
+    return (sums.withColumn("upto", upto).filter(F.col("upto") > F.col("rest")).groupBy("_key")
+                .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("spent"))).alias("b"))
+                .select("_key", "b.bucket", "b.spent"))
 
 
 def _cuts(ranked: DataFrame) -> DataFrame:
-    """``_key, cut``: the last (rank, id, size) a source takes; no row if it takes all that are ranked."""
-    coarse, fine = F.floor(F.col("_v") * BUCKETS), F.floor(F.col("_v") * (BUCKETS * BUCKETS))
+    """``_key, bucket, cut``: the finest bucket that holds the cut, and the last (rank, id, size) that the
+    source takes in it; no row for a source that takes all that are ranked."""
     ranked = ranked.filter(F.col("_v").isNotNull())
-    first = stored(_cut_bucket(ranked, coarse, F.lit(0).cast("long"), "b1"), "mix-cut")
-    near = ranked.join(_small(first), "_key").filter(coarse == F.col("b1"))
-    second = stored(_cut_bucket(near, fine, F.col("spent"), "b2"), "mix-cut")
-    near = ranked.join(_small(second), "_key").filter(fine == F.col("b2"))
+    near = ranked.withColumn("spent", F.lit(0).cast("long"))
+    for level in range(1, LEVELS + 1):
+        found = stored(_cut_bucket(near, level), "mix-cut")
+        near = ranked.join(_small(found), "_key").filter(_bucket(level) == F.col("bucket"))
     upto = F.sum("_size").over(W.partitionBy("_key").orderBy("_v", "_id", "_size")
                                 .rowsBetween(W.unboundedPreceding, 0)) + F.col("spent")
     taken = near.withColumn("upto", upto).filter(F.col("upto") - F.col("_size") / 2.0 <= F.col("rest"))
     last = taken.groupBy("_key").agg(F.max(F.struct("_v", "_id", "_size")).alias("cut"))
-    return second.join(last, "_key", "left").select(
-        "_key", F.col("b2"), F.col("cut"))
+    return found.join(last, "_key", "left").select("_key", "bucket", "cut")
 
 
 def with_copies(frame: DataFrame, doc_id: str, text: str, source: str, cycle=CYCLE, share: float = SHARE,
@@ -135,10 +139,10 @@ def with_copies(frame: DataFrame, doc_id: str, text: str, source: str, cycle=CYC
     lean = stored(drawn.select("_source", "_id", "_size", "_class", "_u"), "mix-sizes")
     expected = stored(_expected(lean, cycle, share, limit), "mix-expected")
     cuts = stored(_cuts(_ranked(lean, expected)), "mix-cuts")
-    fine = F.floor(F.col("_v") * (BUCKETS * BUCKETS))
+    fine, cut = _bucket(LEVELS), F.col("bucket")
     rank = F.struct("_v", "_id", "_size")
-    more = (F.when(F.col("_v").isNull(), False).when(F.col("b2").isNull() | (fine < F.col("b2")), True)
-             .otherwise((fine == F.col("b2")) & F.coalesce(rank <= F.col("cut"), F.lit(False))))
+    more = (F.when(F.col("_v").isNull(), False).when(cut.isNull() | (fine < cut), True)
+             .otherwise((fine == cut) & F.coalesce(rank <= F.col("cut"), F.lit(False))))
     return (_ranked(drawn, expected).join(_small(cuts), "_key", "left")
             .withColumn("_copies", F.when(F.col("_size") > 0, F.col("whole") + more.cast("int")).otherwise(0)))
 
