@@ -25,6 +25,7 @@ log-sum-exp gives exact normalisers.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,6 +49,7 @@ RATE = 0.08
 CHUNK_BYTES = 12 << 20
 # A word needs so many training tokens in one chunk to be a symbol of its own.
 MIN_COUNT = 8
+MEMO = 400_000
 SEED = 5
 
 
@@ -89,6 +91,21 @@ class Vocabulary:
         return 1 + class_of(word) if got is None else got
 
 
+class Symbols(dict):
+    """Word -> symbol, remembered for the words met; emptied at MEMO words."""
+
+    def __init__(self, words: dict[bytes, int]):
+        super().__init__(words)
+        self.words = words
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > MEMO:
+            self.clear()
+            self.update(self.words)
+        self[word] = got = self.words.get(word) or (0 if word == END else 1 + class_of(word))
+        return got
+
+
 @dataclass
 class Model:
     inputs: np.ndarray  # (size + 1) x DIM; the last row stands before a text
@@ -120,10 +137,13 @@ class Model:
         contexts, which = np.unique(one.astype(np.int64) * wide + two, return_inverse=True)
         vectors = self.context(contexts // wide, contexts % wide)
         norm = np.empty(len(contexts))
-        for at in range(0, len(contexts), 4096):
-            scores = vectors[at:at + 4096] @ self.outputs.T + self.bias
+        for at in range(0, len(contexts), 4096):  # blocks of 4096 x OUTPUTS scores
+            scores = vectors[at:at + 4096] @ self.outputs.T
+            scores += self.bias
             top = scores.max(axis=1, keepdims=True)
-            norm[at:at + 4096] = top[:, 0] + np.log(np.exp(scores - top).sum(axis=1, dtype=np.float64))
+            scores -= top
+            np.exp(scores, out=scores)
+            norm[at:at + 4096] = top[:, 0] + np.log(scores.sum(axis=1), dtype=np.float64)
         out = np.empty(len(symbols))
         for at in range(0, len(symbols), 1 << 18):
             s, w = symbols[at:at + (1 << 18)], which[at:at + (1 << 18)]
@@ -148,9 +168,9 @@ class Trainer:
     @staticmethod
     def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
         """The sums of ``values`` by row number: sorted runs added up at once."""
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.int16), kind="stable")  # 16 bits: a radix sort
         own = rows[order]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
         out = np.zeros((n, values.shape[1]), np.float32)
         out[own[first]] = np.add.reduceat(values[order], first, axis=0)
         return out
@@ -177,12 +197,20 @@ class Trainer:
         delta = np.einsum("ij,ij->i", context, true) + m.bias[w] - self.noise_log[w]
         g_true = -weight / (1 + np.exp(np.clip(delta, -30, 30)))
         drawn = m.outputs[noise]
-        delta = context @ drawn.T + (m.bias[noise] - self.noise_log[noise])
-        g_noise = weight[:, None] / (1 + np.exp(-np.clip(delta, -30, 30)))
+        g_noise = context @ drawn.T
+        g_noise += m.bias[noise] - self.noise_log[noise]
+        np.negative(g_noise, out=g_noise)
+        np.minimum(g_noise, 30, out=g_noise)
+        np.exp(g_noise, out=g_noise)
+        g_noise += 1
+        np.divide(weight[:, None], g_noise, out=g_noise)
         g_context = g_true[:, None] * true + g_noise @ drawn
-        g_out = self._scatter(w, np.c_[g_true[:, None] * context, g_true], n)
-        np.add.at(g_out, noise, np.c_[g_noise.T @ context, g_noise.sum(axis=0)])
-        g_in = self._scatter(np.r_[one, two], np.r_[g_context * m.scales[0], g_context * m.scales[1]], n + 1)
+        with_one = np.ones((len(w), DIM + 1), np.float32)  # the last column carries the bias's share
+        with_one[:, :DIM] = context
+        g_out = self._scatter(w, g_true[:, None] * with_one, n)
+        np.add.at(g_out, noise, g_noise.T @ with_one)
+        g_in = self._scatter(np.concatenate([one, two]), np.concatenate([g_context * m.scales[0], g_context * m.scales[1]]),
+                             n + 1)
         self._step(0, m.inputs, g_in)
         self._step(1, m.scales, np.stack([(g_context * a).sum(axis=0), (g_context * b).sum(axis=0)]))
         self._step(2, m.outputs, g_out[:, :DIM])
@@ -239,7 +267,7 @@ def _chunk_words(texts: DataFrame) -> DataFrame:
     only), its class, and the word itself if it may become a symbol. A chunk that is read in
     several pieces gives several rows of a word, to be summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
+        counts: Counter[bytes] = Counter()
 
         def rows(chunk: int) -> pa.RecordBatch:
             words = list(counts)
@@ -253,12 +281,15 @@ def _chunk_words(texts: DataFrame) -> DataFrame:
         for chunk, part, held in _texts(batches):
             if counts and chunk != last:
                 yield rows(last)
-                counts = {}
+                counts = Counter()
             last = chunk
             for text, out in zip(part, held):
-                add = 0 if out else 1
-                for word in tokens_of(text):
-                    counts[word] = counts.get(word, 0) + add
+                own = tokens_of(text)
+                if out:
+                    for word in own:
+                        counts.setdefault(word, 0)
+                else:
+                    counts.update(own)
         if counts:
             yield rows(last)
 
@@ -296,6 +327,7 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: Model, number:
 
         pid = TaskContext.get().partitionId()
         trainer = Trainer(Model.of(flat, len(unigram)), unigram, SEED + 1000 * number + pid)
+        symbol = Symbols(words).__getitem__
         symbols: list[int] = []
         starts: list[int] = []
 
@@ -309,7 +341,7 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: Model, number:
                 if out:
                     continue
                 starts.append(len(symbols))
-                symbols.extend([x if (x := words.get(w)) is not None else 1 + class_of(w) for w in tokens_of(text)])
+                symbols.extend(map(symbol, tokens_of(text)))
                 if len(symbols) >= WINDOW:
                     learn()
         if symbols:
