@@ -1,29 +1,34 @@
 """Log-bilinear language model, trained by noise-contrastive estimation in numpy.
 
-Outputs. The model predicts one of ``OUTPUTS`` symbols: the end of a text, the most frequent
-training words, or the class of any other word (by its last two bytes); inside a class a word has
-its add-one share of the class's training tokens, with one share left for words never seen. The
-product is a normalised distribution over words.
+Outputs. The model predicts a symbol: the end of a text, a frequent training word, or the class of
+any other word (by its last two bytes); inside a class a word has its add-one share of the class's
+training tokens, with one share left for words never seen. The symbols follow the training
+vocabulary without a bound: ``GROWTH`` times the root of its distinct words (``OUTPUTS`` at least),
+3 of 32 of them classes. Symbols are numbered by frequency and cut into blocks of about the root of
+their number. A symbol's probability is that of its block times its own inside the block, both
+normalised from learned vectors. The product is a normalised distribution over words.
 
 Model. A context is the two symbols before; its vector is the sum of their embeddings, each
-scaled by its position's diagonal matrix; a symbol's score is the dot product with
-its output vector plus its bias. Biases start at the log of the symbols' training
-frequency, so training starts from the unigram model.
+scaled by its position's diagonal matrix; the score of a symbol, or of a block, is the dot product with
+its output vector plus its bias. Biases start at the log of the training frequency, so
+training starts from the unigram model.
 
 Training. Each task runs over all of its training texts: windows of tokens are summed up as weighted
-distinct trigrams, and mini-batches are taught to tell them from noise symbols drawn from the
-unigram distribution (shared by a batch, so both sides are matrix products). Tasks start from the same
-parameters; the results are averaged, weighted by tokens, in two levels of Spark groups, and the next
-round starts from the average.
+distinct trigrams, and mini-batches are taught to tell them from noise symbols and noise blocks drawn
+from the unigram distribution (shared by a batch, so both sides are matrix products); only the rows that
+a batch meets are changed. Tasks start from the same parameters and return the changes of the rows they
+met. A row's changes are averaged, weighted by its tokens in each task, in two levels of Spark
+groups per slab of rows, and the next round starts from the average.
 
 Scoring. Texts are dealt into chunks of bounded bytes. Each chunk meets the training counts of its
 own distinct words through a join by 64-bit word hash, never the whole vocabulary. A
-chunk's distinct contexts are scored against all outputs by batched matrix products, whose
-log-sum-exp gives exact normalisers.
+chunk's distinct contexts are scored against all blocks, and against the symbols of the blocks that
+follow them, by batched matrix products, whose log-sum-exp gives exact normalisers.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -38,17 +43,22 @@ from pyspark.sql import functions as F
 from adlens.llm.common import pick, stored
 
 END = b"\n"  # no word holds a line end
+# Symbols and classes of a small vocabulary, and the symbols per root of a large one.
 OUTPUTS = 1024
 CLASSES = 96
+GROWTH = 16
 DIM = 24
 ROUNDS = 2
 NOISE = 96
+BLOCK_NOISE = 32
 BATCH = 8192
 WINDOW = 1 << 20
 RATE = 0.08
 CHUNK_BYTES = 12 << 20
-# A word needs so many training tokens in one chunk to be a symbol of its own.
+# A word needs so many training tokens to be a symbol of its own.
 MIN_COUNT = 8
+HOT = 1024
+SLAB = 2048
 MEMO = 400_000
 SEED = 5
 
@@ -69,14 +79,24 @@ def signed_hash(word: bytes) -> int:
     return word_hash(word) - (1 << 64) * (word_hash(word) >> 63)
 
 
-def class_of(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % CLASSES
+def tail_of(word: bytes) -> int:
+    return zlib.crc32(word[-2:])
+
+
+def outputs_of(distinct: int) -> int:
+    """The number of symbols for a training vocabulary of ``distinct`` words."""
+    return max(OUTPUTS, GROWTH * math.isqrt(distinct))
+
+
+def width_of(size: int) -> int:
+    """Symbols per block; the last block may have fewer."""
+    return math.isqrt(size - 1) + 1
 
 
 @dataclass
 class Vocabulary:
-    """Symbol 0 is the end, 1 to CLASSES the classes, then the frequent words."""
-    words: dict[bytes, int]
+    """Symbol 0 is the end, then the classes, then the frequent words."""
+    words: dict[int, int]  # hash of a frequent word -> its symbol
     unigram: np.ndarray  # probability of each symbol
     class_total: np.ndarray  # tokens + distinct words + 1 of each class
     total: int  # N
@@ -86,68 +106,101 @@ class Vocabulary:
     def size(self) -> int:
         return len(self.unigram)
 
-    def symbol(self, word: bytes) -> int:
-        got = self.words.get(word)
-        return 1 + class_of(word) if got is None else got
-
 
 class Symbols(dict):
     """Word -> symbol, remembered for the words met; emptied at MEMO words."""
 
-    def __init__(self, words: dict[bytes, int]):
-        super().__init__(words)
-        self.words = words
+    def __init__(self, words: dict[int, int], classes: int):
+        super().__init__()
+        self.words, self.classes = words, classes
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > MEMO:
             self.clear()
-            self.update(self.words)
-        self[word] = got = self.words.get(word) or (0 if word == END else 1 + class_of(word))
+        got = 0 if word == END else self.words.get(word_hash(word))
+        self[word] = got = 1 + tail_of(word) % self.classes if got is None else got
         return got
 
 
+def _log_sums(vectors: np.ndarray, outputs: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The log of each vector's summed exponentiated scores, in blocks of 4096 vectors."""
+    norm = np.empty(len(vectors))
+    for at in range(0, len(vectors), 4096):
+        scores = vectors[at:at + 4096] @ outputs.T
+        scores += bias
+        top = scores.max(axis=1, keepdims=True)
+        scores -= top
+        np.exp(scores, out=scores)
+        norm[at:at + 4096] = top[:, 0] + np.log(scores.sum(axis=1), dtype=np.float64)
+    return norm
+
+
 @dataclass
 class Model:
     inputs: np.ndarray  # (size + 1) x DIM; the last row stands before a text
     scales: np.ndarray  # 2 x DIM
     outputs: np.ndarray  # size x DIM
     bias: np.ndarray  # size
+    block_outputs: np.ndarray  # blocks x DIM
+    block_bias: np.ndarray  # blocks
 
     @staticmethod
     def fresh(vocabulary: Vocabulary) -> Model:
         rng, n = np.random.default_rng(SEED), vocabulary.size
+        mass = np.add.reduceat(vocabulary.unigram, np.arange(0, n, width_of(n)))
         return Model(rng.normal(0, 0.1, (n + 1, DIM)).astype(np.float32), np.ones((2, DIM), np.float32),
-                     rng.normal(0, 0.1, (n, DIM)).astype(np.float32), np.log(vocabulary.unigram).astype(np.float32))
+                     rng.normal(0, 0.1, (n, DIM)).astype(np.float32), np.log(vocabulary.unigram).astype(np.float32),
+                     rng.normal(0, 0.1, (len(mass), DIM)).astype(np.float32), np.log(mass).astype(np.float32))
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.inputs, self.scales, self.outputs, self.bias)])
+        return np.concatenate([x.ravel() for x in vars(self).values()])
 
     @staticmethod
     def of(flat: np.ndarray, size: int) -> Model:
-        a, b, c = (size + 1) * DIM, (size + 3) * DIM, (2 * size + 3) * DIM
-        return Model(flat[:a].reshape(-1, DIM).copy(), flat[a:b].reshape(2, DIM).copy(),
-                     flat[b:c].reshape(-1, DIM).copy(), flat[c:].copy())
+        blocks = -(-size // width_of(size))
+        shapes = [(size + 1, DIM), (2, DIM), (size, DIM), (size,), (blocks, DIM), (blocks,)]
+        ends = np.cumsum([math.prod(x) for x in shapes])[:-1]
+        return Model(*[x.reshape(shape).copy() for x, shape in zip(np.split(flat, ends), shapes)])
+
+    def rows(self) -> np.ndarray:
+        """All parameters as rows of 2 x DIM + 1 numbers: the symbols and the border, the scales, the blocks."""
+        n = len(self.bias)
+        out = np.zeros((n + 3 + len(self.block_bias), 2 * DIM + 1), np.float32)
+        out[:n + 1, :DIM], out[:n, DIM:-1], out[:n, -1] = self.inputs, self.outputs, self.bias
+        out[n + 1:n + 3, :DIM] = self.scales
+        out[n + 3:, DIM:-1], out[n + 3:, -1] = self.block_outputs, self.block_bias
+        return out
+
+    @staticmethod
+    def of_rows(rows: np.ndarray, size: int) -> Model:
+        n = size
+        return Model(*[x.astype(np.float32) for x in (
+            rows[:n + 1, :DIM], rows[n + 1:n + 3, :DIM], rows[:n, DIM:-1], rows[:n, -1], rows[n + 3:, DIM:-1], rows[n + 3:, -1])])
 
     def context(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.inputs[one] * self.scales[0] + self.inputs[two] * self.scales[1]
 
     def log_probabilities(self, symbols: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural log of P(symbol | one before, two before), normalised over all symbols."""
-        wide = len(self.inputs)
+        wide, width, blocks = len(self.inputs), width_of(len(self.bias)), len(self.block_bias)
         contexts, which = np.unique(one.astype(np.int64) * wide + two, return_inverse=True)
         vectors = self.context(contexts // wide, contexts % wide)
-        norm = np.empty(len(contexts))
-        for at in range(0, len(contexts), 4096):  # blocks of 4096 x OUTPUTS scores
-            scores = vectors[at:at + 4096] @ self.outputs.T
-            scores += self.bias
-            top = scores.max(axis=1, keepdims=True)
-            scores -= top
-            np.exp(scores, out=scores)
-            norm[at:at + 4096] = top[:, 0] + np.log(scores.sum(axis=1), dtype=np.float64)
+        norm = _log_sums(vectors, self.block_outputs, self.block_bias)
+        # The distinct pairs of a block and a context before it, block by block.
+        own = symbols // width
+        pairs, pair = np.unique(own * len(contexts) + which, return_inverse=True)
+        inner = np.empty(len(pairs))
+        edges = np.searchsorted(pairs, np.arange(blocks + 1) * len(contexts))
+        for block, (a, b) in enumerate(zip(edges, edges[1:])):
+            if a < b:
+                part = slice(block * width, (block + 1) * width)
+                inner[a:b] = _log_sums(vectors[pairs[a:b] - block * len(contexts)], self.outputs[part], self.bias[part])
         out = np.empty(len(symbols))
         for at in range(0, len(symbols), 1 << 18):
-            s, w = symbols[at:at + (1 << 18)], which[at:at + (1 << 18)]
-            out[at:at + (1 << 18)] = np.einsum("ij,ij->i", vectors[w], self.outputs[s]) + self.bias[s] - norm[w]
+            to = slice(at, at + (1 << 18))
+            s, w, k = symbols[to], which[to], own[to]
+            out[to] = (np.einsum("ij,ij->i", vectors[w], self.outputs[s] + self.block_outputs[k]) + self.bias[s]
+                       + self.block_bias[k] - norm[w] - inner[pair[to]])
         return out
 
 
@@ -156,49 +209,56 @@ class Trainer:
 
     def __init__(self, model: Model, unigram: np.ndarray, seed: int):
         self.m, self.rng = model, np.random.default_rng(seed)
-        self.noise_p = unigram
-        self.noise_log = np.log(NOISE * unigram).astype(np.float32)
-        self.sums = [np.full_like(x, 1e-3) for x in (model.inputs, model.scales, model.outputs, model.bias)]
+        self.width = width_of(len(unigram))
+        blocks = np.add.reduceat(unigram, np.arange(0, len(unigram), self.width))
+        self.noise_sums = [np.cumsum(p) for p in (unigram, blocks)]
+        self.noise_logs = [np.log(k * p).astype(np.float32) for k, p in ((NOISE, unigram), (BLOCK_NOISE, blocks))]
+        self.sums = [np.full_like(x, 1e-3) for x in vars(model).values()]
+        self.seen = np.zeros(len(unigram) + 1)  # tokens of each symbol; texts for the border
+        self.met = np.zeros(len(unigram) + 1, bool)
         self.tokens = 0
 
-    def _step(self, k: int, param: np.ndarray, grad: np.ndarray) -> None:
-        self.sums[k] += grad * grad
-        param -= RATE * grad / np.sqrt(self.sums[k])
+    def _step(self, k: int, param: np.ndarray, rows: np.ndarray | slice, grad: np.ndarray) -> None:
+        self.sums[k][rows] += grad * grad
+        param[rows] -= RATE * grad / np.sqrt(self.sums[k][rows])
 
     @staticmethod
-    def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        """The sums of ``values`` by row number: sorted runs added up at once."""
-        order = np.argsort(rows.astype(np.int16), kind="stable")  # 16 bits: a radix sort
+    def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct row numbers and the sums of ``values`` by row: sorted runs added up at once."""
+        order = np.argsort(rows.astype(np.uint16 if n <= 1 << 16 else np.int32), kind="stable")  # 16 bits: a radix sort
         own = rows[order]
         first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
-        out = np.zeros((n, values.shape[1]), np.float32)
-        out[own[first]] = np.add.reduceat(values[order], first, axis=0)
-        return out
+        return own[first], np.add.reduceat(values[order], first, axis=0)
 
     def window(self, symbols: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         """Learns from all of a window's tokens, each distinct trigram once with its weight."""
         n = len(self.m.bias)
-        codes, counts = np.unique((symbols.astype(np.int64) * (n + 1) + one) * (n + 1) + two, return_counts=True)
+        # Contexts are numbered first, as three symbols of a large vocabulary pass 63 bits.
+        pairs, pair = np.unique(one.astype(np.int64) * (n + 1) + two, return_inverse=True)
+        codes, counts = np.unique(pair.astype(np.int64) * n + symbols, return_counts=True)
         order = self.rng.permutation(len(codes))
         codes, counts = codes[order], counts[order].astype(np.float32)
         self.tokens += len(symbols)
+        self.seen += np.bincount(symbols, minlength=n + 1)
+        self.seen[n] += np.count_nonzero(one == n)
         for at in range(0, len(codes), BATCH):
             c = codes[at:at + BATCH]
-            self._batch(c // ((n + 1) * (n + 1)), c // (n + 1) % (n + 1), c % (n + 1), counts[at:at + BATCH])
-
-    def _batch(self, w: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> None:
-        m, n = self.m, len(self.m.bias)
-        noise = self.rng.choice(n, NOISE, p=self.noise_p)
-        a, b = m.inputs[one], m.inputs[two]
-        context = a * m.scales[0] + b * m.scales[1]
-        true = m.outputs[w]
-        weight = weight / weight.mean() / len(weight)
+            before = pairs[c // n]
+            self._batch(c % n, before // (n + 1), before % (n + 1), counts[at:at + BATCH])
+
+    def _contrast(self, level: int, w: np.ndarray, outputs: np.ndarray, bias: np.ndarray, context: np.ndarray,
+                  weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Gradients of the contexts, and of the rows (numbers first) of ``outputs`` with their bias as last column."""
+        sums, log = self.noise_sums[level], self.noise_logs[level]
+        draws = self.rng.random((NOISE, BLOCK_NOISE)[level]) * sums[-1]
+        noise = np.minimum(np.searchsorted(sums, draws, side="right"), len(sums) - 1)
+        true = outputs[w]
         # d loss / d score: P(noise | score) for the true symbol, P(data | score) for each noise symbol.
-        delta = np.einsum("ij,ij->i", context, true) + m.bias[w] - self.noise_log[w]
+        delta = np.einsum("ij,ij->i", context, true) + bias[w] - log[w]
         g_true = -weight / (1 + np.exp(np.clip(delta, -30, 30)))
-        drawn = m.outputs[noise]
+        drawn = outputs[noise]
         g_noise = context @ drawn.T
-        g_noise += m.bias[noise] - self.noise_log[noise]
+        g_noise += bias[noise] - log[noise]
         np.negative(g_noise, out=g_noise)
         np.minimum(g_noise, 30, out=g_noise)
         np.exp(g_noise, out=g_noise)
@@ -207,14 +267,33 @@ class Trainer:
         g_context = g_true[:, None] * true + g_noise @ drawn
         with_one = np.ones((len(w), DIM + 1), np.float32)  # the last column carries the bias's share
         with_one[:, :DIM] = context
-        g_out = self._scatter(w, g_true[:, None] * with_one, n)
-        np.add.at(g_out, noise, g_noise.T @ with_one)
-        g_in = self._scatter(np.concatenate([one, two]), np.concatenate([g_context * m.scales[0], g_context * m.scales[1]]),
-                             n + 1)
-        self._step(0, m.inputs, g_in)
-        self._step(1, m.scales, np.stack([(g_context * a).sum(axis=0), (g_context * b).sum(axis=0)]))
-        self._step(2, m.outputs, g_out[:, :DIM])
-        self._step(3, m.bias, g_out[:, DIM])
+        rows, grad = self._scatter(np.concatenate([w, noise]),
+                                   np.concatenate([g_true[:, None] * with_one, g_noise.T @ with_one]), len(bias))
+        return g_context, rows, grad
+
+    def _batch(self, w: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> None:
+        m, n = self.m, len(self.m.bias)
+        a, b = m.inputs[one], m.inputs[two]
+        context = a * m.scales[0] + b * m.scales[1]
+        weight = weight / weight.mean() / len(weight)
+        g_context, rows, grad = self._contrast(0, w, m.outputs, m.bias, context, weight)
+        g_more, block_rows, block_grad = self._contrast(1, w // self.width, m.block_outputs, m.block_bias, context, weight)
+        g_context += g_more
+        in_rows, g_in = self._scatter(np.concatenate([one, two]),
+                                      np.concatenate([g_context * m.scales[0], g_context * m.scales[1]]), n + 1)
+        self.met[rows] = True
+        self.met[in_rows] = True
+        self._step(0, m.inputs, in_rows, g_in)
+        self._step(1, m.scales, slice(None), np.stack([(g_context * a).sum(axis=0), (g_context * b).sum(axis=0)]))
+        self._step(2, m.outputs, rows, grad[:, :DIM])
+        self._step(3, m.bias, rows, grad[:, DIM])
+        self._step(4, m.block_outputs, block_rows, block_grad[:, :DIM])
+        self._step(5, m.block_bias, block_rows, block_grad[:, DIM])
+
+    def weights(self) -> np.ndarray:
+        """Of each of the model's rows: its tokens and one, 0 if it was never met; all tokens for scales and blocks."""
+        shared = np.full(2 + len(self.m.block_bias), float(self.tokens))
+        return np.concatenate([self.seen + self.met, shared]).astype(np.float32)
 
 
 def contexts_of(symbols: np.ndarray, starts: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
@@ -263,9 +342,9 @@ def _texts(batches: Iterator[pa.RecordBatch], step: int = 512) -> Iterator[tuple
 
 
 def _chunk_words(texts: DataFrame) -> DataFrame:
-    """``chunk, h, n, tail, word``: the training count of each distinct word of a chunk (0: held out
-    only), its class, and the word itself if it may become a symbol. A chunk that is read in
-    several pieces gives several rows of a word, to be summed."""
+    """``chunk, h, n, tail``: the training count of each distinct word of a chunk (0: held out
+    only) and the number that gives its class. A chunk that is read in several pieces gives several
+    rows of a word, to be summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
 
@@ -275,8 +354,7 @@ def _chunk_words(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_pydict({
                 "chunk": pa.array(np.full(len(words), chunk)), "h": pa.array(hashes),
                 "n": pa.array(np.fromiter(counts.values(), np.int64, len(words))),
-                "tail": pa.array(np.fromiter(map(class_of, words), np.int32, len(words))),
-                "word": pa.array([w if counts[w] >= MIN_COUNT else None for w in words], pa.binary())})
+                "tail": pa.array(np.fromiter(map(tail_of, words), np.int64, len(words)))})
         last = None
         for chunk, part, held in _texts(batches):
             if counts and chunk != last:
@@ -294,40 +372,44 @@ def _chunk_words(texts: DataFrame) -> DataFrame:
             yield rows(last)
 
     return stored(texts.select("text", "held_out", "chunk").mapInArrow(
-        run, "chunk long, h long, n long, tail int, word binary"), "lm-words")
+        run, "chunk long, h long, n long, tail long"), "lm-words")
 
 
-def vocabulary_of(counts: DataFrame, pieces: DataFrame) -> Vocabulary:
-    """From ``h, c, tail, named`` (c > 0): OUTPUTS and CLASSES rows reach the driver."""
+def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, pd.DataFrame]:
+    """From ``h, c, tail`` (c > 0): the vocabulary, and ``h, c`` of its HOT most frequent words and the end.
+    One row per distinct count, per symbol and per class reaches the driver."""
     end_h = signed_hash(END)
-    top = (counts.filter((F.col("h") != end_h) & (F.col("named") > 0))
-                 .orderBy(F.col("c").desc(), "h").limit(OUTPUTS - 1 - CLASSES).collect())
-    names = {r["h"]: bytes(r["word"]) for r in pieces.filter(
-        F.col("word").isNotNull() & F.col("h").isin([r["h"] for r in top])).select("h", "word").distinct().collect()}
-    by_class = {r["tail"]: (r["n"], r["v"]) for r in counts.filter(F.col("h") != end_h).groupBy("tail").agg(
-        F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
+    of_words = counts.filter(F.col("h") != end_h)
     end = counts.filter(F.col("h") == end_h).agg(F.sum("c")).first()[0] or 0
-    n = np.array([by_class.get(k, (0, 0))[0] for k in range(CLASSES)], np.float64)
-    v = np.array([by_class.get(k, (0, 0))[1] for k in range(CLASSES)], np.float64)
-    total, distinct = int(n.sum()) + end, int(v.sum()) + (end > 0)
-    words = {END: 0}
-    for r in top:
-        words[names[r["h"]]] = CLASSES + len(words)
-        n[r["tail"]] -= r["c"]
-        v[r["tail"]] -= 1
-    symbols = np.array([end, *n, *(r["c"] for r in top)], np.float64) + 1
-    return Vocabulary(words, symbols / symbols.sum(), n + v + 1, total, distinct)
+    # Words by their count, from the most frequent on: the smallest count whose words all find room.
+    steps = of_words.groupBy("c").agg(F.count(F.lit(1)).alias("v")).toPandas().sort_values("c", ascending=False)
+    total, distinct = int((steps["c"] * steps["v"]).sum()) + end, int(steps["v"].sum()) + (end > 0)
+    outputs = outputs_of(distinct)
+    classes = outputs * CLASSES // OUTPUTS
+    room = steps["c"][(steps["v"].cumsum() <= outputs - 1 - classes) & (steps["c"] >= MIN_COUNT)]
+    least = int(room.min()) if len(room) else total + 1
+    top = of_words.filter(F.col("c") >= least).select("h", "c", "tail").toPandas()
+    top = top.sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
+    by_class = of_words.filter(F.col("c") < least).groupBy((F.col("tail") % classes).alias("k")).agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
+    n, v = np.zeros(classes), np.zeros(classes)
+    n[by_class["k"].to_numpy(int)], v[by_class["k"].to_numpy(int)] = by_class["n"], by_class["v"]
+    words = dict(zip(top["h"].to_numpy(np.int64).view(np.uint64).tolist(), range(1 + classes, 1 + classes + len(top))))
+    symbols = np.concatenate([[end], n, top["c"].to_numpy(float)]) + 1
+    hot = pd.concat([top[["h", "c"]].head(HOT), pd.DataFrame({"h": [end_h], "c": [end]})]).astype(np.int64)
+    return Vocabulary(words, symbols / symbols.sum(), n + v + 1, total, distinct), hot
 
 
 def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: Model, number: int) -> Model:
-    flat, unigram, words = model.flat(), vocabulary.unigram, vocabulary.words
+    flat, unigram, words, classes = model.flat(), vocabulary.unigram, vocabulary.words, len(vocabulary.class_total)
+    wide = 2 * DIM + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
         trainer = Trainer(Model.of(flat, len(unigram)), unigram, SEED + 1000 * number + pid)
-        symbol = Symbols(words).__getitem__
+        symbol = Symbols(words, classes).__getitem__
         symbols: list[int] = []
         starts: list[int] = []
 
@@ -346,29 +428,43 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: Model, number:
                     learn()
         if symbols:
             learn()
-        if trainer.tokens:
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array([pid], pa.int64()), "tokens": pa.array([float(trainer.tokens)]),
-                "params": pa.array([(trainer.m.flat().astype(np.float64) * trainer.tokens).astype(np.float32).tobytes()],
-                                   pa.binary())})
-
-    def total(rows: pd.DataFrame) -> pd.DataFrame:
-        whole = np.zeros(len(flat), np.float64)
-        for params in rows["params"]:
-            whole += np.frombuffer(params, np.float32)
-        return pd.DataFrame({"tokens": [rows["tokens"].sum()], "params": [whole.astype(np.float32).tobytes()]})
-
-    parts = stored(texts.select("text", "held_out", "chunk").mapInArrow(run, "part long, tokens double, params binary"),
-                   "lm-params")
-    groups = max(1, int(parts.count() ** 0.5))
-    sums = (parts.withColumn("g", F.pmod("part", F.lit(groups))).groupBy("g")
-                 .applyInPandas(total, "tokens double, params binary"))
-    # One row per group - the root of the number of tasks - of the model's fixed size.
-    whole = sums.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(total, "tokens double, params binary").first()
-    if whole is None:
-        return model
-    return Model.of((np.frombuffer(bytes(whole["params"]), np.float32) / whole["tokens"]).astype(np.float32),
-                    vocabulary.size)
+        if not trainer.tokens:
+            return
+        weights = trainer.weights()
+        change = trainer.m.rows() - Model.of(flat, len(unigram)).rows()
+        for slab, at in enumerate(range(0, len(weights), SLAB)):
+            met = np.flatnonzero(weights[at:at + SLAB])
+            if len(met):
+                yield pa.RecordBatch.from_pydict({
+                    "slab": pa.array([slab], pa.int32()), "part": pa.array([pid], pa.int64()),
+                    "met": [met.astype(np.uint16).tobytes()], "weight": [weights[at + met].tobytes()],
+                    "change": [change[at + met].astype(np.float16).tobytes()]})
+
+    def some(rows: pd.DataFrame) -> pd.DataFrame:
+        weight, change = np.zeros(SLAB), np.zeros((SLAB, wide))
+        for met, own, moved in zip(rows["met"], rows["weight"], rows["change"]):
+            at, own = np.frombuffer(met, np.uint16), np.frombuffer(own, np.float32)
+            weight[at] += own
+            change[at] += own[:, None] * np.frombuffer(moved, np.float16).reshape(-1, wide)
+        return pd.DataFrame({"slab": rows["slab"].iloc[:1], "weight": [weight.tobytes()], "change": [change.tobytes()]})
+
+    def whole(rows: pd.DataFrame) -> pd.DataFrame:
+        weight = sum(np.frombuffer(x) for x in rows["weight"])
+        change = sum(np.frombuffer(x) for x in rows["change"]).reshape(-1, wide) / np.maximum(weight, 1)[:, None]
+        return pd.DataFrame({"slab": rows["slab"].iloc[:1], "change": [change.astype(np.float32).tobytes()]})
+
+    # A task returns as much as its rows of the model, so many small tasks are joined.
+    tasks = texts.rdd.getNumPartitions()
+    tasks = min(tasks, max(tasks // 4, 2 * texts.sparkSession.sparkContext.defaultParallelism))
+    parts = texts.select("text", "held_out", "chunk").coalesce(max(1, tasks)).mapInArrow(
+        run, "slab int, part long, met binary, weight binary, change binary")
+    sums = (parts.withColumn("g", F.pmod("part", F.lit(max(1, math.isqrt(tasks))))).groupBy("slab", "g")
+                 .applyInPandas(some, "slab int, weight binary, change binary"))
+    rows = model.rows()
+    for got in sums.groupBy("slab").applyInPandas(whole, "slab int, change binary").collect():
+        at = got["slab"] * SLAB
+        rows[at:at + SLAB] += np.frombuffer(bytes(got["change"]), np.float32).reshape(-1, wide)[:len(rows) - at]
+    return Model.of_rows(rows, vocabulary.size)
 
 
 def score(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -381,35 +477,32 @@ def score(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_co
     """
     texts = _chunked(pick(docs, doc_id=id_col, text=text_col))
     pieces = _chunk_words(texts)
-    counts = stored(pieces.groupBy("h").agg(F.sum("n").alias("c"), F.max("tail").alias("tail"),
-                                            F.max(F.col("word").isNotNull().cast("int")).alias("named"))
+    counts = stored(pieces.groupBy("h").agg(F.sum("n").alias("c"), F.max("tail").alias("tail"))
                           .filter("c > 0"), "lm-counts")
-    vocabulary = vocabulary_of(counts, pieces)
+    vocabulary, hot = vocabulary_of(counts)
     model = Model.fresh(vocabulary)
     for number in range(rounds):
         model = _train_round(texts, vocabulary, model, number)
 
-    # Frequent words need no join: their counts go with the model, and no hot key is left.
-    top = {w: signed_hash(w) for w in vocabulary.words}
-    rare = ~F.col("h").isin(list(top.values()))
+    # The most frequent words need no join: their counts go with the model, and no hot key is left.
+    rare = ~F.col("h").isin(hot["h"].tolist())
     found = pieces.filter(rare).select("chunk", "h").join(counts.filter(rare).select("h", "c"), "h")
-    known = {r["h"]: r["c"] for r in counts.filter(~rare).select("h", "c").collect()}
-    top_counts = {w: known.get(h, 0) for w, h in top.items()}
+    hot_h, hot_c = hot["h"].to_numpy(), hot["c"].to_numpy()
     flat = model.flat()
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        h, c = words.column("h").to_numpy(), words.column("c").to_numpy()
+        h = np.concatenate([words.column("h").to_numpy(), hot_h])
+        c = np.concatenate([words.column("c").to_numpy(), hot_c])
         order = np.argsort(h)
-        return _score_chunk(docs, h[order], c[order], Model.of(flat, vocabulary.size), vocabulary, top_counts)
+        return _score_chunk(docs, h[order], c[order], Model.of(flat, vocabulary.size), vocabulary)
 
     return texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
         run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double")
 
 
-def _score_chunk(docs: pa.Table, h: np.ndarray, c: np.ndarray, model: Model, vocabulary: Vocabulary,
-                 top_counts: dict[bytes, int]) -> pa.Table:
+def _score_chunk(docs: pa.Table, h: np.ndarray, c: np.ndarray, model: Model, vocabulary: Vocabulary) -> pa.Table:
     if not docs.num_rows:
         return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
                          **{k: pa.array([], pa.int64()) for k in ("n_tokens", "n_known", "train_tokens")},
@@ -431,12 +524,10 @@ def _score_chunk(docs: pa.Table, h: np.ndarray, c: np.ndarray, model: Model, voc
     if len(h):
         at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
         count = np.where(h[at] == hashes, c[at], 0)
-    for w, n in top_counts.items():
-        if w in index:
-            count[index[w]] = n
-    symbol = np.fromiter(map(vocabulary.symbol, words), np.int64, len(words))
+    classes = len(vocabulary.class_total)
+    symbol = np.fromiter(map(Symbols(vocabulary.words, classes).__getitem__, words), np.int64, len(words))
     base = np.log10((count + 1) / (vocabulary.total + vocabulary.distinct + 1))
-    tail = (symbol >= 1) & (symbol <= CLASSES)
+    tail = (symbol >= 1) & (symbol <= classes)
     inner = np.zeros(len(words))
     inner[tail] = np.log((count[tail] + 1) / vocabulary.class_total[symbol[tail] - 1])
     symbols = symbol[tokens]

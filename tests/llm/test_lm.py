@@ -80,3 +80,31 @@ def test_odd_rows_empty_table_and_no_training_rows(spark, odd, empty):
     only = spark.createDataFrame([(i, "some words") for i in ids], "doc_id long, text string")
     rows = lm.op1(only).collect()
     assert len(rows) == 3 and all(r.n_known == 0 and r.base_score == 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_symbols_follow_the_vocabulary(spark):
+    words = [f"w{i}" for i in range(40_000)]
+    texts = [" ".join(words[k::50]) for k in range(50)] * 8
+    ids = [i for i in range(1000) if not held(i)][:len(texts)]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(8)
+    counts = lm._chunk_words(lm._chunked(docs)).groupBy("h").agg(lm.F.sum("n").alias("c"), lm.F.max("tail").alias("tail"))
+    frequent = counts.withColumn("c", lm.F.when(lm.F.pmod("h", lm.F.lit(20)) == 0, 100).otherwise(lm.F.col("c")))
+    vocabulary, _ = lm.vocabulary_of(frequent)
+    # No chunk of a partition need hold 8 tokens of a word: the count of the whole table decides.
+    assert len(vocabulary.words) > 1500 and vocabulary.size > 1500 + len(vocabulary.class_total) > 1500 + lm.CLASSES
+    assert lm.outputs_of(100 * 40_000) == 10 * lm.outputs_of(40_000) > lm.OUTPUTS
+    assert abs(vocabulary.unigram.sum() - 1) < 1e-9 and vocabulary.distinct == 40_001
+
+
+def test_words_of_any_rank_are_normalised_and_learned():
+    n = 5000
+    v = lm.Vocabulary({}, np.full(n, 1 / n), np.full(400, 3.0), 10, 4)
+    model, symbols = lm.Model.fresh(v), np.tile([4700, 4100, 4900, 1200, 3300, 2500], 3000)
+    logs = model.log_probabilities(np.arange(n), np.full(n, 4700), np.full(n, 4100))
+    assert abs(np.exp(logs).sum() - 1) < 1e-5
+    for turn in range(30):
+        lm.Trainer(model, v.unigram, turn).window(symbols, *lm.contexts_of(symbols, np.array([0]), n))
+    logs = model.log_probabilities(symbols[2:], symbols[1:-1], symbols[:-2])
+    assert logs.mean() > np.log(1 / n) + 2
+    again = lm.Model.of_rows(model.rows(), n)
+    assert all((a == b).all() for a, b in zip(vars(model).values(), vars(again).values()))
