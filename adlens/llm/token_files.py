@@ -21,6 +21,7 @@ succeeded. So a lost executor leaves at most an unreferenced file.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -161,6 +162,10 @@ class WordEncoder:
     spaces between pre-tokens; composition never crosses a space either. So the ids of a
     text are the ids of its words (split at ASCII white space), one after another, and each
     distinct word needs the library once per worker while it is cached.
+
+    Added tokens such as <|endoftext|> the library finds in the text as it stands, before all that,
+    and their neighbours are encoded apart. So texts are cut at them first; what lower-casing makes look like
+    one is plain text.
     """
 
     def __init__(self, path: str):
@@ -168,8 +173,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.tokenizer.encode_special_tokens = True  # for words, which hold no added token any more
+        # With a space before it an added token is no word.
+        ids = {got.content: k for k, got in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = {b" " + text.encode(): array("I", [k]).tobytes() for text, k in ids.items()}
+        longest = sorted(ids, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest)) or '(?!)'})")
+        self.known: dict[bytes, bytes] = dict(self.added)
 
     def _learn(self, words: set[bytes]) -> None:
         """Adds words to the cache. Marks that end a word after an ASCII letter or digit are a
@@ -193,11 +203,20 @@ class WordEncoder:
             known.update((word, array("I", got.ids).tobytes()) for word, got in zip(part, encoded))
         known.update((word, known[core] + known[marks]) for word, core, marks in cut)
 
+    def _words(self, text: str) -> list[bytes]:
+        if not self.cut.search(text):
+            return text.encode().lower().split()
+        out = []
+        for place, part in enumerate(self.cut.split(text)):
+            out += [b" " + part.encode()] if place % 2 else part.encode().lower().split()
+        return out
+
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [(t or "").encode().lower().split() for t in texts]
+        split = [self._words(t or "") for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
+            self.known.update(self.added)
         self._learn(set().union(*split).difference(self.known))
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, own)), np.uint32) for own in split]

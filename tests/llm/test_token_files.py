@@ -89,3 +89,21 @@ def test_odd_rows_and_empty_table(spark, odd, empty):
 def test_documents(spark):
     docs = read_table(spark, SF, "documents")
     assert _got(T.op6(spark, docs, PATH)) == _want([(r.doc_id, r.text) for r in docs.collect()])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", "World", "x",
+                                          " ", "\n", ".", "<", "̸", "İ"]), max_size=12).map("".join), max_size=5))
+def test_added_tokens_are_those_of_an_untouched_tokenizer(texts):
+    from tokenizers import Tokenizer
+
+    want = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False) if texts else []
+    assert [x.tolist() for x in ENCODER.batch(texts)] == [e.ids for e in want]
+
+
+def test_added_tokens_outlive_the_cache(monkeypatch):
+    encoder = T.WordEncoder(PATH)
+    monkeypatch.setattr(T, "CACHE_WORDS", 3)
+    for _ in range(2):
+        got = encoder.batch(["hello <|endoftext|> World x<|startoftext|>y"])
+        assert got[0].tolist() == [3306, 49407, 1002, 343, 49406, 344]
