@@ -3,15 +3,16 @@
 A ledger holds three tables, all written under the shared checkpoint folder:
 
 * ``holders`` (doc_id, key): which document holds which line key;
-* ``refs`` (key -> references, smallest and largest holder): the exact counts;
+* ``refs`` (key -> references, smallest and largest holder, generation): the exact counts;
 * ``filters`` (shard, generation -> cuckoo filter): a few bits per key.
 
 Inserting documents sums their keys first (a line that a third of all documents share arrives
 as one row), then each shard probes its filters: a key that no filter knows is certainly new
-and is appended as it is, only the others are merged with the exact counts. The new keys become
-the shard's next filter generation, so stored filters are never half-written. Deleting documents takes
-their holders away, recounts just the keys they held and removes keys without holders from
-the filters. False positives of a filter cost one exact look-up and never change a result.
+and is appended as it is, only the others are merged with the exact counts. The keys that the counts
+did not hold, also those that a filter took for known, become the shard's next filter generation, so
+stored filters are never half-written. Deleting documents takes their holders away, recounts just the
+keys they held and removes keys without holders from the filter of their own generation, so every mark
+is one living key's. False positives of a filter cost one exact look-up and never change a result.
 
 Keys are 128-bit hashes of the stripped, lower-cased line.
 """
@@ -32,13 +33,14 @@ MIN_CHARS = 10
 KEYS_PER_SHARD = 100_000
 MIN_SHARDS = 64
 _SLOTS = 4
+MARK_BITS = 16
 _KEY = ["k1", "k2"]
 
 
 # --- cuckoo filter: four 16-bit slots per bucket, 0 = free ------------------------------
-def _places(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _places(hashes: np.ndarray, buckets: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     h = hashes.view(np.uint64)
-    mark = (h >> np.uint64(48)).astype(np.uint16)
+    mark = (h >> np.uint64(64 - bits)).astype(np.uint16)
     mark[mark == 0] = 1
     return mark, (h & np.uint64(buckets - 1)).astype(np.int64)
 
@@ -48,14 +50,14 @@ def _other(at: np.ndarray, mark: np.ndarray, buckets: int) -> np.ndarray:
     return at ^ (spread & np.uint64(buckets - 1)).astype(np.int64)
 
 
-def cuckoo_build(hashes: np.ndarray) -> np.ndarray:
+def cuckoo_build(hashes: np.ndarray, bits: int = MARK_BITS) -> np.ndarray:
     """A filter of ``hashes`` (int64): buckets x 4 marks. Whole batches are placed at once; of
     the marks that compete for a bucket one wins per step, the rest go to their other bucket or
     push a mark out. A filter that will not settle is built again with twice the buckets."""
     buckets = 1 << max(2, int(np.ceil(np.log2(max(1, len(hashes)) / (_SLOTS * 0.8)))))
     while True:
         table = np.zeros((buckets, _SLOTS), np.uint16)
-        mark, at = _places(hashes, buckets)
+        mark, at = _places(hashes, buckets, bits)
         for turn in range(500):
             for slot in range(_SLOTS):
                 if not len(at):
@@ -76,15 +78,15 @@ def cuckoo_build(hashes: np.ndarray) -> np.ndarray:
         buckets *= 2
 
 
-def cuckoo_has(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    mark, at = _places(hashes, len(table))
+def cuckoo_has(table: np.ndarray, hashes: np.ndarray, bits: int = MARK_BITS) -> np.ndarray:
+    mark, at = _places(hashes, len(table), bits)
     both = (table[at] == mark[:, None]) | (table[_other(at, mark, len(table))] == mark[:, None])
     return both.any(axis=1)
 
 
-def cuckoo_delete(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def cuckoo_delete(table: np.ndarray, hashes: np.ndarray, bits: int = MARK_BITS) -> np.ndarray:
     """Which of ``hashes`` were found; one mark of each is cleared in ``table``."""
-    mark, at = _places(hashes, len(table))
+    mark, at = _places(hashes, len(table), bits)
     found = np.zeros(len(hashes), bool)
     for i, (m, a, b) in enumerate(zip(mark, at, _other(at, mark, len(table)))):
         for bucket in (a, b):
@@ -135,6 +137,7 @@ class LineLedger:
     filters: DataFrame | None = None
     shards: int = 0
     generation: int = 0
+    mark_bits: int = MARK_BITS
 
     def _sharded(self, frame: DataFrame, shards: int) -> DataFrame:
         return frame.withColumn("shard", F.pmod("k2", F.lit(shards)).cast("int"))
@@ -145,35 +148,36 @@ class LineLedger:
         new = stored(_holders(pick(docs, doc_id=id_col, text=text_col)), "ledger-holders")
         counted = stored(_counted(new), "ledger-batch")
         shards = self.shards or max(MIN_SHARDS, counted.count() // KEYS_PER_SHARD)
-        batch = self._sharded(counted, shards)
+        bits, fresh = self.mark_bits, counted.withColumn("generation", F.lit(self.generation))
         filters = self.filters if self.filters is not None else self.spark.createDataFrame([], _FILTERS)
 
         def probe(key: tuple, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
             hashes = rows["k1"].to_numpy()
             maybe = np.zeros(len(rows), bool)
             for payload in known["payload"]:
-                maybe |= cuckoo_has(_table(payload), hashes)
-            out = rows[["shard", *_KEY]].assign(maybe=maybe, payload=None)
-            if not maybe.all():
-                built = cuckoo_build(hashes[~maybe]).tobytes()
-                out = pd.concat([out, pd.DataFrame({"shard": [key[0]], "k1": [0], "k2": [0], "maybe": [False],
-                                                    "payload": [built]})])
-            return out
-
-        probed = stored(batch.select("shard", *_KEY).groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(
-            probe, "shard int, k1 long, k2 long, maybe boolean, payload binary"), "ledger-probes")
-        added = probed.filter(F.col("payload").isNotNull()).select(
-            "shard", F.lit(self.generation).alias("generation"), "payload")
+                maybe |= cuckoo_has(_table(payload), hashes, bits)
+            return rows[maybe][_KEY]
+
+        def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"shard": rows["shard"].iloc[:1], "generation": rows["generation"].iloc[:1],
+                                 "payload": [cuckoo_build(rows["k1"].to_numpy(), bits).tobytes()]})
+
         if self.refs is None:
-            refs = counted
+            refs = fresh
         else:
-            maybe = probed.filter("maybe").select(*_KEY)
-            exact = self.refs.unionByName(counted.join(maybe, _KEY, "left_semi")).groupBy(*_KEY).agg(
+            batch = self._sharded(counted.select(*_KEY), shards)
+            maybe = stored(batch.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(
+                probe, "k1 long, k2 long"), "ledger-probes")
+            exact = self.refs.unionByName(fresh.join(maybe, _KEY, "left_semi")).groupBy(*_KEY).agg(
                 F.sum("refs").alias("refs"), F.sum("nulls").alias("nulls"),
-                F.min("first").alias("first"), F.max("last").alias("last"))
-            refs = stored(exact.unionByName(counted.join(maybe, _KEY, "left_anti")), "ledger-refs")
+                F.min("first").alias("first"), F.max("last").alias("last"), F.min("generation").alias("generation"))
+            refs = stored(exact.unionByName(fresh.join(maybe, _KEY, "left_anti")), "ledger-refs")
+        # What the exact look-up has not found is new, whatever the filters said of it.
+        added = self._sharded(refs.filter(F.col("generation") == self.generation).select("generation", *_KEY), shards)
+        added = stored(added.select("shard", "generation", "k1").groupBy("shard").applyInPandas(build, _FILTERS),
+                       "ledger-filters")
         return LineLedger(self.spark, new if self.holders is None else self.holders.unionByName(new), refs,
-                          filters.unionByName(added), shards, self.generation + 1)
+                          filters.unionByName(added), shards, self.generation + 1, bits)
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineLedger:
         """The ledger without the documents of ``ids``; unknown and null ids change nothing."""
@@ -182,21 +186,23 @@ class LineLedger:
         gone = pick(ids, doc_id=id_col).distinct()
         left = stored(self.holders.join(gone, "doc_id", "left_anti"), "ledger-holders")
         touched = stored(self.holders.join(gone, "doc_id", "left_semi").select(*_KEY).distinct(), "ledger-touched")
-        again = stored(_counted(left.join(touched, _KEY, "left_semi")), "ledger-recount")
+        marked = self.refs.join(touched, _KEY, "left_semi").select(*_KEY, "generation")
+        again = stored(_counted(left.join(touched, _KEY, "left_semi")).join(marked, _KEY), "ledger-recount")
         refs = stored(self.refs.join(touched, _KEY, "left_anti").unionByName(again), "ledger-refs")
-        dead = self._sharded(touched.join(again, _KEY, "left_anti"), self.shards)
+        dead = self._sharded(marked.join(again, _KEY, "left_anti"), self.shards)
+        bits = self.mark_bits
 
         def clear(key: tuple, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-            hashes, done = rows["k1"].to_numpy(), []
-            for payload in known.sort_values("generation")["payload"]:
+            done = []
+            for generation, payload in zip(known["generation"], known["payload"]):
                 table = _table(payload)
-                hashes = hashes[~cuckoo_delete(table, hashes)] if len(hashes) else hashes
+                cuckoo_delete(table, rows["k1"][rows["generation"] == generation].to_numpy(), bits)
                 done.append(table.tobytes())
-            return known.sort_values("generation").assign(payload=done)
+            return known.assign(payload=done)
 
         filters = stored(dead.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(
             clear, _FILTERS), "ledger-filters")
-        return LineLedger(self.spark, left, refs, filters, self.shards, self.generation)
+        return LineLedger(self.spark, left, refs, filters, self.shards, self.generation, bits)
 
     def drops(self, rows: DataFrame) -> DataFrame:
         """``r1, r2, drops`` (line positions) for ``rows`` (``r1, r2, doc_id, text``) that lose lines."""

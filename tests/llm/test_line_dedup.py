@@ -73,3 +73,24 @@ def test_insertions_and_deletions_are_reversible(spark):
     assert result(back, new) == brute([r for r in rows if r[0] >= 120])
     again = back.insert(old)
     assert state(again) == state(ledger)
+
+
+def test_false_positives_survive_insert_delete_insert(spark):
+    """Marks of two bits: many new keys are taken for known."""
+    def docs(a, b, step=1):
+        return spark.createDataFrame([(i, f"a line of its own {i}\nin pairs of documents {i // 2}")
+                                      for i in range(a, b, step)], "doc_id long, text string")
+
+    def state(x):
+        rows = x.refs.select("k1", "k2", "refs", "first", "last").collect()
+        return sorted(map(str, rows))
+
+    def marks(x):
+        return sum(int((L._table(r.payload) > 0).sum()) for r in x.filters.collect())
+    both = L.LineLedger(spark, mark_bits=2).insert(docs(0, 600)).insert(docs(600, 1200))
+    assert marks(both) == both.refs.count() == 1800
+    some = both.delete(docs(0, 1200, 3).select("doc_id"))
+    assert marks(some) == some.refs.count()
+    again = some.insert(docs(0, 1200, 3))
+    assert state(again) == state(L.LineLedger(spark).insert(docs(0, 1200)))
+    assert marks(again) == again.refs.count() == again.refs.select("k1", "k2").distinct().count()
