@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.llm import ann, bpe, line_dedup, lm, mixing, quality, sharding, simhash, token_counts, token_files
+from adlens.llm import (ann, bpe, line_dedup, lm, mixing, quality, runs, sharding, simhash, token_counts,
+                        token_files)
 from adlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,8 @@ def op1_log_bilinear(spark, sf_dir):
 @register("op2_adaptive_scan")
 def op2_adaptive_scan(spark, sf_dir):
     return ann.op2(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    return runs.op11(read_table(spark, sf_dir, "documents"))
