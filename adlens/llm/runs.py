@@ -16,15 +16,16 @@ rows are independent.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import pick, words_of
+from adlens.llm.common import pick
 
 LEAST_WORDS = 6
 LEAST_PERIODS = 4
@@ -206,13 +207,15 @@ def _packs(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple
                 yield part.column(0).slice(begin, len(texts)), texts
 
 
-def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  words: Callable[[object, list], list] | None = None) -> DataFrame:
     """``doc_id``, ``runs`` (start, length, period by start, then period; start is a word
     number from 0), ``best`` (the run of greatest length / period) and ``collapsed`` (the words
     that no run holds after its first period, joined by one space) per row of ``docs``.
 
     A run is a maximal stretch of words with smallest period q, of at least 6 words and 4 q
-    words. Words are runs of characters other than space and \\x09-\\x0D, compared byte by byte. A
+    words. Words are runs of characters other than space and \\x09-\\x0D, compared byte by byte;
+    ``words``, if given, maps an id and its words to the words to be read instead. A
     null, empty or all-space text has no runs, a null ``best`` and an empty ``collapsed``.
     Texts of any length are read whole. Rows are independent: repeated rows, null ids, ties and
     empty tables need no care; extra columns are ignored.
@@ -223,6 +226,8 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _packs(batches):
+            if words:
+                texts = [words(k, w) for k, w in zip(keys.to_pylist(), texts)]
             found = find_runs(texts)
             best = [strongest(r) for r in found]
             yield pa.RecordBatch.from_pydict({
@@ -234,25 +239,22 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return base.mapInArrow(run, f"doc_id {id_type}, runs array<{RUN}>, best {RUN}, collapsed string")
 
 
-def planted(doc_id: Column, text: Column) -> Column:
-    """The text of which one in ten gets a periodic tail: with h the CRC-32 of the decimal id, a word i
-    from ``a = (h div 10) % n`` on becomes word ``a + (i - a) % p``, ``p = 1 + (n - a) div (3 + (h div 10) % 8)``.
+def planted(doc_id: int | None, words: list) -> list:
+    """One text in ten gets a periodic tail: with h the CRC-32 of the decimal id, a word i from
+    ``a = (h div 10) % n`` on becomes word ``a + (i - a) % p``, ``p = 1 + (n - a) div (3 + (h div 10) % 8)``.
     Others, and those of null ids, stay."""
-    words = words_of(text)
-    n = F.size(words)
-    h = F.crc32(doc_id.cast("string"))
-    g = F.floor(h / 10)
-    a = F.pmod(g, n)
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
-    tail = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
-        words, F.when(i >= a, a + F.pmod(i - a, p)).otherwise(i).cast("int")))
-    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(tail, " ")).otherwise(text)
+    h, n = 1 if doc_id is None else crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * (-(-(n - a) // p)))[:n - a]
 
 
 def op11(docs: DataFrame) -> DataFrame:
     """Runs of ``documents`` with planted tails, as digests."""
-    base = pick(docs, doc_id="doc_id", text="text")
-    found = periodic_runs(base.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    found = periodic_runs(docs, words=planted)
     line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"),
                                                   F.lit(","), r["period"].cast("string"), F.lit("\n")))
     best = F.col("best")
