@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.llm import (ann, bpe, line_dedup, lm, mixing, quality, runs, sharding, simhash, spelling,
-                        token_counts, token_files)
+from adlens.llm import (ann, bpe, jaccard, line_dedup, lm, mixing, quality, runs, sharding, simhash,
+                        spelling, token_counts, token_files)
 from adlens.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op11_periodic_runs(spark, sf_dir):
 @register("op13_spelling_variants")
 def op13_spelling_variants(spark, sf_dir):
     return spelling.op13(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_jaccard_join")
+def op12_jaccard_join(spark, sf_dir):
+    return jaccard.op12(read_table(spark, sf_dir, "documents"))
