@@ -379,7 +379,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     names = connected_components(links, None, "a", "b").select(F.col("id").alias("pt"), "component")
     labels = stored(classes.join(names, "pt", "left").select("key", F.coalesce("component", "pt").alias("label")), "jaccard-labels")
     named = stored(table.filter("n > 0").select("doc_id", "n", "key").join(labels, "key"), "jaccard-named")
-    best = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that the join may split a large component's label.
+    best = stored(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-names")
     return named.join(best, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id").unionByName(
         table.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
