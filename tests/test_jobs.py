@@ -5,7 +5,7 @@ import tempfile
 
 from adlens.plans.jobs import etl_job, profile_job, report_jobs
 from adlens.sources.derived import raw_log_path
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 
 
 def test_jobs_end_to_end(spark):

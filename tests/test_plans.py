@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 from adlens.plans.catalog import QUERIES
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 
 
 def _plan(df):

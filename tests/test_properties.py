@@ -9,7 +9,7 @@ from adlens.operators.merge import merge_tags
 from adlens.functions.scalar import lenient_int
 from adlens.sources.derived import derived_log
 from adlens.operators.identity import user_key
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 
 
 def test_tag_weights_sum_to_exploded_rows(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from adlens import schema as S
 from adlens.plans import reports as R
 from adlens.sources.derived import derived_log
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 
 
 def _totals(df):

@@ -12,7 +12,7 @@ from adlens.plans.profiles import user_profiles
 from adlens.sources.derived import derived_log
 from adlens.streaming.incremental import (kpi_report_stream, read_log_stream, start,
                                           user_profile_stream)
-from conftest import SF_SMALL
+from fixtures_small import SF_SMALL
 
 
 def _land_two_batches(spark):
