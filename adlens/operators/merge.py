@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions.scalar import md5_bucket
+from adlens.operators.dimensions import DEFAULT_MAX_BROADCAST_ROWS, is_broadcastable
 
 DEFAULT_CHUNK_SIZE = 10_000
 
@@ -31,20 +32,23 @@ def merge_tags(long_df: DataFrame, key: str | list[str], weight_col: str | None
 
 
 def chunked_collect(df: DataFrame, keys: list[str], item: Column, sort_key: Column,
-                    chunk_size: int = DEFAULT_CHUNK_SIZE, out_col: str = "items") -> DataFrame:
+                    chunk_size: int = DEFAULT_CHUNK_SIZE, out_col: str = "items",
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``(keys..., chunk, n_items, items)`` with each key's items split into bounded chunks.
 
     ``chunk`` = md5 bucket of ``sort_key`` among ``ceil(n / chunk_size)`` buckets, where ``n``
-    is the key's item count; items inside a chunk are sorted by ``sort_key``. The counts are
-    stored first, so that the join with them shuffles both sides and AQE may split a hot key, and the
-    rows are dealt anew by (key, chunk) before lists are built: the join's partitioning by
-    key alone would satisfy the grouping, and put all chunks of a key into one task.
+    is the key's item count; items inside a chunk are sorted by ``sort_key``. Only keys of more than one
+    chunk need their count: these are few (at most rows / ``chunk_size``), stored, and broadcast if their
+    measured size allows, so rows are exchanged once, by (key, chunk). Null keys are a group of their own.
     """
     base = df.select(*keys, sort_key.alias("__sk"), item.alias("__item"))
-    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
-    n_chunks = F.greatest(F.ceil(F.col("__n") / F.lit(float(chunk_size))), F.lit(1))
-    with_chunk = base.join(sizes, keys, "inner").withColumn(
-        "chunk", md5_bucket(F.col("__sk"), n_chunks).cast("int"))
+    hot = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > chunk_size)
+    hot = hot.select(*[F.col(k).alias(f"__{k}") for k in keys], "__n").checkpoint(eager=True)
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    side = F.broadcast(hot) if is_broadcastable(hot, max_broadcast_rows) else hot.hint("merge")
+    n_chunks = F.ceil(F.coalesce("__n", F.lit(1)) / F.lit(float(chunk_size)))
+    with_chunk = base.join(side, same, "left").withColumn(
+        "chunk", F.when(F.col("__n").isNull(), 0).otherwise(md5_bucket(F.col("__sk"), n_chunks).cast("int")))
     grouped = with_chunk.repartition(*keys, "chunk").groupBy(*keys, "chunk").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.array_sort(F.collect_list(F.struct(F.col("__sk").alias("k"), F.col("__item").alias("v"))))

@@ -379,3 +379,38 @@ ORACLE["geo_dim_upsert"] = (
     "fresh AS (SELECT geohash6, arg_max(areas, seq) AS areas FROM parsed WHERE areas <> '' GROUP BY geohash6) "
     "SELECT geohash6, areas AS business_areas FROM fresh UNION ALL "
     "SELECT geohash6, business_areas FROM geodim WHERE geohash6 NOT IN (SELECT geohash6 FROM fresh)")
+
+# kept up to date
+_N = "CAST(substr(sessionid, 2) AS BIGINT)"
+_DAYS = ("dayedges AS (SELECT DISTINCT CAST(n % 3 AS INTEGER) + 1 AS d, idl[1] AS src, unnest(idl) AS dst FROM "
+         f"(SELECT idl, {_N} AS n FROM base WHERE len(idl) > 0) x), "
+         "days AS (SELECT unnest([1, 2, 3]) AS day), "
+         "dund AS (SELECT DISTINCT day, src AS a, dst AS b FROM days JOIN dayedges ON d <= day "
+         "UNION SELECT DISTINCT day, dst, src FROM days JOIN dayedges ON d <= day), "
+         "dreach(day, id, root) AS (SELECT day, a, a FROM dund UNION SELECT dund.day, dund.b, dreach.root FROM dreach "
+         "JOIN dund ON dund.a = dreach.id AND dund.day = dreach.day WHERE dreach.root < dund.b), "
+         "dcc AS (SELECT day, id, min(root) AS component FROM dreach GROUP BY day, id)")
+ORACLE["components_incremental"] = (f"WITH RECURSIVE {TAG_CTES}, {_DAYS} SELECT CAST(day AS INTEGER) AS day, id, component "
+                                    "FROM dcc")
+ORACLE["component_renames"] = (
+    f"WITH RECURSIVE {TAG_CTES}, {_DAYS} SELECT DISTINCT o.component AS former, n.component FROM dcc o JOIN dcc n "
+    "ON o.component = n.id WHERE o.day = 2 AND n.day = 3 AND o.component <> n.component")
+ORACLE["profile_store_replaced"] = (
+    f"WITH {TAG_CTES}, times AS (SELECT sessionid, CASE WHEN {_N} % 3 = 1 THEN CASE WHEN {_N} % 5 <> 0 THEN 1 ELSE 0 END "
+    f"WHEN {_N} % 21 = 0 THEN 2 ELSE 1 END AS n FROM adlog) "
+    f"SELECT user_key, kind, tag, CAST(sum(n) AS BIGINT) AS weight FROM ({_union(V1)}) t JOIN times USING (sessionid) "
+    "GROUP BY user_key, kind, tag HAVING sum(n) > 0")
+
+# hub ids
+_REPLACED = ", ".join(f"{e} AS {c}" for c, e in D.placeholder_exprs().items())
+_PLANTED = TAG_CTES.replace(ADLOG, ADLOG.replace("adlog AS", "plainlog AS", 1)
+                            + f", adlog AS (SELECT * REPLACE ({_REPLACED}) FROM plainlog)", 1)
+_HUBS = (f"{_PLANTED}, cooc AS (SELECT DISTINCT a AS id, b AS other FROM (SELECT a, unnest(idl) AS b FROM "
+         "(SELECT idl, unnest(idl) AS a FROM base) x) y WHERE a <> b), "
+         "hubs AS (SELECT id, substr(id, 1, 2) AS kind, count(*) AS degree FROM cooc GROUP BY id HAVING count(*) >= 40), "
+         "hublist AS (SELECT coalesce(list(id), []) AS h FROM hubs), "
+         "kept AS (SELECT base.* REPLACE (list_filter(idl, lambda x: NOT list_contains(h, x)) AS idl) FROM base, hublist)")
+_KEPT = GRAPH.replace("FROM base ", "FROM kept ")
+ORACLE["hub_ids"] = f"WITH {_HUBS} SELECT id, kind, degree FROM hubs"
+ORACLE["components_without_hubs"] = f"WITH RECURSIVE {_HUBS}, {_KEPT} SELECT id, component FROM cc"
+ORACLE["component_profiles_without_hubs"] = ORACLE["component_profiles"].replace(TAG_CTES, _HUBS).replace(GRAPH, _KEPT)

@@ -16,8 +16,10 @@ from adlens.functions.geocode import parse_business_areas
 from adlens.functions.scalar import in_geo_box, is_blank, lenient_double, lenient_int, not_blank
 from adlens.operators import geo as G
 from adlens.operators import identity as Ident
+from adlens.operators.component_store import ComponentStore
 from adlens.operators.components import connected_components
 from adlens.operators.dimensions import resolve_app_name
+from adlens.operators.hubs import hub_ids
 from adlens.operators.kpi import kpi_report
 from adlens.operators.merge import profile_chunks, profile_map
 from adlens.operators.perturb import perturb_lines
@@ -25,6 +27,7 @@ from adlens.operators.tags import FAMILIES_V1, TagContext, register_family, row_
 from adlens.plans import profiles as P
 from adlens.plans import reports as R
 from adlens.plans.jobs import etl_job
+from adlens.plans.profile_store import ProfileStore
 from adlens.session import scratch_path
 from adlens.sources import derived as D
 from adlens.sources.derived import input_key
@@ -409,6 +412,73 @@ def q_custom_family_tags(spark, sf_dir):
     return row_tags(_log(spark, sf_dir), ["custom", "location"], TagContext(), ["sessionid"])
 
 
+# --- kept up to date: I5 / P4, S10 / P3 -----------------------------------------------------------------
+SESSION_NUMBER = "CAST(substr(sessionid, 2) AS BIGINT)"
+
+
+def _incremental(spark, sf_dir) -> ComponentStore:
+    """Three days of the log (dealt by session number), merged one after the other."""
+    store = ComponentStore(spark, scratch_path(spark, "component_store"), buckets=16)
+    log = _log(spark, sf_dir)
+    for day in (1, 2, 3):
+        _, edges = P.identity_graph(log.filter(f"{SESSION_NUMBER} % 3 = {day - 1}").select(*ID_COLS))
+        store.apply(edges, day)
+    return store
+
+
+@register("components_incremental")
+def q_components_incremental(spark, sf_dir):
+    """The labels after each day's increment."""
+    store = _incremental(spark, sf_dir)
+    days = [store.labels(day).select(F.lit(day).alias("day"), "id", "component") for day in (1, 2, 3)]
+    return days[0].unionByName(days[1]).unionByName(days[2])
+
+
+@register("component_renames")
+def q_component_renames(spark, sf_dir):
+    """Components that the last day gave another name."""
+    return _incremental(spark, sf_dir).renames(3)
+
+
+@register("profile_store_replaced")
+def q_profile_store_replaced(spark, sf_dir):
+    """Profiles of three days; then the second day is replaced: some rows fewer, and some late ones."""
+    store = ProfileStore(spark, scratch_path(spark, "profile_store"), buckets=16)
+    log, ctx = _log(spark, sf_dir), _ctx(spark, sf_dir)
+    for day in range(3):
+        store.put(f"2019092{day}", P.user_profiles(log.filter(f"{SESSION_NUMBER} % 3 = {day}"), ctx))
+    late = log.filter(f"({SESSION_NUMBER} % 3 = 1 AND {SESSION_NUMBER} % 5 <> 0) OR {SESSION_NUMBER} % 21 = 0")
+    store.put("20190921", P.user_profiles(late, ctx))
+    return store.weights()
+
+
+# --- hub ids: I1, I2, I4 --------------------------------------------------------------------------------
+HUB_DEGREE = 40
+
+
+def _planted(spark, sf_dir) -> DataFrame:
+    """The log with a placeholder IMEI on one row of nine, and one MAC of all rows of one row in thirty-one."""
+    return _log(spark, sf_dir).withColumns({c: F.expr(e) for c, e in D.placeholder_exprs().items()})
+
+
+@register("hub_ids")
+def q_hub_ids(spark, sf_dir):
+    return hub_ids(Ident.with_ids(_planted(spark, sf_dir).select(*ID_COLS)), default=HUB_DEGREE)
+
+
+@register("components_without_hubs")
+def q_components_without_hubs(spark, sf_dir):
+    log = _planted(spark, sf_dir)
+    return P.resolve_identities(log, hubs=hub_ids(Ident.with_ids(log.select(*ID_COLS)), default=HUB_DEGREE))
+
+
+@register("component_profiles_without_hubs")
+def q_component_profiles_without_hubs(spark, sf_dir):
+    log = _planted(spark, sf_dir)
+    hubs = hub_ids(Ident.with_ids(log.select(*ID_COLS)), default=HUB_DEGREE)
+    return P.person_profiles(log, _ctx(spark, sf_dir, with_geo=False), hubs=hubs)
+
+
 # --- hard inputs: K1, I5, J4 ---------------------------------------------------------------------------
 @register("kpi_dirty_amounts")
 def q_kpi_dirty_amounts(spark, sf_dir):

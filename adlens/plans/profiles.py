@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from adlens import schema as S
 from adlens.operators import identity as I
 from adlens.operators.components import connected_components
+from adlens.operators.hubs import edges_without, kept_heads
 from adlens.operators.merge import chunked_collect, merge_tags
 from adlens.operators.tags import FAMILIES_V1, FAMILIES_V2, TagContext, row_tags
 
@@ -43,19 +44,32 @@ def identity_graph(log: DataFrame, deny_ids: list[str] | None = None) -> tuple[D
 
 
 def resolve_identities(log: DataFrame, stats: dict | None = None,
-                       deny_ids: list[str] | None = None) -> DataFrame:
-    """``(id, component)`` over the identity graph of the log."""
+                       deny_ids: list[str] | None = None, hubs: DataFrame | None = None) -> DataFrame:
+    """``(id, component)`` over the identity graph of the log, without ``hubs`` (``id``) if given."""
     with_ids, edges = identity_graph(log.select(*[c for c, _ in S.ID_COLUMNS]), deny_ids)
+    if hubs is not None:
+        edges = edges_without(with_ids, hubs)
     return connected_components(edges, stats=stats)
 
 
 def person_profiles(log: DataFrame, ctx: TagContext, families: list[str] = FAMILIES_V2,
-                    labels: DataFrame | None = None, deny_ids: list[str] | None = None) -> DataFrame:
-    """``(component, kind, tag, weight)`` including each id with weight 0."""
+                    labels: DataFrame | None = None, deny_ids: list[str] | None = None,
+                    hubs: DataFrame | None = None) -> DataFrame:
+    """``(component, kind, tag, weight)`` including each id with weight 0.
+
+    With ``hubs`` (``id``, from :func:`adlens.operators.hubs.hub_ids`) a row belongs to the person of its
+    first id that is no hub; rows of hubs only belong to nobody.
+    """
     if labels is None:
-        labels = resolve_identities(log, deny_ids=deny_ids)
-    headed = log.withColumn("__id", I.head_id(deny_ids)).filter(F.col("__id").isNotNull())
-    by_head = merge_tags(row_tags(headed, families, ctx, ["__id"]), "__id")
+        labels = resolve_identities(log, deny_ids=deny_ids, hubs=hubs)
+    if hubs is None:
+        headed = log.withColumn("__id", I.head_id(deny_ids)).filter(F.col("__id").isNotNull())
+        by_head = merge_tags(row_tags(headed, families, ctx, ["__id"]), "__id")
+    else:
+        listed = I.with_ids(log, "__ids", deny_ids)
+        heads = kept_heads(listed, hubs, "__ids").withColumnRenamed("head", "__id")
+        by_list = merge_tags(row_tags(listed, families, ctx, ["__ids"]), "__ids")
+        by_head = by_list.join(heads, "__ids").drop("__ids")
     tag_long = I.attach_component(by_head, labels, F.col("__id"), ["kind", "tag", "weight"],
                                   **ctx.join_kw()).select("component", "kind", "tag", "weight")
     id_long = labels.select("component", F.lit("id").alias("kind"), F.col("id").alias("tag"),

@@ -13,7 +13,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -81,6 +81,12 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
+    def write_observed(self, df: DataFrame, name: str, value: Column) -> tuple[DataFrame, str, object]:
+        """As ``write``, and an aggregate of the rows, taken while they are written (no job of its own)."""
+        seen = Observation()
+        out, path = self.write(df.observe(seen, value.alias("value")), name)
+        return out, path, seen.get["value"]
+
     def drop(self, *paths: str) -> None:
         """Delete stored tables that nothing will read again."""
         jvm = self.spark._jvm

@@ -281,6 +281,13 @@ def dirty_price_expr() -> str:
             f"WHEN ({h}) % 13 = 3 THEN CAST(1267650600228229401496703205376 AS DOUBLE) ELSE winprice END")
 
 
+def placeholder_exprs() -> dict[str, str]:
+    """SQL (portable): id columns of the log with values that stand on the rows of many people."""
+    n = "CAST(substr(sessionid, 2) AS BIGINT)"
+    return {"imei": f"CASE WHEN {n} % 9 = 4 THEN '000000000000000' ELSE imei END",
+            "mac": f"CASE WHEN {n} % 31 = 7 THEN '02:00:00:00:00:00' ELSE mac END"}
+
+
 def chain_edge_sql(source: str = "events") -> str:
     """Each event is tied to the next one unless that begins a new block of 500; the ids are
     scrambled by a multiplication modulo a prime above every event id."""

@@ -36,7 +36,7 @@ def test_hot_key_is_dealt_by_key_and_chunk(spark):
     try:
         for k, v in held.items():
             spark.conf.set(k, v)
-        out = chunked_collect(w.checkpoint(), ["k"], F.col("item"), F.col("item"), chunk_size=500)
+        out = chunked_collect(w.checkpoint(), ["k"], F.col("item"), F.col("item"), chunk_size=500, max_broadcast_rows=0)
         plan = out._jdf.queryExecution().executedPlan().toString()
         spread = out.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
     finally:
