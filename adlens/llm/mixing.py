@@ -12,7 +12,8 @@ ranking is cut where its running total is nearest to what the target still wants
 The ranking is never sorted as a whole. Ranks are mapped to (0, 1) and summed in 256 buckets
 per source, the bucket that holds the cut is summed in 256 finer ones, and so once more; only
 documents in the last bucket are ordered by a window, so a source with a third of all rows costs what the
-others cost. All steps are DataFrame functions; documents are not shuffled.
+others cost. Rows alike in id and text are one entry with a count. All steps are DataFrame
+functions; documents are stored once and not shuffled.
 """
 
 from __future__ import annotations
@@ -118,31 +119,54 @@ def _cut_bucket(near: DataFrame, level: int) -> DataFrame:
 
 
 def _cuts(ranked: DataFrame) -> DataFrame:
-    """``_key, bucket, cut``: the finest bucket that holds the cut, and the last (rank, id, size) that the
-    source takes in it; no row for a source that takes all that are ranked."""
+    """``_key, bucket, cut, last_row``: the finest bucket that holds the cut, the last (rank, id, size) that
+    the source takes in it, and the last row of that rank if not all of them are taken; no row for a source that takes all that are ranked."""
     ranked = ranked.filter(F.col("_v").isNotNull())
     near = ranked.withColumn("spent", F.lit(0).cast("long"))
     for level in range(1, LEVELS + 1):
         found = stored(_cut_bucket(near, level), "mix-cut")
         near = ranked.join(_small(found), "_key").filter(_bucket(level) == F.col("bucket"))
-    upto = F.sum("_size").over(W.partitionBy("_key").orderBy("_v", "_id", "_size")
-                                .rowsBetween(W.unboundedPreceding, 0)) + F.col("spent")
-    taken = near.withColumn("upto", upto).filter(F.col("upto") - F.col("_size") / 2.0 <= F.col("rest"))
-    last = taken.groupBy("_key").agg(F.max(F.struct("_v", "_id", "_size")).alias("cut"))
-    return found.join(last, "_key", "left").select("_key", "bucket", "cut")
+    # Rows alike in id and text share a rank; they are counted first, and the cut may fall between them.
+    groups = near.groupBy("_key", "_v", "_id", "_size", "spent", "rest").agg(F.count(F.lit(1)).alias("m"))
+    before = F.coalesce(F.sum(F.col("m") * F.col("_size")).over(
+        W.partitionBy("_key").orderBy("_v", "_id", "_size").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col("spent")
+    some = F.least("m", F.floor((F.col("rest") - before) / F.col("_size") + 0.5))
+    last = stored(groups.withColumn("t", some).filter("t > 0").groupBy("_key")
+                        .agg(F.max(F.struct("_v", "_id", "_size", "t", "m")).alias("g"))
+                        .select("_key", F.struct("g._v", "g._id", "g._size").alias("cut"), "g.t", "g.m"), "mix-last")
+    return found.join(last, "_key", "left").join(_last_rows(near, last.filter("t < m")), "_key", "left") \
+        .select("_key", "bucket", "cut", "last_row")
+
+
+def _last_rows(near: DataFrame, partial: DataFrame) -> DataFrame:
+    """``_key, last_row``: the number of the last of the ``t`` rows that are taken of the group at the
+    cut. Rows are counted by the partition they were read in, and ordered in one partition only."""
+    rows = near.select("_key", "_v", "_id", "_size", "_row", F.shiftright("_row", 33).alias("part")) \
+        .join(_small(partial), "_key").filter(F.struct("_v", "_id", "_size") == F.col("cut")).select("_key", "_row", "part", "t")
+    parts = rows.groupBy("_key", "part", "t").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(W.partitionBy("_key").orderBy("part"))
+    at = parts.withColumn("upto", upto).filter((F.col("upto") >= F.col("t")) & (F.col("upto") - F.col("n") < F.col("t"))) \
+        .select("_key", "part", (F.col("t") - F.col("upto") + F.col("n")).alias("nth"))
+    place = F.row_number().over(W.partitionBy("_key").orderBy("_row"))
+    return rows.join(_small(stored(at, "mix-parts")), ["_key", "part"]).withColumn("place", place) \
+        .filter(F.col("place") == F.col("nth")).select("_key", F.col("_row").alias("last_row"))
 
 
 def with_copies(frame: DataFrame, doc_id: str, text: str, source: str, cycle=CYCLE, share: float = SHARE,
-                limit: int = LIMIT, seed: str = SEED) -> DataFrame:
-    """``frame`` plus ``_size, source_size, target`` and ``_copies``."""
-    drawn = _drawn(frame, doc_id, text, source, seed)
-    lean = stored(drawn.select("_source", "_id", "_size", "_class", "_u"), "mix-sizes")
+                limit: int = LIMIT, seed: str = SEED, drop: tuple = ()) -> DataFrame:
+    """``frame`` (without the columns ``drop``) plus ``_size, source_size, target`` and ``_copies``.
+
+    The rows are stored with their sizes, draws and numbers, so that every step sees the same ones."""
+    drawn = stored(_drawn(frame, doc_id, text, source, seed).withColumn("_row", F.monotonically_increasing_id()).drop(*drop),
+                   "mix-rows")
+    lean = drawn.select("_source", "_id", "_size", "_class", "_u", "_row")
     expected = stored(_expected(lean, cycle, share, limit), "mix-expected")
     cuts = stored(_cuts(_ranked(lean, expected)), "mix-cuts")
     fine, cut = _bucket(LEVELS), F.col("bucket")
     rank = F.struct("_v", "_id", "_size")
-    more = (F.when(F.col("_v").isNull(), False).when(cut.isNull() | (fine < cut), True)
-             .otherwise((fine == cut) & F.coalesce(rank <= F.col("cut"), F.lit(False))))
+    inside = F.coalesce(rank < F.col("cut"), F.lit(False)) | (F.coalesce(rank == F.col("cut"), F.lit(False))
+                                                             & F.coalesce(F.col("_row") <= F.col("last_row"), F.lit(True)))
+    more = F.when(F.col("_v").isNull(), False).when(cut.isNull() | (fine < cut), True).otherwise((fine == cut) & inside)
     return (_ranked(drawn, expected).join(_small(cuts), "_key", "left")
             .withColumn("_copies", F.when(F.col("_size") > 0, F.col("whole") + more.cast("int")).otherwise(0)))
 
@@ -152,8 +176,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The mix: every row of ``docs`` as often as it is taken, columns unchanged.
 
     Null and empty texts have no words and are not taken. The null source is a source of its
-    own, last in order. Ranks are a hash of id and text, so reruns agree; rows alike in both
-    stand or fall together. An empty table gives an empty mix.
+    own, last in order. Ranks are a hash of id and text, so reruns agree; of rows alike in both as
+    many are taken as the target wants, whichever they are. Texts of any length are counted whole.
+    Extra columns may clash with any name used here. An empty table gives an empty mix.
     """
     p = Positional(docs)
     out = with_copies(p.frame, p[id_col], p[text_col], p[source_col], **how)
@@ -161,7 +186,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def op3(docs: DataFrame) -> DataFrame:
-    out = with_copies(pick(docs, doc_id="doc_id", t="text", s="source"), "doc_id", "t", "s")
+    out = with_copies(pick(docs, doc_id="doc_id", t="text", s="source"), "doc_id", "t", "s", drop=("t",))
     return out.select("doc_id", F.col("_size").alias("size"), F.col("source_size"), "target",
                       (F.col("_copies") * F.col("_size")).cast("long").alias("taken"),
                       F.col("_copies").cast("int").alias("copies"))

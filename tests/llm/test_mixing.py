@@ -66,3 +66,16 @@ def test_longer_classes_have_higher_odds_and_the_plan_is_native(spark, odd):
     mean = {r["big"]: r["m"] for r in out.groupBy((F.col("size") > 300).alias("big")).agg(F.avg("copies").alias("m")).collect()}
     assert mean[True] > mean[False]
     assert "Python" not in mixing.op3(odd)._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("text", ["a b c d", "e f g h", "i j k l"])
+def test_rows_alike_are_cut_by_count(spark, text):
+    """A third of a source may be one text under null or repeated ids; the words still meet the target."""
+    rows = [(None, text, "a")] * 1500 + [(i, f"p{i} q{i} r{i} s{i}", "a") for i in range(1500)] \
+        + [(9000 + i // 700, "x y z w", "b") for i in range(2100)] + [(20_000 + i, f"u{i} v", "c") for i in range(1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    out = mixing.with_copies(docs, "doc_id", "text", "source")
+    per = out.groupBy("source", "target").agg(F.sum(F.col("_copies") * F.col("_size")).alias("taken")).collect()
+    assert len(per) == 3 and all(abs(r["taken"] - r["target"]) <= 2.01 for r in per)
+    first, again = (sorted(mixing.op3(d).select(F.coalesce("doc_id", F.lit(-1)), "copies").collect()) for d in (docs, docs.repartition(3)))
+    assert first == again
