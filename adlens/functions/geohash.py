@@ -53,6 +53,45 @@ def geohash_from_indexes(lon_idx: ColumnOrName, lat_idx: ColumnOrName, precision
     return F.translate(base32, _CONV_DIGITS, GEOHASH_ALPHABET)
 
 
+def indexes_of(cell: ColumnOrName, precision: int = 6) -> tuple[Column, Column]:
+    """(longitude cell index, latitude cell index) of a geohash of this precision."""
+    bits = F.lpad(F.conv(F.translate(_col(cell), GEOHASH_ALPHABET, _CONV_DIGITS), 32, 2), 5 * precision, "0")
+    return (F.conv(F.regexp_replace(bits, "(.)(.?)", "$1"), 2, 10).cast("bigint"),
+            F.conv(F.regexp_replace(bits, "(.)(.?)", "$2"), 2, 10).cast("bigint"))
+
+
+def shifted_indexes(x: Column, y: Column, dx: Column, dy: Column, precision: int = 6) -> tuple[Column, Column]:
+    """The indexes ``dx`` cells east and ``dy`` cells north. Longitude goes round at the date line; a step over
+    a pole comes down on the opposite meridian."""
+    lon_bits, lat_bits = _bits(precision)
+    east, north = 1 << lon_bits, 1 << lat_bits
+    to = y + dy
+    over = (to < 0) | (to >= north)
+    mirrored = F.when(to < 0, -to - 1).when(to >= north, 2 * north - 1 - to).otherwise(to)
+    return F.pmod(x + dx + F.when(over, F.lit(east // 2)).otherwise(F.lit(0)), F.lit(east)), mirrored
+
+
+def ring_offsets(ring: int) -> list[tuple[int, int]]:
+    """Steps to the cells at Chebyshev distance ``ring``: eight times ``ring`` of them, one for 0."""
+    side = range(-ring, ring + 1)
+    return [(dx, dy) for dx in side for dy in side if max(abs(dx), abs(dy)) == ring]
+
+
+def with_neighbours(df, cell: str, max_ring: int, precision: int = 6, out_col: str = "near"):
+    """``df`` once per cell within ``max_ring`` steps of ``cell`` (itself included), as ``out_col``, with
+    ``ring`` and ``steps`` (squared distance in cells). Near a pole one cell may come up on several ways."""
+    offsets = [(r, dx, dy) for r in range(max_ring + 1) for dx, dy in ring_offsets(r)]
+    x, y = indexes_of(cell, precision)
+    table = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                                for r, dx, dy in offsets]))
+    staged = df.withColumns({"__nx": x, "__ny": y}).withColumn("__o", table)
+    to_x, to_y = shifted_indexes(F.col("__nx"), F.col("__ny"), F.col("__o.dx"), F.col("__o.dy"), precision)
+    staged = staged.withColumns({"__tx": to_x, "__ty": to_y, "ring": F.col("__o.r"),
+                                 "steps": F.col("__o.dx") * F.col("__o.dx") + F.col("__o.dy") * F.col("__o.dy")})
+    return staged.withColumn(out_col, geohash_from_indexes("__tx", "__ty", precision)).drop(
+        "__nx", "__ny", "__o", "__tx", "__ty")
+
+
 def geohash(lat: ColumnOrName, lon: ColumnOrName, precision: int = 6) -> Column:
     """Geohash of a point as one Column expression.
 

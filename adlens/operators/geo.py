@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from adlens import schema as S
 from adlens.functions.geocode import business_areas_from_parsed, parse_response
-from adlens.functions.geohash import with_geohash
+from adlens.functions.geohash import with_geohash, with_neighbours
 from adlens.functions.scalar import in_geo_box, is_blank, lenient_double
 from adlens.operators.dimensions import join_dimension
 
@@ -62,6 +62,31 @@ def lookup_business(df: DataFrame, geo_dim: DataFrame, box_filter: bool = True,
     return out.drop("__cell")
 
 
+def nearest_cached(cells: DataFrame, geo_dim: DataFrame, max_ring: int = 2, **join_kw) -> DataFrame:
+    """``geohash6, near, ring, business_areas`` for each distinct cell of ``cells`` that has a cached cell
+    within ``max_ring`` steps: itself (ring 0), or the one of the nearest ring, of several the one fewest steps away,
+    then the smallest.
+
+    Only distinct cells are looked at, and only those that are not cached look around: at most
+    ``(2 max_ring + 1) ** 2`` keys each, in one join.
+    """
+    own = join_dimension(cells.select(CELL).filter(F.col(CELL).isNotNull()).distinct(),
+                         geo_dim.select(F.col(CELL).alias("near"), "business_areas"), F.col(CELL) == F.col("near"), "left", **join_kw)
+    held = own.filter(F.col("near").isNotNull()).select(CELL, "near", F.lit(0).alias("ring"), "business_areas")
+    around = with_neighbours(own.filter(F.col("near").isNull()).select(CELL), CELL, max_ring)
+    met = join_dimension(around.filter("ring > 0"), geo_dim.select(F.col(CELL).alias("near"), "business_areas"), "near", "inner", **join_kw)
+    best = met.groupBy(CELL).agg(F.min(F.struct("ring", "steps", "near", "business_areas")).alias("b"))
+    return held.unionByName(best.select(CELL, "b.near", "b.ring", "b.business_areas"))
+
+
+def lookup_business_near(df: DataFrame, geo_dim: DataFrame, max_ring: int = 2, **join_kw) -> DataFrame:
+    """J3 with a fallback: as ``lookup_business`` for points inside the box, but a cell that is not cached takes
+    the areas of the nearest cached one within ``max_ring`` steps. Adds ``near``, ``ring`` and ``business_areas``."""
+    cells = with_cell(df)
+    near = nearest_cached(cells, geo_dim, max_ring, **join_kw).withColumnRenamed(CELL, "__cell")
+    return join_dimension(cells, near, F.col(CELL) == F.col("__cell"), "left", **join_kw).drop("__cell")
+
+
 def missing_cells(df: DataFrame, geo_dim: DataFrame, **join_kw) -> DataFrame:
     """Distinct in-box cells absent from the cache, each with one representative point.
 

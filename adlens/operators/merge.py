@@ -11,6 +11,7 @@ normal case) get exactly one chunk holding the whole sorted list.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.functions.scalar import md5_bucket
@@ -91,3 +92,15 @@ def profile_map(weights: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SI
     item = F.struct(F.col("tag").alias("tag"), F.col("weight").alias("weight"))
     chunks = chunked_collect(weights, [key], item, F.col("tag"), chunk_size, "__items")
     return chunks.select(key, "chunk", F.map_from_entries("__items").alias("profile"))
+
+
+def top_tags(weights: DataFrame, key: str, n: int, kind: bool = False) -> DataFrame:
+    """The ``n`` heaviest tags of each ``key`` with their ``rank`` (from 1): exact, ties by kind and tag.
+
+    With ``kind`` the ranking is within (key, kind). The weights must be summed up. Each task passes on
+    its own ``n`` best rows of a key only (a rank bound below the exchange), so of the shared anonymous user,
+    however many tags it has, at most ``n`` rows per task meet in one place. Spark keeps that bound for ``n`` up to 1000.
+    """
+    groups = [key, "kind"] if kind else [key]
+    rank = F.row_number().over(W.partitionBy(*groups).orderBy(F.col("weight").desc(), "kind", "tag"))
+    return weights.select(key, "kind", "tag", "weight").withColumn("rank", rank).filter(F.col("rank") <= n)

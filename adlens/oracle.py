@@ -414,3 +414,49 @@ _KEPT = GRAPH.replace("FROM base ", "FROM kept ")
 ORACLE["hub_ids"] = f"WITH {_HUBS} SELECT id, kind, degree FROM hubs"
 ORACLE["components_without_hubs"] = f"WITH RECURSIVE {_HUBS}, {_KEPT} SELECT id, component FROM cc"
 ORACLE["component_profiles_without_hubs"] = ORACLE["component_profiles"].replace(TAG_CTES, _HUBS).replace(GRAPH, _KEPT)
+
+# reports by day
+_PRICE_KIND = ("SELECT * REPLACE (CASE WHEN price_kind = 'finite' THEN win_price_k END AS win_price_k) FROM "
+               "(SELECT *, CASE WHEN isnan(win_price_k) THEN 'nan' WHEN isinf(win_price_k) THEN 'infinite' "
+               "ELSE 'finite' END AS price_kind FROM k) c")
+ORACLE["report_store_location"] = (
+    f"WITH {ADLOG}, dirty AS (SELECT * REPLACE ({D.dirty_price_expr()} AS winprice) FROM adlog), "
+    f"counted AS (SELECT * FROM dirty WHERE {_N} % 3 <> 1 OR {_N} % 5 <> 0 UNION ALL SELECT * FROM dirty WHERE {_N} % 21 = 0), "
+    f"k AS (SELECT provincename, cityname,{KPI_SELECT} FROM counted GROUP BY provincename, cityname) {_PRICE_KIND}")
+ORACLE["report_store_days"] = (
+    f"WITH {ADLOG} SELECT provincename, cityname, count(*) AS ct FROM (SELECT provincename, cityname FROM adlog "
+    f"WHERE {_N} % 3 = 2 OR ({_N} % 3 = 1 AND {_N} % 5 <> 0) UNION ALL SELECT provincename, cityname FROM adlog "
+    f"WHERE {_N} % 21 = 0) x GROUP BY provincename, cityname")
+
+# clustered log
+ORACLE["clustered_user_weights"] = ORACLE["user_tag_weights"]
+ORACLE["clustered_event_component"] = ORACLE["event_component"]
+
+# rejected lines
+_BROKEN = (f"raw AS ({D.broken_line_sql('events')}), fields AS (SELECT string_split(value, ',') AS f, value FROM raw)")
+ORACLE["raw_log_rejects"] = (
+    f"WITH {_BROKEN} SELECT CASE WHEN trim(value) = '' THEN 'blank' WHEN len(f) = 1 THEN 'no_fields' ELSE 'few_fields' END "
+    "AS verdict, value AS line, CAST(len(f) AS INTEGER) AS n_fields, true AS has_file, true AS has_block "
+    "FROM fields WHERE len(f) < 85")
+ORACLE["raw_log_accepted"] = f"WITH {_BROKEN} SELECT {_typed_select()} FROM fields WHERE len(f) >= 85"
+
+# worklist and near cells
+ORACLE["geo_worklist_stream"] = (f"WITH {ADLOG}, {GEO} SELECT geohash6 FROM geo_cells WHERE geohash6 NOT IN "
+                                 "(SELECT geohash6 FROM geodim)")
+_LON = f"CAST(floor(({lenient_double('long')} + 180.0) / 360.0 * 32768.0) AS BIGINT)"
+_LAT = f"CAST(floor(({lenient_double('lat')} + 90.0) / 180.0 * 32768.0) AS BIGINT)"
+ORACLE["business_near"] = (
+    f"WITH {ADLOG}, {GEO}, moved AS (SELECT {', '.join(f'{e} AS {c}' for c, e in D.drift_exprs().items())} FROM adlog), "
+    f"pos AS (SELECT DISTINCT {CELL} AS geohash6, {_LON} AS x, {_LAT} AS y FROM moved WHERE {IN_BOX}), "
+    f"known AS (SELECT DISTINCT {CELL} AS geohash6, {_LON} AS x, {_LAT} AS y FROM adlog WHERE {IN_BOX}), "
+    "held AS (SELECT known.*, business_areas FROM known JOIN geodim USING (geohash6)), "
+    "met AS (SELECT p.geohash6, h.geohash6 AS near, CAST(greatest(abs(p.x - h.x), abs(p.y - h.y)) AS INTEGER) AS ring, "
+    "(p.x - h.x) ** 2 + (p.y - h.y) ** 2 AS steps, h.business_areas FROM pos p JOIN held h "
+    "ON h.x BETWEEN p.x - 2 AND p.x + 2 AND h.y BETWEEN p.y - 2 AND p.y + 2) "
+    "SELECT geohash6, near, ring, business_areas FROM met "
+    "QUALIFY row_number() OVER (PARTITION BY geohash6 ORDER BY ring, steps, near) = 1")
+
+# heaviest tags
+for key, groups, most in [("user_top_tags", "user_key", 5), ("user_top_tags_by_kind", "user_key, kind", 2)]:
+    ORACLE[key] = (f"WITH {TAG_CTES}, {USER_WEIGHTS} SELECT user_key, kind, tag, weight, CAST(row_number() OVER "
+                   f"(PARTITION BY {groups} ORDER BY weight DESC, kind, tag) AS INTEGER) AS rank FROM uw QUALIFY rank <= {most}")

@@ -21,22 +21,30 @@ from adlens.operators.components import connected_components
 from adlens.operators.dimensions import resolve_app_name
 from adlens.operators.hubs import hub_ids
 from adlens.operators.kpi import kpi_report
-from adlens.operators.merge import profile_chunks, profile_map
+from adlens.operators.merge import profile_chunks, profile_map, top_tags
 from adlens.operators.perturb import perturb_lines
 from adlens.operators.tags import FAMILIES_V1, TagContext, register_family, row_tags
 from adlens.plans import profiles as P
 from adlens.plans import reports as R
 from adlens.plans.jobs import etl_job
 from adlens.plans.profile_store import ProfileStore
+from adlens.plans.report_store import ReportStore
 from adlens.session import scratch_path
 from adlens.sources import derived as D
+from adlens.sources.clustered_log import ClusteredLog
 from adlens.sources.derived import input_key
 from adlens.sources.dictionaries import load_app_dict, load_stopwords, parse_app_dict, stopwords_frame
 from adlens.sources.rawlog import read_raw_log, type_log
+from adlens.sources.rejects import ingest_with_rejects
 from adlens.sources.sinks import read_log, report_lines, write_log, write_partitioned_json, write_profiles
+from adlens.streaming.incremental import read_log_stream
+from adlens.streaming.worklist import read_worklist, start_worklist
 
 ID_COLS = [c for c, _ in S.ID_COLUMNS]
 
+# How far a point may look for a cached cell.
+NEAR_RINGS = 2
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -452,6 +460,99 @@ def q_profile_store_replaced(spark, sf_dir):
     return store.weights()
 
 
+def _report_store(spark, sf_dir) -> ReportStore:
+    """Dirty prices; three days, then the second one is replaced and gets late rows on top."""
+    store = ReportStore(spark, scratch_path(spark, "report_store"), buckets=16)
+    log = _log(spark, sf_dir).withColumn("winprice", F.expr(D.dirty_price_expr()))
+    for day in range(3):
+        store.put_log(f"2019092{day}", log.filter(f"{SESSION_NUMBER} % 3 = {day}"))
+    store.put_log("20190921", log.filter(f"{SESSION_NUMBER} % 3 = 1 AND {SESSION_NUMBER} % 5 <> 0"))
+    store.add_log("20190921", log.filter(f"{SESSION_NUMBER} % 21 = 0"))
+    return store
+
+
+@register("report_store_location")
+def q_report_store_location(spark, sf_dir):
+    k = F.col("win_price_k")
+    kind = F.when(F.isnan(k), "nan").when(F.abs(k) == float("inf"), "infinite").otherwise("finite")
+    return _report_store(spark, sf_dir).report("location").withColumn("price_kind", kind).withColumn(
+        "win_price_k", F.when(F.col("price_kind") == "finite", k))
+
+
+@register("report_store_days")
+def q_report_store_days(spark, sf_dir):
+    """Row counts by city of the last two days, from their parts."""
+    return _report_store(spark, sf_dir).city_count(["20190921", "20190922"])
+
+
+# --- clustered log: S3 / P1 with K11 and J5 --------------------------------------------------------------
+def _clustered(spark, sf_dir) -> ClusteredLog:
+    path = scratch_path(spark, "clustered_log")
+    return ClusteredLog(spark, "log_" + path.rpartition("-")[2], path, buckets=16).write(_log(spark, sf_dir))
+
+
+@register("clustered_user_weights")
+def q_clustered_user_weights(spark, sf_dir):
+    return _clustered(spark, sf_dir).weights(_ctx(spark, sf_dir))
+
+
+@register("clustered_event_component")
+def q_clustered_event_component(spark, sf_dir):
+    log = _clustered(spark, sf_dir)
+    log.write_labels(P.resolve_identities(_log(spark, sf_dir)))
+    return log.components(["sessionid"])
+
+
+# --- rejected lines: S1 / P1 -----------------------------------------------------------------------------
+def _ingest(spark, sf_dir):
+    """The raw log with blank lines, comments and cut lines in it."""
+    raw, out = scratch_path(spark, "broken_log"), scratch_path(spark, "ingest")
+    spark.sql(D.broken_line_sql("{src}"), src=D.read_events(spark, sf_dir)).select("value").write.text(raw)
+    return ingest_with_rejects(spark, raw, out)
+
+
+@register("raw_log_rejects")
+def q_raw_log_rejects(spark, sf_dir):
+    return _ingest(spark, sf_dir).rejected().select(
+        "verdict", "line", "n_fields", F.col("file").isNotNull().alias("has_file"), (F.col("block_start") >= 0).alias("has_block"))
+
+
+@register("raw_log_accepted")
+def q_raw_log_accepted(spark, sf_dir):
+    return _ingest(spark, sf_dir).log()
+
+
+# --- geocoder worklist as a stream, near cells: J4, J3 ---------------------------------------------------
+@register("geo_worklist_stream")
+def q_geo_worklist_stream(spark, sf_dir):
+    """The log arrives in three folders; the stream is started anew for each."""
+    base, dim = scratch_path(spark, "worklist"), _geo_dim(spark, sf_dir)
+    for part in range(3):
+        _log(spark, sf_dir).filter(f"{SESSION_NUMBER} % 3 = {part}").write.parquet(f"{base}/log/part={part}")
+        stream = read_log_stream(spark, f"{base}/log/*")
+        start_worklist(stream, lambda _: dim, f"{base}/cells", f"{base}/state").awaitTermination()
+    return read_worklist(spark, f"{base}/cells").select(G.CELL)
+
+
+@register("business_near")
+def q_business_near(spark, sf_dir):
+    """Points that lie beside the cells of the log, against the cells that were geocoded."""
+    points = _log(spark, sf_dir).select("sessionid", "long", "lat").withColumns(
+        {c: F.expr(e) for c, e in D.drift_exprs().items()})
+    return G.nearest_cached(G.in_box_cells(points), _geo_dim(spark, sf_dir), max_ring=NEAR_RINGS)
+
+
+# --- heaviest tags: K11, K14 -----------------------------------------------------------------------------
+@register("user_top_tags")
+def q_user_top_tags(spark, sf_dir):
+    return top_tags(_weights(spark, sf_dir), "user_key", 5)
+
+
+@register("user_top_tags_by_kind")
+def q_user_top_tags_by_kind(spark, sf_dir):
+    return top_tags(_weights(spark, sf_dir), "user_key", 2, kind=True)
+
+
 # --- hub ids: I1, I2, I4 --------------------------------------------------------------------------------
 HUB_DEGREE = 40
 

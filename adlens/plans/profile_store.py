@@ -1,104 +1,23 @@
-"""P3 / S10 kept up to date: profiles as mergeable day parts.
-
-``days`` holds the tag weights of each day's log, ``total`` their sum over all days, both in hash
-buckets of the user key. Putting a day sums its log, subtracts what that day had before (nothing, if it
-is new) and adds the difference to the totals of the buckets in which there is one; other buckets are
-neither read nor written. Weights are whole numbers, so a replaced day leaves exactly what a rebuild from
-all logs would give; a tag whose weight comes to zero is gone.
-
-A put writes the day first, then the totals with the day's version in their rows. Should it die in
-between, the next put of any day sees that the totals lack a version and sums its buckets anew from the days.
-"""
+"""P3 / S10 kept up to date: profiles as mergeable day parts (:mod:`adlens.sources.day_store`)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.session import Scratch
-from adlens.sources.bucket_store import DEFAULT_BUCKETS, BucketStore
+from adlens.sources.day_store import DayStore
 
 WEIGHTS = "user_key string, kind string, tag string, weight bigint"
 KEYS = ["user_key", "kind", "tag"]
 
 
-class ProfileStore:
-    def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-        self.total = BucketStore(spark, f"{path}/total", WEIGHTS, "user_key", buckets)
-        self.merged_buckets: set[int] = set()
-
-    def day(self, dt: str) -> BucketStore:
-        """The parts of one day; its last version counts."""
-        if not dt.isalnum():
-            raise ValueError(f"a day is letters and digits only, not {dt!r}")
-        return BucketStore(self.spark, f"{self.path}/days/dt={dt}", WEIGHTS, "user_key", self.buckets)
-
-    def days(self) -> list[str]:
-        fs, target = self.total._fs(f"{self.path}/days")
-        if not fs.exists(target):
-            return []
-        names = sorted(s.getPath().getName().partition("=")[2] for s in fs.listStatus(target))
-        return [dt for dt in names if self.day(dt).versions()]
-
-    def _day_rows(self, dt: str, buckets=None) -> DataFrame:
-        store = self.day(dt)
-        return store.read(store.versions()[-1:], buckets).select(*KEYS, "weight", "bucket")
-
-    def _sum(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*KEYS).agg(F.sum("weight").alias("weight")).filter("weight <> 0")
-
-    def put(self, dt: str, weights: DataFrame) -> None:
-        """``weights`` (``user_key, kind, tag, weight``) as the whole of day ``dt``, new or in place of what it was."""
-        scratch = Scratch(self.spark)
-        store, behind = self.day(dt), self._behind()
-        old = self._day_rows(dt) if store.versions() else None
-        new, new_path = scratch.write(self._sum(weights.select(*KEYS, "weight")), "profile-day")
-        change = new if old is None else self._sum(
-            new.unionByName(old.select(*KEYS, (-F.col("weight")).alias("weight"))))
-        change, change_path = scratch.write(change.withColumn("bucket", self.total.bucket("user_key")), "profile-change")
-        version = max([0, *store.versions(), *self.total.versions()]) + 1
-        store.write(new, version)
-        touched = {r[0] for r in change.select("bucket").distinct().collect()}
-        self.merged_buckets = touched | behind
-        parts = []
-        if touched - behind:
-            parts += [self.total.read_newest(touched - behind).select(*KEYS, "weight"),
-                      change.filter(~F.col("bucket").isin(list(behind))).select(*KEYS, "weight")]
-        if behind:
-            parts += [self._day_rows(d, behind).select(*KEYS, "weight") for d in self.days()]
-        rows = new.limit(0) if not parts else parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        # A bucket that lost all its rows is written as an empty one by a row of weight zero, which readers leave out.
-        empty = self.spark.createDataFrame([(b,) for b in sorted(self.merged_buckets)], "bucket int")
-        self._write_total(self._sum(rows), empty, version)
-        scratch.drop(new_path, change_path)
-        for v in store.versions()[:-1]:
-            store.drop(v)
-        self.total.vacuum()
-
-    def _write_total(self, rows: DataFrame, touched: DataFrame, version: int) -> None:
-        """Rows of the touched buckets, and a mark (null key) in each of them."""
-        marks = touched.select(F.lit(None).cast("string").alias("user_key"), F.lit(None).cast("string").alias("kind"),
-                               F.lit(None).cast("string").alias("tag"), F.lit(0).cast("bigint").alias("weight"), "bucket")
-        out = rows.withColumn("bucket", self.total.bucket("user_key")).unionByName(marks)
-        out.repartition("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(4))).write.mode("overwrite") \
-           .option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{self.path}/total/v={version}")
-
-    def _behind(self) -> set[int]:
-        """Buckets of days whose version the totals lack: a put that did not end."""
-        done = set(self.total.versions())
-        return {b for dt in self.days() for v in self.day(dt).versions() if v not in done and v > max(done, default=0)
-                for b in range(self.buckets)}
+class ProfileStore(DayStore):
+    schema, keys, values, bucket_key, alive = WEIGHTS, KEYS, ["weight"], "user_key", "weight"
 
     def weights(self, buckets=None) -> DataFrame:
         """``user_key, kind, tag, weight`` over all days."""
-        if self._behind():
-            raise RuntimeError("a put did not end; put that day again")
-        return self.total.read_newest(buckets).filter(F.col("user_key").isNotNull()).select(*KEYS, "weight")
+        return self.sums(buckets)
 
     def user(self, user_key: str) -> DataFrame:
         """One user's weights: a single bucket is read."""
-        bucket = self.spark.range(1).select(self.total.bucket(F.lit(user_key))).first()[0]
-        return self.weights([bucket]).filter(F.col("user_key") == user_key)
+        return self.weights([self.bucket_of(F.lit(user_key))]).filter(F.col("user_key") == user_key)

@@ -194,6 +194,12 @@ def raw_line_sql(source: str = "events") -> str:
     )
 
 
+def broken_line_sql(source: str = "events") -> str:
+    """The raw lines with blank ones, comments and lines of a few fields among them."""
+    return (f"SELECT line_no, CASE line_no % 50 WHEN 9 THEN '' WHEN 29 THEN '  ' WHEN 33 THEN concat('# event ', {_s('line_no')}) "
+            f"WHEN 41 THEN substr(value, 1, 40) ELSE value END AS value FROM ({raw_line_sql(source)}) AS plain")
+
+
 _RAW_PATHS: dict[tuple, str] = {}
 
 
@@ -288,6 +294,13 @@ def placeholder_exprs() -> dict[str, str]:
             "mac": f"CASE WHEN {n} % 31 = 7 THEN '02:00:00:00:00:00' ELSE mac END"}
 
 
+def drift_exprs() -> dict[str, str]:
+    """SQL (portable): the log's points moved by up to three cells east and two north."""
+    n = "CAST(substr(sessionid, 2) AS BIGINT)"
+    return {"long": f"{_s(f'TRY_CAST(long AS DOUBLE) + ({n} % 4) * CAST(0.011 AS DOUBLE)')}",
+            "lat": f"{_s(f'TRY_CAST(lat AS DOUBLE) + ({n} % 3) * CAST(0.0055 AS DOUBLE)')}"}
+
+
 def chain_edge_sql(source: str = "events") -> str:
     """Each event is tied to the next one unless that begins a new block of 500; the ids are
     scrambled by a multiplication modulo a prime above every event id."""
