@@ -98,14 +98,13 @@ def adaptive_scan(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, que
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, v``, stored: one row per non-null id whose vector is not null or zero, has only finite
-    components and the table's most frequent length. Of rows with one id the smallest vector counts."""
+    """``vec_id, v, row``, stored: the rows with an id whose vector is not null or zero and has only finite
+    components, of any length. Rows alike in id and vector count once; different vectors of one id are
+    rows of their own. ``row`` numbers them."""
     ok = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     clean = (pick(rows, vec_id=id_col, v=vector_col).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-             .filter(ok).groupBy("vec_id").agg(F.min("v").alias("v")))
-    clean = stored(clean, "ann-vectors")
-    dim = clean.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), "n").first()
-    return clean.filter(F.size("v") == dim["n"]) if dim else clean
+             .filter(ok).distinct())
+    return stored(clean.withColumn("row", F.monotonically_increasing_id()), "ann-vectors")
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -113,19 +112,35 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, probed: float = PROBED) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for ``vectors`` and ``queries`` (``vec_id, v``, as ``usable`` gives).
+    """``query_id, rank, vec_id, score`` for ``vectors`` and ``queries`` (``vec_id, v, row``, as ``usable`` gives).
 
     Lists are probed from the nearest on: the share ``probed`` of all lists, and further ones
     until ``k`` other vectors are in reach, so small tables return all there is. Ties go to
     the smaller id. Without vectors or queries there are no rows.
+
+    Candidates of a query are the rows of other ids whose vectors are as long as its own; each length that queries
+    have is searched by itself. An id with several vectors may come up once for each. A query id with several
+    vectors is one query: a candidate's score is the one to the nearest of them.
     """
     spark = vectors.sparkSession
-    schema = "query_id long, vec_id long, score double"
+    found = spark.createDataFrame([], FOUND)
+    # Lengths of vectors, not rows, reach the driver.
+    for length in sorted(r[0] for r in queries.select(F.size("v")).distinct().collect()):
+        same = F.size("v") == length
+        found = found.unionByName(_of_length(vectors.filter(same), queries.filter(same), k, probed))
+    nearest_of = found.groupBy("query_id", "row", "vec_id").agg(F.min("score").alias("score"))
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
+    return nearest_of.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+FOUND = "query_id long, row long, vec_id long, score double"
+
+
+def _of_length(vectors: DataFrame, queries: DataFrame, k: int, probed: float) -> DataFrame:
+    """``FOUND`` rows among vectors of one length: each query vector's best of every group of a probed list."""
     n = vectors.count()
-    if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lists = min(MAX_LISTS, n, 1 << round(np.log2(n) / 2))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).select("v").toPandas()
     centres = centroids_of(_matrix(sample["v"]), lists)
     turned = rotation(centres.shape[1])
     kind = vectors.schema["v"].dataType.simpleString()
@@ -135,7 +150,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, probed: float =
             if len(rows):
                 yield rows.assign(list=nearest(_matrix(rows["v"]), centres).astype(np.int32))
 
-    assigned = stored(vectors.mapInPandas(assign, f"vec_id long, v {kind}, list int"), "ann-lists")
+    assigned = stored(vectors.mapInPandas(assign, f"vec_id long, v {kind}, row long, list int"), "ann-lists")
     # One number per list, so at most MAX_LISTS rows.
     sizes = np.zeros(lists, np.int64)
     for r in assigned.groupBy("list").count().collect():
@@ -152,9 +167,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, probed: float =
                 last = np.maximum(wanted, (reach < k + 1).sum(axis=1) + 1)
                 which, place = np.nonzero((np.arange(lists) < last[:, None]) & (sizes[order] > 0))
                 yield pd.DataFrame({"query_id": part["vec_id"].to_numpy()[which], "v": part["v"].to_numpy()[which],
-                                    "list": order[which, place].astype(np.int32)})
+                                    "query_row": part["row"].to_numpy()[which], "list": order[which, place].astype(np.int32)})
 
-    asked = stored(queries.mapInPandas(probe, f"query_id long, v {kind}, list int"), "ann-probes")
+    asked = stored(queries.mapInPandas(probe, f"query_id long, v {kind}, query_row long, list int"), "ann-probes")
     askers = np.zeros(lists, np.int64)
     for r in asked.groupBy("list").count().collect():
         askers[r["list"]] = r["count"]
@@ -167,20 +182,19 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, probed: float =
         return [F.pmod(F.xxhash64(id_col), F.element_at(own, at)).cast("int").alias(a),
                 F.explode(F.sequence(F.lit(0), F.element_at(rest, at) - 1)).alias(b)]
 
-    left = assigned.select("vec_id", "v", "list", *cut("vec_id", sizes, GROUP, askers, QUERY_GROUP, "vg", "qg"))
-    right = asked.select("query_id", "v", "list", *cut("query_id", askers, QUERY_GROUP, sizes, GROUP, "qg", "vg"))
+    left = assigned.select("vec_id", "v", "row", "list", *cut("row", sizes, GROUP, askers, QUERY_GROUP, "vg", "qg"))
+    right = asked.select("query_id", "v", "list", *cut("query_row", askers, QUERY_GROUP, sizes, GROUP, "qg", "vg"))
 
     def scan(rows: pd.DataFrame, wants: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(wants):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
+            return pd.DataFrame({"query_id": [], "row": [], "vec_id": [], "score": []}).astype(
+                {"query_id": int, "row": int, "vec_id": int})
         ids, query_ids = rows["vec_id"].to_numpy(), wants["query_id"].to_numpy()
         q, v, d = adaptive_scan(_matrix(rows["v"]), ids, _matrix(wants["v"]), query_ids, k, turned)
-        return pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[v], "score": d})
+        return pd.DataFrame({"query_id": query_ids[q], "row": rows["row"].to_numpy()[v], "vec_id": ids[v], "score": d})
 
     keys = ["list", "vg", "qg"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(scan, schema)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(scan, FOUND)
 
 
 def op2(embeddings: DataFrame) -> DataFrame:

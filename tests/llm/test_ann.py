@@ -59,6 +59,21 @@ def test_odd_vectors_and_small_tables(spark):
     assert ann.op2(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_ids_with_several_vectors_and_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 5.0]), (0, [0.0, 5.0]), (1, [1.0, 0.5]), (2, [0.0, 5.5]), (2, [9.0, 9.0]),
+            (100, [1.0, 1.0, 1.0]), (3, [1.0, 1.0, 2.0]), (4, [7.0]), (200, [1.0]), (200, [4.0, 4.0])]
+    got = {}
+    for r in ann.op2(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    distinct = sorted({(i, tuple(v)) for i, v in rows})
+    for query in (0, 100, 200):
+        mine = [v for i, v in distinct if i == query]
+        want = sorted((min(np.sqrt(sum((a - b) ** 2 for a, b in zip(v, q))) for q in mine if len(q) == len(v)), i)
+                      for i, v in distinct if i != query and any(len(q) == len(v) for q in mine))
+        assert [(v, s) for _, v, s in sorted(got.pop(query))] == [(i, d) for d, i in want]
+    assert not got
+
+
 def test_groups_of_lists_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(ann, "GROUP", 40)
     monkeypatch.setattr(ann, "QUERY_GROUP", 2)
