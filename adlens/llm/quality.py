@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from adlens.llm.common import SPACES, Positional, pick, strip_spaces, words_of
 
 SYMBOLS = "#*$%&|<>"
+# FIXED VALUES: code points of scripts written without spaces between words, as ranges of a character class:
+# Thai and Lao, Myanmar, Khmer, CJK punctuation and kana, Han, compatibility ideographs, full- and half-width forms.
+UNSPACED = "[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3000-\u30FF\u31F0-\u31FF\u3400-\u9FFF\uF900-\uFAFF\uFF00-\uFFEF\U00020000-\U0003FFFF]"
 
 
 @dataclass(frozen=True)
@@ -37,6 +40,8 @@ RULES = (
     Rule("duplicate_lines", 3, "2 * n_dup_lines > n_lines"),
     Rule("short_words", 4, "word_chars < 2 * n_words"),
     Rule("long_words", 5, "word_chars > 20 * n_words"),
+    # As long_words, over the characters of spaced scripts only: a clean Chinese or Thai text has no such words.
+    Rule("long_spaced_words", 6, "word_chars - unspaced_chars > 20 * n_words"),
 )
 BASE = ("few_words", "repeated_windows")
 
@@ -45,9 +50,10 @@ POLICIES: dict[str, tuple[str, ...]] = {
     "v1": BASE,
     "v2": (*BASE, "symbols", "duplicate_lines"),
     "v3": (*BASE, "symbols", "duplicate_lines", "short_words", "long_words"),
+    "v4": (*BASE, "symbols", "duplicate_lines", "short_words", "long_spaced_words"),
 }
-CURRENT = "v3"
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+CURRENT = "v4"
+MEASURES = ("n_words", "word_chars", "unspaced_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
 def mask_of(rules: tuple[str, ...] | list[str]) -> int:
@@ -88,6 +94,7 @@ def with_measures(frame: DataFrame, text: str) -> DataFrame:
     frame = frame.withColumns({
         "n_words": F.size("_q_words").cast("long"),
         "word_chars": F.char_length(F.translate(t, SPACES, "")).cast("long"),
+        "unspaced_chars": (F.char_length(t) - F.char_length(F.regexp_replace(t, F.lit(UNSPACED), F.lit("")))).cast("long"),
         "n_symbols": (F.char_length(t) - F.char_length(F.translate(t, SYMBOLS, ""))).cast("long"),
         "n_lines": F.size("_q_lines").cast("long"),
         "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
@@ -152,7 +159,7 @@ def keep_good(docs: DataFrame, version: str = CURRENT, text_col: str = "text") -
 def op8(docs: DataFrame) -> DataFrame:
     return apply_policy(measure(docs)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "fail_bits")
+        "base_failed", "kept", "fail_bits", "unspaced_chars")
 
 
 OP8_SQL = r"""
@@ -165,6 +172,7 @@ r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram)
 c AS (SELECT rid, count(DISTINCT i + k) AS covered FROM r, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
 m AS (SELECT doc_id, len(ws) AS n_words,
              CAST(coalesce(list_sum([length(x) FOR x IN ws]), 0) AS BIGINT) AS word_chars,
+             length(t) - length(regexp_replace(t, 'UNSPACED', '', 'g')) AS unspaced_chars,
              length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
              len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
              coalesce(covered, 0) AS n_repeat_words
@@ -174,9 +182,11 @@ b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END)
              + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END)
              + (CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END)
              + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
-             + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END) AS fail_bits FROM m)
+             + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)
+             + (CASE WHEN word_chars - unspaced_chars > 20 * n_words THEN 64 ELSE 0 END) AS fail_bits FROM m)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-       (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, CAST(fail_bits AS BIGINT) AS fail_bits
+       (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 95) = 0 AS kept, CAST(fail_bits AS BIGINT) AS fail_bits,
+       CAST(unspaced_chars AS BIGINT) AS unspaced_chars
 FROM b
-"""
+""".replace("UNSPACED", UNSPACED)
