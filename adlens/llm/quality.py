@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import SPACES, Positional, pick, strip_spaces, words_of
+from adlens.llm.common import SPACES, Positional, pick, stored, strip_spaces, words_of
 
 SYMBOLS = "#*$%&|<>"
 # FIXED VALUES: code points of scripts written without spaces between words, as ranges of a character class:
@@ -133,7 +133,8 @@ def ablation(ledger: DataFrame, version: str = CURRENT) -> DataFrame:
     """``rule, failing, only_this, kept_without`` per rule of the policy.
 
     Documents are first counted per failure mask (at most 2 ** rules rows, whatever the
-    input), then bit tests on those few masks answer every question.
+    input), then bit tests on those few masks answer every question. Repeated rows and null ids
+    count as often as they occur; an empty ledger gives no rows; extra columns are ignored.
     """
     mask = mask_of(POLICIES[version])
     masks = (ledger.groupBy(F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long")).alias("bits"))
@@ -150,16 +151,41 @@ def ablation(ledger: DataFrame, version: str = CURRENT) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, version: str = CURRENT, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass the policy, with their own columns unchanged."""
+    """The rows of ``docs`` that pass the policy, with their own columns unchanged.
+
+    A null or empty text has no words and goes; a text of any length is measured whole. Repeated rows
+    are judged alike and all stay or all go; there are no ties. An empty table gives an empty table;
+    extra columns, whatever their names, are handed through by position.
+    """
     p = Positional(docs)
     ledger = with_measures(p.frame, p[text_col])
     return p.restore(ledger.filter(~failed(mask_of(BASE) | mask_of(POLICIES[version]))))
 
 
+def compare(ledger: DataFrame, version: str = CURRENT, earlier: str = "v3") -> DataFrame:
+    """The ledger under two policy versions, with the ablation of the first beside each document.
+
+    Adds ``base_failed``, ``kept``, ``kept_before`` (verdict of ``earlier``), ``sole_rule`` (the rule of
+    ``version`` that alone rejects the document, else null) and of that rule, from ``ablation``, ``sole_rule_failing``
+    (documents that fail it) and ``kept_without`` (documents kept if it were left out). Everything is read from the
+    ledger; the joined table has one row per rule. An empty ledger gives an empty result.
+    """
+    mask = mask_of(POLICIES[version])
+    before = apply_policy(ledger, earlier).withColumnRenamed("kept", "kept_before").drop("base_failed")
+    sole = F.create_map(*[x for r in RULES if r.mask & mask for x in (F.lit(r.mask).cast("long"), F.lit(r.name))])
+    judged = apply_policy(before, version).withColumn(
+        "sole_rule", F.try_element_at(sole, F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long"))))
+    # At most one row per rule, whatever the input.
+    effects = ablation(ledger, version).select(F.col("rule").alias("sole_rule"),
+                                               F.col("failing").alias("sole_rule_failing"), "kept_without")
+    return judged.join(F.broadcast(effects), "sole_rule", "left")
+
+
 def op8(docs: DataFrame) -> DataFrame:
-    return apply_policy(measure(docs)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "fail_bits", "unspaced_chars")
+    """The ledger of ``docs``, stored once; both policy versions and the ablation read it, never the texts."""
+    return compare(stored(measure(docs), "quality-ledger")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "fail_bits", "unspaced_chars", "kept_before", "sole_rule", "sole_rule_failing", "kept_without")
 
 
 OP8_SQL = r"""
@@ -183,10 +209,16 @@ b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END)
              + (CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END)
              + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
              + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)
-             + (CASE WHEN word_chars - unspaced_chars > 20 * n_words THEN 64 ELSE 0 END) AS fail_bits FROM m)
+             + (CASE WHEN word_chars - unspaced_chars > 20 * n_words THEN 64 ELSE 0 END) AS fail_bits FROM m),
+v AS (SELECT *, fail_bits & 95 AS bits FROM b),
+rules(bit, sole_rule) AS (VALUES (1, 'few_words'), (2, 'repeated_windows'), (4, 'symbols'), (8, 'duplicate_lines'),
+                                 (16, 'short_words'), (64, 'long_spaced_words')),
+a AS (SELECT bit, sole_rule, count(*) FILTER (bits & bit <> 0) AS sole_rule_failing,
+             count(*) FILTER (bits & ~bit = 0) AS kept_without FROM rules, v GROUP BY bit, sole_rule)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-       (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 95) = 0 AS kept, CAST(fail_bits AS BIGINT) AS fail_bits,
-       CAST(unspaced_chars AS BIGINT) AS unspaced_chars
-FROM b
+       (fail_bits & 3) <> 0 AS base_failed, bits = 0 AS kept, CAST(fail_bits AS BIGINT) AS fail_bits,
+       CAST(unspaced_chars AS BIGINT) AS unspaced_chars, (fail_bits & 63) = 0 AS kept_before,
+       sole_rule, sole_rule_failing, kept_without
+FROM v LEFT JOIN a ON bits = bit
 """.replace("UNSPACED", UNSPACED)

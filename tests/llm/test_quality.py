@@ -75,6 +75,25 @@ def test_filter_keeps_columns_and_clashes(odd, empty):
     assert quality.op8(empty).count() == 0 and quality.keep_good(empty).count() == 0
 
 
-def test_no_python_in_the_plan(odd):
-    plan = quality.op8(odd)._jdf.queryExecution().toString()
+def test_texts_are_measured_without_python_or_shuffle(odd):
+    plan = quality.measure(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_policies_and_ablation_read_the_stored_ledger(spark, odd):
+    result = quality.op8(odd)
+    assert "Python" not in result._jdf.queryExecution().toString()
+    assert result.inputFiles() and all("/quality-ledger" in f for f in result.inputFiles())
+    docs = read_table(spark, SF, "documents")
+    rows = quality.op8(docs).collect()
+    mask = quality.mask_of(quality.POLICIES[quality.CURRENT])
+    for r in rows:
+        bits = r.fail_bits & mask
+        rule = next((x for x in quality.RULES if x.mask == bits), None)
+        assert r.sole_rule == (rule.name if rule else None)
+        assert r.kept_before == (r.fail_bits & quality.mask_of(quality.POLICIES["v3"]) == 0)
+        if rule:
+            assert r.sole_rule_failing == sum(bool(x.fail_bits & rule.mask) for x in rows)
+            assert r.kept_without == sum(not x.fail_bits & mask & ~rule.mask for x in rows)
+        else:
+            assert r.sole_rule_failing is None and r.kept_without is None
