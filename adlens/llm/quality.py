@@ -166,19 +166,20 @@ def compare(ledger: DataFrame, version: str = CURRENT, earlier: str = "v3") -> D
     """The ledger under two policy versions, with the ablation of the first beside each document.
 
     Adds ``base_failed``, ``kept``, ``kept_before`` (verdict of ``earlier``), ``sole_rule`` (the rule of
-    ``version`` that alone rejects the document, else null) and of that rule, from ``ablation``, ``sole_rule_failing``
-    (documents that fail it) and ``kept_without`` (documents kept if it were left out). Everything is read from the
-    ledger; the joined table has one row per rule. An empty ledger gives an empty result.
+    ``version`` that alone rejects the document, else '') and of that rule, from ``ablation``, ``sole_rule_failing``
+    (documents that fail it) and ``kept_without`` (documents kept if it were left out), both 0 without such a rule.
+    Everything is read from the ledger; the joined table has one row per rule. An empty ledger gives an empty result.
     """
     mask = mask_of(POLICIES[version])
     before = apply_policy(ledger, earlier).withColumnRenamed("kept", "kept_before").drop("base_failed")
     sole = F.create_map(*[x for r in RULES if r.mask & mask for x in (F.lit(r.mask).cast("long"), F.lit(r.name))])
-    judged = apply_policy(before, version).withColumn(
-        "sole_rule", F.try_element_at(sole, F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long"))))
+    judged = apply_policy(before, version).withColumn("sole_rule", F.coalesce(
+        F.try_element_at(sole, F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long"))), F.lit("")))
     # At most one row per rule, whatever the input.
     effects = ablation(ledger, version).select(F.col("rule").alias("sole_rule"),
                                                F.col("failing").alias("sole_rule_failing"), "kept_without")
-    return judged.join(F.broadcast(effects), "sole_rule", "left")
+    return judged.join(F.broadcast(effects), "sole_rule", "left").withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in ("sole_rule_failing", "kept_without")})
 
 
 def op8(docs: DataFrame) -> DataFrame:
@@ -219,6 +220,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        (fail_bits & 3) <> 0 AS base_failed, bits = 0 AS kept, CAST(fail_bits AS BIGINT) AS fail_bits,
        CAST(unspaced_chars AS BIGINT) AS unspaced_chars, (fail_bits & 63) = 0 AS kept_before,
-       sole_rule, sole_rule_failing, kept_without
+       coalesce(sole_rule, '') AS sole_rule, coalesce(sole_rule_failing, 0) AS sole_rule_failing,
+       coalesce(kept_without, 0) AS kept_without
 FROM v LEFT JOIN a ON bits = bit
 """.replace("UNSPACED", UNSPACED)

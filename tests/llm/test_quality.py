@@ -90,10 +90,10 @@ def test_policies_and_ablation_read_the_stored_ledger(spark, odd):
     for r in rows:
         bits = r.fail_bits & mask
         rule = next((x for x in quality.RULES if x.mask == bits), None)
-        assert r.sole_rule == (rule.name if rule else None)
+        assert r.sole_rule == (rule.name if rule else "")
         assert r.kept_before == (r.fail_bits & quality.mask_of(quality.POLICIES["v3"]) == 0)
         if rule:
             assert r.sole_rule_failing == sum(bool(x.fail_bits & rule.mask) for x in rows)
             assert r.kept_without == sum(not x.fail_bits & mask & ~rule.mask for x in rows)
         else:
-            assert r.sole_rule_failing is None and r.kept_without is None
+            assert r.sole_rule_failing == r.kept_without == 0
