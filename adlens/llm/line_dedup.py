@@ -10,7 +10,9 @@ Inserting documents sums their keys first (a line that a third of all documents
 as one row), then each shard probes its filters: a key that no filter knows is certainly new
 and is appended as it is, only the others are merged with the exact counts. The keys that the counts
 did not hold, also those that a filter took for known, become the shard's next filter generation, so
-stored filters are never half-written. Deleting documents takes their holders away, recounts just the
+stored filters are never half-written. A shard's generations are merged into one filter after GENERATIONS
+inserts, and the shards are cut anew when their keys outgrow them, so a probe reads a bounded number of filters
+of a bounded size however old the ledger is. Deleting documents takes their holders away, recounts just the
 keys they held and removes keys without holders from the filter of their own generation, so every mark
 is one living key's. False positives of a filter cost one exact look-up and never change a result.
 
@@ -19,7 +21,7 @@ Keys are 128-bit hashes of the stripped, lower-cased line.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,9 @@ from adlens.llm.common import Positional, lower_ascii, pick, stored, strip_space
 MIN_CHARS = 10
 KEYS_PER_SHARD = 100_000
 MIN_SHARDS = 64
+# Inserts after which the filters of a shard are merged, and how far shards may outgrow KEYS_PER_SHARD before.
+GENERATIONS = 8
+OVERFULL = 4
 _SLOTS = 4
 MARK_BITS = 16
 _KEY = ["k1", "k2"]
@@ -87,14 +92,14 @@ def cuckoo_has(table: np.ndarray, hashes: np.ndarray, bits: int = MARK_BITS) ->
 def cuckoo_delete(table: np.ndarray, hashes: np.ndarray, bits: int = MARK_BITS) -> np.ndarray:
     """Which of ``hashes`` were found; one mark of each is cleared in ``table``."""
     mark, at = _places(hashes, len(table), bits)
-    found = np.zeros(len(hashes), bool)
-    for i, (m, a, b) in enumerate(zip(mark, at, _other(at, mark, len(table)))):
-        for bucket in (a, b):
-            slots = np.flatnonzero(table[bucket] == m)
-            if len(slots):
-                table[bucket, slots[0]] = 0
-                found[i] = True
-                break
+    found, left = np.zeros(len(hashes), bool), np.arange(len(hashes))
+    for bucket in (at, _other(at, mark, len(table))):
+        for slot in range(_SLOTS):
+            hit = left[table[bucket[left], slot] == mark[left]]
+            won = hit[np.unique(bucket[hit], return_index=True)[1]]  # one mark serves one hash
+            table[bucket[won], slot] = 0
+            found[won] = True
+            left = left[~found[left]]
     return found
 
 
@@ -138,16 +143,40 @@ class LineLedger:
     shards: int = 0
     generation: int = 0
     mark_bits: int = MARK_BITS
+    stacked: int = 0   # filter generations since the last merge
+    keys: int = 0      # upper bound of the living keys
 
     def _sharded(self, frame: DataFrame, shards: int) -> DataFrame:
         return frame.withColumn("shard", F.pmod("k2", F.lit(shards)).cast("int"))
 
+    def _filters_of(self, refs: DataFrame, shards: int) -> DataFrame:
+        """One filter per shard over the keys of ``refs``, which are of one generation."""
+        bits = self.mark_bits
+
+        def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"shard": rows["shard"].iloc[:1], "generation": rows["generation"].iloc[:1],
+                                 "payload": [cuckoo_build(rows["k1"].to_numpy(), bits).tobytes()]})
+        keys = self._sharded(refs.select("generation", *_KEY), shards).select("shard", "generation", "k1")
+        return stored(keys.groupBy("shard").applyInPandas(build, _FILTERS), "ledger-filters")
+
+    def merged(self) -> LineLedger:
+        """The same ledger with one filter generation and shards cut by its living keys. An empty
+        ledger stays as it is; counts and holders never change."""
+        if self.refs is None:
+            return self
+        refs = stored(self.refs.withColumn("generation", F.lit(self.generation)), "ledger-refs")
+        keys = refs.count()
+        shards = max(MIN_SHARDS, -(-keys // KEYS_PER_SHARD))
+        return replace(self, refs=refs, filters=self._filters_of(refs, shards), shards=shards,
+                       generation=self.generation + 1, stacked=1, keys=keys)
+
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineLedger:
         """The ledger with ``docs`` added. Null and empty texts hold no keys; a row that
         is inserted twice counts twice and needs one delete."""
         new = stored(_holders(pick(docs, doc_id=id_col, text=text_col)), "ledger-holders")
         counted = stored(_counted(new), "ledger-batch")
-        shards = self.shards or max(MIN_SHARDS, counted.count() // KEYS_PER_SHARD)
+        arrived = counted.count()
+        shards = self.shards or max(MIN_SHARDS, arrived // KEYS_PER_SHARD)
         bits, fresh = self.mark_bits, counted.withColumn("generation", F.lit(self.generation))
         filters = self.filters if self.filters is not None else self.spark.createDataFrame([], _FILTERS)
 
@@ -158,10 +187,6 @@ class LineLedger:
                 maybe |= cuckoo_has(_table(payload), hashes, bits)
             return rows[maybe][_KEY]
 
-        def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"shard": rows["shard"].iloc[:1], "generation": rows["generation"].iloc[:1],
-                                 "payload": [cuckoo_build(rows["k1"].to_numpy(), bits).tobytes()]})
-
         if self.refs is None:
             refs = fresh
         else:
@@ -173,11 +198,12 @@ class LineLedger:
                 F.min("first").alias("first"), F.max("last").alias("last"), F.min("generation").alias("generation"))
             refs = stored(exact.unionByName(fresh.join(maybe, _KEY, "left_anti")), "ledger-refs")
         # What the exact look-up has not found is new, whatever the filters said of it.
-        added = self._sharded(refs.filter(F.col("generation") == self.generation).select("generation", *_KEY), shards)
-        added = stored(added.select("shard", "generation", "k1").groupBy("shard").applyInPandas(build, _FILTERS),
-                       "ledger-filters")
-        return LineLedger(self.spark, new if self.holders is None else self.holders.unionByName(new), refs,
-                          filters.unionByName(added), shards, self.generation + 1, bits)
+        added = self._filters_of(refs.filter(F.col("generation") == self.generation), shards)
+        ledger = LineLedger(self.spark, new if self.holders is None else self.holders.unionByName(new), refs,
+                            filters.unionByName(added), shards, self.generation + 1, bits, self.stacked + 1,
+                            self.keys + arrived)
+        outgrown = ledger.keys > OVERFULL * KEYS_PER_SHARD * shards
+        return ledger.merged() if outgrown or ledger.stacked > GENERATIONS else ledger
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineLedger:
         """The ledger without the documents of ``ids``; unknown and null ids change nothing."""
@@ -202,7 +228,7 @@ class LineLedger:
 
         filters = stored(dead.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(
             clear, _FILTERS), "ledger-filters")
-        return LineLedger(self.spark, left, refs, filters, self.shards, self.generation, bits)
+        return replace(self, holders=left, refs=refs, filters=filters)
 
     def drops(self, rows: DataFrame) -> DataFrame:
         """``r1, r2, drops`` (line positions) for ``rows`` (``r1, r2, doc_id, text``) that lose lines."""

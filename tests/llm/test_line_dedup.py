@@ -94,3 +94,44 @@ def test_false_positives_survive_insert_delete_insert(spark):
     again = some.insert(docs(0, 1200, 3))
     assert state(again) == state(L.LineLedger(spark).insert(docs(0, 1200)))
     assert marks(again) == again.refs.count() == again.refs.select("k1", "k2").distinct().count()
+
+
+def test_batch_deletion_clears_one_mark_a_key():
+    rng = np.random.default_rng(2)
+    for bits in (2, 4, 16):
+        keys = rng.integers(-2 ** 63, 2 ** 63, 3000)
+        table = L.cuckoo_build(keys, bits)
+        gone = rng.permutation(3000) < 1200
+        assert L.cuckoo_delete(table, keys[gone], bits).all()
+        assert (table > 0).sum() == 1800 and L.cuckoo_has(table, keys[~gone], bits).all()
+    same = L.cuckoo_build(np.full(8, 77))
+    assert L.cuckoo_delete(same, np.full(10, 77)).sum() == 8 and not same.any()
+
+
+def test_a_ledger_of_many_inserts_stays_bounded_and_exact(spark, monkeypatch):
+    """Ten inserts with deletions between: generations are merged, shards cut anew, counts exact."""
+    monkeypatch.setattr(L, "MIN_SHARDS", 2)
+    monkeypatch.setattr(L, "KEYS_PER_SHARD", 40)
+    monkeypatch.setattr(L, "GENERATIONS", 3)
+    texts = {i: f"a line that only {i} has\nshared by some of them {i % 7}\nshared by all of the documents" for i in range(200)}
+    held, ledger, shards = {}, L.LineLedger(spark), []
+    for day in range(10):
+        new = {i: texts[i] for i in range(20 * day, 20 * day + 20)}
+        ledger = ledger.insert(spark.createDataFrame(list(new.items()), "doc_id long, text string"))
+        held |= new
+        if day % 3 == 2:
+            gone = [i for i in held if i % 5 == day % 5]
+            ledger = ledger.delete(spark.createDataFrame([(i,) for i in gone], "doc_id long"))
+            held = {i: t for i, t in held.items() if i not in gone}
+        per_shard = {}
+        marks = 0
+        for r in ledger.filters.collect():
+            per_shard[r.shard] = per_shard.get(r.shard, 0) + 1
+            marks += int((L._table(r.payload) > 0).sum())
+        assert marks == ledger.refs.count() <= ledger.keys and max(per_shard.values()) <= 3
+        shards.append(ledger.shards)
+    assert shards[0] == 2 and shards[-1] >= 4 and max(per_shard) < ledger.shards
+    whole = L.LineLedger(spark).insert(spark.createDataFrame(list(held.items()), "doc_id long, text string"))
+    state = [sorted(map(str, x.refs.select("k1", "k2", "refs", "nulls", "first", "last").collect())) for x in (ledger, whole)]
+    assert state[0] == state[1]
+    assert L.LineLedger(spark).merged().refs is None
