@@ -306,6 +306,8 @@ for key, table in [("ad_tags", "t_ad"), ("app_tags", "t_app"), ("device_tags", "
                    ("location_tags", "t_loc"), ("keyword_tags", "t_kw")]:
     ORACLE[key] = f"WITH {TAG_CTES} SELECT sessionid, kind, tag FROM {table}"
 ORACLE["row_tags_all"] = f"WITH {TAG_CTES} {_union(V1, 'sessionid, kind, tag')}"
+for key, like in [("sql_row_tags", "row_tags_all"), ("sql_geohash_cells", "geohash6_cells"), ("sql_regeo_parse", "regeo_parse")]:
+    ORACLE[key] = ORACLE[like]
 
 # profiles
 USER_WEIGHTS = (f"uw AS (SELECT user_key, kind, tag, CAST(count(*) AS BIGINT) AS weight "

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from adlens import schema as S
 from adlens.functions.geocode import parse_business_areas
 from adlens.functions.scalar import in_geo_box, is_blank, lenient_double, lenient_int, not_blank
+from adlens.functions.sql_functions import register_sql_functions
 from adlens.operators import geo as G
 from adlens.operators import identity as Ident
 from adlens.operators.component_store import ComponentStore
@@ -604,3 +605,38 @@ def q_geo_dim_upsert(spark, sf_dir):
     fetched = cells.select(G.CELL, F.explode(F.array(F.lit(1), F.lit(2))).alias("at")).select(
         G.CELL, "at", F.expr(D.new_response_expr(G.CELL, "at")).alias("response"))
     return G.upsert_cells(_geo_dim(spark, sf_dir), fetched.filter("response is not null"), order_col="at")
+
+
+# --- T1-T7, C8, C9, C13 from SQL alone ---------------------------------------------------------------
+@register("sql_row_tags")
+def q_sql_row_tags(spark, sf_dir):
+    """T7 in SQL: every family of a row, with the dictionary and the cells as equi joins."""
+    ctx = _ctx(spark, sf_dir)
+    register_sql_functions(spark, ctx.stop_words)
+    return spark.sql("""
+        SELECT sessionid, inline(tags) AS (kind, tag) FROM (
+            SELECT sessionid, concat(
+                adlens_ad_tags(adspacetype, adspacetypename, adplatformproviderid),
+                adlens_app_tags(appname, appname_dict), adlens_business_tags(business_areas),
+                adlens_device_tags(client, networkmannername, ispname),
+                adlens_location_tags(provincename, cityname), adlens_keyword_tags(keywords)) AS tags
+            FROM (SELECT *, CASE WHEN adlens_in_geo_box(long, lat) THEN adlens_geohash6(
+                      adlens_lenient_double(lat), adlens_lenient_double(long)) END AS cell FROM {log}) l
+            LEFT JOIN {apps} a ON l.appid = a.appid
+            LEFT JOIN {cells} g ON l.cell = g.geohash6)
+    """, log=_log(spark, sf_dir), apps=ctx.app_dict, cells=ctx.geo_dim)
+
+
+@register("sql_geohash_cells")
+def q_sql_geohash_cells(spark, sf_dir):
+    register_sql_functions(spark)
+    return spark.sql("""
+        SELECT sessionid, adlens_geohash6(adlens_lenient_double(lat), adlens_lenient_double(long)) AS geohash6
+        FROM {log} WHERE adlens_in_geo_box(long, lat)""", log=_log(spark, sf_dir))
+
+
+@register("sql_regeo_parse")
+def q_sql_regeo_parse(spark, sf_dir):
+    register_sql_functions(spark)
+    return spark.sql("SELECT geohash6, response, adlens_business_areas(response) AS business_areas FROM {responses}",
+                     responses=_geo_responses(spark, sf_dir))
