@@ -35,6 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.llm.common import pick, stored
+from adlens.operators.dimensions import join_dimension
 from adlens.session import scratch_path
 
 BLOCK = 4096
@@ -43,8 +44,13 @@ END_ID = 1
 MAGIC = b"PFORIDS1"
 _HEAD = struct.Struct("<IBBHI")
 _FOOT = struct.Struct("<8sIQQQQI")
-# A worker's cache of encoded words is emptied at this many entries (about 100 bytes each).
+# A worker's cache of encoded words is emptied at this many entries (about 100 bytes each), or at this many bytes
+# of words and ids: where texts have no spaces a "word" is a sentence.
 CACHE_WORDS = 1_500_000
+CACHE_BYTES = 96 << 20
+# A task goes on with a new file at this many ids or documents.
+FILE_IDS = 1 << 26
+FILE_DOCS = 1 << 18
 _MARKS = b".,;:!?*$%&#|"
 _TOKENIZERS: dict = {}
 
@@ -80,12 +86,18 @@ def unpack_block(data: bytes, at: int = 0) -> np.ndarray:
 
 
 # --- files ------------------------------------------------------------------------------
+def _uri(path: str) -> str:
+    """A path as Spark names it, as pyarrow names it: local files without a scheme, s3a as s3."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    return re.sub("^s3[an]://", "s3://", path)
+
+
 def _fs(path: str):
     """The file system of a path or URI, and the path in it."""
     from pyarrow import fs
 
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
+    path = _uri(path)
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
@@ -93,6 +105,7 @@ class Writer:
     """Appends documents to one file; memory holds one block and the indexes' integers."""
 
     def __init__(self, path: str):
+        self.name = path
         self.fs, self.path = _fs(path)
         self.fs.create_dir(os.path.dirname(self.path), recursive=True)
         self.out = self.fs.open_output_stream(self.path)
@@ -180,6 +193,7 @@ class WordEncoder:
         longest = sorted(ids, key=len, reverse=True)
         self.cut = re.compile(f"({'|'.join(map(re.escape, longest)) or '(?!)'})")
         self.known: dict[bytes, bytes] = dict(self.added)
+        self.held = 0  # bytes of the words and ids in ``known``
 
     def _learn(self, words: set[bytes]) -> None:
         """Adds words to the cache. Marks that end a word after an ASCII letter or digit are a
@@ -200,8 +214,12 @@ class WordEncoder:
         for at in range(0, len(listed), 4096):
             part = listed[at:at + 4096]
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update((word, array("I", got.ids).tobytes()) for word, got in zip(part, encoded))
-        known.update((word, known[core] + known[marks]) for word, core, marks in cut)
+            learned = [array("I", got.ids).tobytes() for got in encoded]
+            known.update(zip(part, learned))
+            self.held += sum(map(len, part)) + sum(map(len, learned))
+        joined = [known[core] + known[marks] for _, core, marks in cut]
+        known.update(zip((word for word, _, _ in cut), joined))
+        self.held += sum(len(word) for word, _, _ in cut) + sum(map(len, joined))
 
     def _words(self, text: str) -> list[bytes]:
         if not self.cut.search(text):
@@ -214,9 +232,10 @@ class WordEncoder:
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [self._words(t or "") for t in texts]
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS or self.held > CACHE_BYTES:
             self.known.clear()
             self.known.update(self.added)
+            self.held = 0
         self._learn(set().union(*split).difference(self.known))
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, own)), np.uint32) for own in split]
@@ -230,12 +249,15 @@ def word_encoder(path: str) -> WordEncoder:
 
 # --- operators --------------------------------------------------------------------------
 def write_files(docs: DataFrame, tokenizer: str, folder: str, partitions: int, end_id: int = END_ID,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the token files and returns the manifest: ``path, part, n_docs, n_ids, doc_ids`` per file.
-
-    Null and empty texts are just the end id. Ids ascend, nulls first; rows with one id are
-    ordered by a hash of their text, so any number of them can be spread over files. An empty
-    table writes no files.
+                id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS,
+                file_docs: int = FILE_DOCS) -> DataFrame:
+    """Writes the token files and returns the manifest: ``path, part, seq, n_docs, n_ids, doc_ids`` per file.
+
+    Null and empty texts are just the end id; a text of any length is encoded whole and lies in one file.
+    Ids ascend, nulls first; rows with one id are ordered by a hash of their text, so any number of them can
+    be spread over files; rows alike in both are written as often as they occur. A task closes a file at ``file_ids``
+    ids or ``file_docs`` documents (looked at every 256 rows) and goes on with the next ``seq``, so neither a
+    file nor its manifest row grows with the table. An empty table writes no files; extra columns are ignored.
     """
     base = pick(docs, doc_id=id_col, text=text_col).withColumn("tie", F.xxhash64("text"))
     id_type = base.schema["doc_id"].dataType.simpleString()
@@ -245,34 +267,45 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, partitions: int, e
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        writer, keys, path = None, [], f"{folder}/{uuid.uuid4().hex}.pfor"
+        def closed() -> pa.RecordBatch:
+            writer.close()
+            ids = pa.concat_arrays(keys)
+            return pa.RecordBatch.from_pydict({
+                "path": [writer.name], "part": pa.array([TaskContext.get().partitionId()], pa.int32()),
+                "seq": pa.array([seq], pa.int32()), "n_docs": [len(ids)], "n_ids": [writer.ids],
+                "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)})
+
+        writer, keys, seq = None, [], 0
         encoder = word_encoder(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                writer = writer or Writer(path)
+                writer = writer or Writer(f"{folder}/{uuid.uuid4().hex}.pfor")
                 for ids in encoder.batch(part.column(1).to_pylist()):
                     writer.add(np.concatenate([ids, end]))
                 keys.append(part.column(0))
+                if writer.ids >= file_ids or len(writer.docs) >= file_docs:
+                    yield closed()
+                    writer, keys, seq = None, [], seq + 1
         if writer:
-            writer.close()
-            ids = pa.concat_arrays(keys)
-            yield pa.RecordBatch.from_pydict({
-                "path": [path], "part": pa.array([TaskContext.get().partitionId()], pa.int32()), "n_docs": [len(ids)],
-                "n_ids": [writer.ids], "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)})
+            yield closed()
 
     return stored(ordered.mapInArrow(
-        run, f"path string, part int, n_docs long, n_ids long, doc_ids array<{id_type}>"), "token-manifest")
+        run, f"path string, part int, seq int, n_docs long, n_ids long, doc_ids array<{id_type}>"), "token-manifest")
 
 
 def read_files(manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` per document, read back from the files."""
     id_type = manifest.schema["doc_ids"].dataType.elementType.simpleString()
-    # The manifest has one row per file, so this window is bounded by the number of files.
-    lean = manifest.select("path", "part", "n_ids")
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    starts = lean.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start0"))
-    files = manifest.select("path", "doc_ids").join(F.broadcast(starts), "path")
+    # Prefix sums in two levels: one row per task in the window without partitions, files within their task.
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    parts = parts.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(
+        W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("n_ids").over(W.partitionBy("part").orderBy("seq").rowsBetween(
+        W.unboundedPreceding, -1)), F.lit(0))
+    starts = stored(manifest.select("path", "part", inside.alias("inside")).join(parts, "part").select(
+        F.col("path").alias("__path"), (F.col("base") + F.col("inside")).alias("start0")), "token-starts")
+    files = join_dimension(manifest.select("path", "doc_ids"), starts, F.col("path") == F.col("__path"), "inner").drop("__path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -107,3 +107,33 @@ def test_added_tokens_outlive_the_cache(monkeypatch):
     for _ in range(2):
         got = encoder.batch(["hello <|endoftext|> World x<|startoftext|>y"])
         assert got[0].tolist() == [3306, 49407, 1002, 343, 49406, 344]
+
+
+def test_a_task_goes_on_with_new_files(spark, tmp_path):
+    """Files end at their bounds; starts run on over files and tasks as in one file."""
+    docs = read_table(spark, SF, "documents").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(7, "again")] * 600 + [(None, None)], docs.schema))
+    one = T.write_files(docs, PATH, f"file:{tmp_path}/one", 1)
+    many = T.write_files(docs, PATH, f"file:{tmp_path}/many", 3, file_docs=1)
+    small = T.write_files(docs, PATH, f"file:{tmp_path}/small", 2, file_ids=1)
+    assert one.count() == 1 < many.count() and small.count() > 2
+    for frame in (many, small):
+        rows = frame.orderBy("part", "seq").collect()
+        assert max(r.n_docs for r in rows) <= 256 and sum(r.n_docs for r in rows) == docs.count()
+        assert all(len(r.doc_ids) == r.n_docs for r in rows) and len({r.path for r in rows}) == len(rows)
+    want, *got = [sorted(map(str, T.read_files(x).collect())) for x in (one, many, small)]
+    assert got == [want, want]
+
+
+def test_the_cache_is_bounded_by_bytes(monkeypatch):
+    encoder = T.WordEncoder(PATH)
+    monkeypatch.setattr(T, "CACHE_BYTES", 1000)
+    for i in range(20):
+        encoder.batch(["x" * 900 + str(i), "plain words, here."])
+        assert sum(len(k) + len(v) for k, v in encoder.known.items() if k not in encoder.added) == encoder.held
+        assert len(encoder.known) < 12
+
+
+def test_paths_of_spark_as_paths_of_arrow():
+    assert T._uri("s3a://b/k") == T._uri("s3n://b/k") == "s3://b/k" and T._uri("file:///a/b") == T._uri("file:/a/b") == "/a/b"
+    assert T._uri("hdfs://h/a") == "hdfs://h/a" and T._uri("/a") == "/a"
