@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.llm.common import pick, stored
+from adlens.operators.dimensions import join_dimension
 
 SHARDS = 16
 
@@ -65,12 +66,14 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", t
     # One row per partition, so bounded by the partition count, not by the documents.
     totals = placed.groupBy("pid").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     before = W.orderBy("pid").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select("pid", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes0"),
+    offsets = stored(totals.select("pid", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes0"),
                             F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows0"),
-                            F.sum("bytes").over(W.partitionBy()).alias("all_bytes"))
+                            F.sum("bytes").over(W.partitionBy()).alias("all_bytes")), "shard-offsets")
     middle = "2 * (bytes0 + start) + size"
-    cut = stored(placed.join(F.broadcast(offsets), "pid").select(
-        "doc_id", "size", "text_crc32", F.expr(f"({middle}) * {shards} div (2 * all_bytes)").cast("int").alias("shard"), (F.col("rows0") + F.col("place")).alias("row")), "shard-cut")
+    cut = stored(join_dimension(placed, offsets, "pid", "inner").select(
+        "doc_id", "size", "text_crc32", F.expr(f"({middle}) * {shards} div (2 * all_bytes)").cast("int").alias("shard"),
+        (F.col("rows0") + F.col("place")).alias("row")), "shard-cut")
+    # At most one row per shard.
     firsts = cut.groupBy("shard").agg(F.min("row").alias("first"))
     return cut.join(F.broadcast(firsts), "shard").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("row") - F.col("first")).alias("slot"))
