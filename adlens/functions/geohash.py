@@ -17,6 +17,10 @@ from adlens.functions.scalar import ColumnOrName, _col
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 # Digits of ``conv(x, 2, 32)``, in value order.
 _CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+# The alphabet by the three bits of the leading index (bits 4, 2 and 0 of the value), then the two of the other.
+_DEALT_ALPHABET = "".join(
+    GEOHASH_ALPHABET[(a >> 2 & 1) << 4 | (b >> 1) << 3 | (a >> 1 & 1) << 2 | (b & 1) << 1 | a & 1]
+    for a in range(8) for b in range(4))
 
 
 def _cell_index(v: Column, lo: float, hi: float, bits: int) -> Column:
@@ -40,17 +44,20 @@ def cell_indexes(lat: ColumnOrName, lon: ColumnOrName, precision: int = 6) -> tu
 def geohash_from_indexes(lon_idx: ColumnOrName, lat_idx: ColumnOrName, precision: int = 6) -> Column:
     """Geohash text from the two cell indexes.
 
-    Both indexes are written as zero-padded binary strings, interleaved longitude first,
-    read as one base-2 number, written in base 32 (``conv`` digits 0-9A-V) and mapped onto
-    the geohash alphabet. A handful of expression nodes, so the stage stays small.
+    Each character is five bits that alternate between the indexes, longitude first in even places and
+    latitude first in odd ones: three bits of one and two of the other are looked up in the alphabet dealt anew.
     """
-    lon_bits, lat_bits = _bits(precision)
-    lon_s = F.lpad(F.conv(_col(lon_idx).cast("string"), 10, 2), lon_bits, "0")
-    lat_s = F.lpad(F.conv(_col(lat_idx).cast("string"), 10, 2), lat_bits, "0")
-    bits = F.array_join(F.zip_with(F.split(lon_s, "", -1), F.split(lat_s, "", -1),
-                                   lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    base32 = F.lpad(F.conv(bits, 2, 32), precision, "0")
-    return F.translate(base32, _CONV_DIGITS, GEOHASH_ALPHABET)
+    x, y = _col(lon_idx), _col(lat_idx)
+    lon_left, lat_left = _bits(precision)
+    chars = []
+    for place in range(precision):
+        lead, n_lon, n_lat = (x, 3, 2) if place % 2 == 0 else (y, 2, 3)
+        other = y if lead is x else x
+        lon_left, lat_left = lon_left - n_lon, lat_left - n_lat
+        three, two = (lon_left, lat_left) if lead is x else (lat_left, lon_left)
+        at = (F.shiftright(lead, three).bitwiseAND(F.lit(7)) * 4 + F.shiftright(other, two).bitwiseAND(F.lit(3))).cast("int")
+        chars.append(F.substring(F.lit(_DEALT_ALPHABET), at + 1, F.lit(1)))
+    return F.concat(*chars)
 
 
 def indexes_of(cell: ColumnOrName, precision: int = 6) -> tuple[Column, Column]:

@@ -13,8 +13,10 @@ from adlens import schema as S
 
 ColumnOrName = Column | str
 
-# Java whitespace (Character.isWhitespace) as a regex class: used by the blank test.
+# Java whitespace (Character.isWhitespace) as a regex class: the blank test of the SQL functions.
 _BLANK_RE = r"\A\p{javaWhitespace}*\z"
+# Any other character: the blank test of columns, which mostly ends at the first one.
+_VISIBLE_RE = r"\P{javaWhitespace}"
 # Java Integer.parseInt accepts an optional sign and ASCII digits, nothing else.
 _JAVA_INT_RE = r"\A[+-]?[0-9]+\z"
 # Spark's string->double cast also accepts these case-insensitive spellings; Java does not.
@@ -29,12 +31,12 @@ def _col(c: ColumnOrName) -> Column:
 def is_blank(c: ColumnOrName) -> Column:
     """True for null, empty, or only Java whitespace (tab, newline, U+3000, ...)."""
     c = _col(c)
-    return c.isNull() | c.rlike(_BLANK_RE)
+    return c.isNull() | ~c.rlike(_VISIBLE_RE)
 
 
 def not_blank(c: ColumnOrName) -> Column:
     c = _col(c)
-    return c.isNotNull() & ~c.rlike(_BLANK_RE)
+    return c.isNotNull() & c.rlike(_VISIBLE_RE)
 
 
 def lenient_int(c: ColumnOrName) -> Column:
@@ -46,7 +48,9 @@ def lenient_int(c: ColumnOrName) -> Column:
 def lenient_double(c: ColumnOrName) -> Column:
     """Java ``toDouble`` with every failure mapped to 0.0."""
     c = _col(c)
-    spark_only = c.rlike(_SPARK_ONLY_SPECIALS_RE) & ~c.rlike(_JAVA_SPECIALS_RE)
+    # All special spellings hold an n, which spares numbers the regexes.
+    lettered = F.contains(c, F.lit("n")) | F.contains(c, F.lit("N"))
+    spark_only = lettered & c.rlike(_SPARK_ONLY_SPECIALS_RE) & ~c.rlike(_JAVA_SPECIALS_RE)
     return F.coalesce(F.when(~spark_only, c.try_cast("double")), F.lit(0.0).cast("double"))
 
 
@@ -90,6 +94,15 @@ def utf16_length(c: ColumnOrName) -> Column:
     return F.floor(F.octet_length(F.encode(_col(c), "UTF-16BE")) / 2).cast("int")
 
 
+def utf16_length_between(c: ColumnOrName, least: int, most: int) -> Column:
+    """``utf16_length`` within the bounds. It lies between the number of characters and that of UTF-8 bytes,
+    and is at most twice the former, so that few texts have to be encoded anew."""
+    c = _col(c)
+    chars, octets = F.char_length(c), F.octet_length(c)
+    surely = (chars >= least) & ((chars * 2 <= most) | (chars == octets))
+    return (chars <= most) & (octets >= least) & (surely | utf16_length(c).between(least, most))
+
+
 def prefixed(prefix: str, c: ColumnOrName) -> Column:
     """``prefix + value`` with Java string-concat semantics (null renders as 'null')."""
     return F.concat(F.lit(prefix), F.coalesce(_col(c).cast("string"), F.lit("null")))

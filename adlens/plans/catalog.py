@@ -30,7 +30,7 @@ from adlens.plans import reports as R
 from adlens.plans.jobs import etl_job
 from adlens.plans.profile_store import ProfileStore
 from adlens.plans.report_store import ReportStore
-from adlens.session import scratch_path
+from adlens.session import Scratch, scratch_path
 from adlens.sources import derived as D
 from adlens.sources.clustered_log import ClusteredLog
 from adlens.sources.derived import input_key
@@ -128,10 +128,13 @@ def _geo_responses(spark, sf_dir) -> DataFrame:
     """
     key = input_key(spark, sf_dir)
     if key not in _RESPONSE_PATHS:
-        cells = G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct()
+        # Stored, so that the filter on responses is not pushed into the scan and the cell computed for each use.
+        cells, cells_path = Scratch(spark).write(
+            G.in_box_cells(_log(spark, sf_dir).select("long", "lat")).select(G.CELL).distinct(), "geo_cells")
         path = scratch_path(spark, "geo_responses")
         cells.select(G.CELL, F.expr(D.geo_response_expr(G.CELL)).alias("response")) \
              .filter(F.col("response").isNotNull()).write.parquet(path)
+        Scratch(spark).drop(cells_path)
         _RESPONSE_PATHS[key] = path
     return spark.read.parquet(_RESPONSE_PATHS[key])
 
