@@ -388,10 +388,13 @@ def _weights(spark, sf_dir) -> DataFrame:
 
 @register("profile_sink")
 def q_profile_sink(spark, sf_dir):
+    """One day, and another one that is written anew: three writes of the same weights, which are stored once."""
     path = scratch_path(spark, "profiles")
-    write_profiles(profile_chunks(_weights(spark, sf_dir), "user_key"), path, "20190921")
-    write_profiles(profile_chunks(_weights(spark, sf_dir), "user_key"), path, "20190922")
-    write_profiles(profile_chunks(_weights(spark, sf_dir), "user_key"), path, "20190922")
+    scratch = Scratch(spark)
+    weights, weights_path = scratch.write(_weights(spark, sf_dir), "weights")
+    for day in ("20190921", "20190922", "20190922"):
+        write_profiles(profile_chunks(weights, "user_key"), path, day)
+    scratch.drop(weights_path)
     return spark.read.parquet(path).withColumn("dt", F.col("dt").cast("string"))
 
 
