@@ -57,7 +57,8 @@ def hub_candidates(sketches: DataFrame, thresholds: dict[str, int] | None = None
     return sketches.filter(F.hll_sketch_estimate("sketch") >= least).select("id")
 
 
-def _side(ids: DataFrame) -> DataFrame:
+def side(ids: DataFrame) -> DataFrame:
+    """``ids`` for a join: broadcast if its measured size allows."""
     return F.broadcast(ids) if is_broadcastable(ids) else ids.hint("merge")
 
 
@@ -70,7 +71,7 @@ def hub_ids(df_ids: DataFrame, thresholds: dict[str, int] | None = None, default
     """
     found = hub_candidates(degree_sketches(df_ids, ids_col) if sketches is None else sketches, thresholds, default)
     found = found.checkpoint(eager=True)
-    pairs = co_occurrences(df_ids, ids_col).join(_side(found), "id", "left_semi").distinct()
+    pairs = co_occurrences(df_ids, ids_col).join(side(found), "id", "left_semi").distinct()
     degrees = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("degree")).withColumn("kind", kind_of("id"))
     return degrees.filter(F.col("degree") >= threshold_of(F.col("kind"), thresholds, default)) \
         .select("id", "kind", "degree").checkpoint(eager=True)
@@ -88,7 +89,7 @@ def edges_without(df_ids: DataFrame, hubs: DataFrame, ids_col: str = "ids") -> D
     edges = df_ids.select(F.explode(pairs).alias("e")).select("e.*").distinct()
     out = hubs.select("id")
     for end in ("src", "dst"):
-        edges = edges.join(_side(out.withColumnRenamed("id", end)), end, "left_anti")
+        edges = edges.join(side(out.withColumnRenamed("id", end)), end, "left_anti")
     return edges.select("src", "dst")
 
 
@@ -96,4 +97,4 @@ def kept_heads(df_ids: DataFrame, hubs: DataFrame, ids_col: str = "ids") -> Data
     """``ids, head``: the first id of each distinct list that is no hub; lists of hubs only are left out."""
     lists = df_ids.select(ids_col).distinct()
     each = lists.select(ids_col, F.posexplode(ids_col).alias("pos", "id"))
-    return each.join(_side(hubs.select("id")), "id", "left_anti").groupBy(ids_col).agg(F.min_by("id", "pos").alias("head"))
+    return each.join(side(hubs.select("id")), "id", "left_anti").groupBy(ids_col).agg(F.min_by("id", "pos").alias("head"))

@@ -574,17 +574,24 @@ def q_hub_ids(spark, sf_dir):
     return hub_ids(Ident.with_ids(_planted(spark, sf_dir).select(*ID_COLS)), default=HUB_DEGREE)
 
 
+def _stored_lists(spark, log) -> DataFrame:
+    """The distinct id lists, which hubs, edges and heads are all taken from."""
+    return Scratch(spark).write(P.id_lists(log), "id_lists")[0]
+
+
 @register("components_without_hubs")
 def q_components_without_hubs(spark, sf_dir):
     log = _planted(spark, sf_dir)
-    return P.resolve_identities(log, hubs=hub_ids(Ident.with_ids(log.select(*ID_COLS)), default=HUB_DEGREE))
+    lists = _stored_lists(spark, log)
+    return P.resolve_identities(log, hubs=hub_ids(lists, default=HUB_DEGREE), lists=lists)
 
 
 @register("component_profiles_without_hubs")
 def q_component_profiles_without_hubs(spark, sf_dir):
     log = _planted(spark, sf_dir)
-    hubs = hub_ids(Ident.with_ids(log.select(*ID_COLS)), default=HUB_DEGREE)
-    return P.person_profiles(log, _ctx(spark, sf_dir, with_geo=False), hubs=hubs)
+    lists = _stored_lists(spark, log)
+    hubs = hub_ids(lists, default=HUB_DEGREE)
+    return P.person_profiles(log, _ctx(spark, sf_dir, with_geo=False), hubs=hubs, lists=lists)
 
 
 # --- hard inputs: K1, I5, J4 ---------------------------------------------------------------------------

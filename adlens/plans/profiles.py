@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from adlens import schema as S
 from adlens.operators import identity as I
 from adlens.operators.components import connected_components
-from adlens.operators.hubs import edges_without, kept_heads
+from adlens.operators.hubs import edges_without, kept_heads, side
 from adlens.operators.merge import chunked_collect, merge_tags
 from adlens.operators.tags import FAMILIES_V1, FAMILIES_V2, TagContext, row_tags
 
@@ -43,33 +43,39 @@ def identity_graph(log: DataFrame, deny_ids: list[str] | None = None) -> tuple[D
     return with_ids, I.edges(with_ids)
 
 
+def id_lists(log: DataFrame, deny_ids: list[str] | None = None) -> DataFrame:
+    """``ids``: the distinct id lists of the log. Hubs, edges and heads depend on these only."""
+    return I.with_ids(log.select(*[c for c, _ in S.ID_COLUMNS]), deny_ids=deny_ids).select("ids").distinct()
+
+
 def resolve_identities(log: DataFrame, stats: dict | None = None,
-                       deny_ids: list[str] | None = None, hubs: DataFrame | None = None) -> DataFrame:
-    """``(id, component)`` over the identity graph of the log, without ``hubs`` (``id``) if given."""
+                       deny_ids: list[str] | None = None, hubs: DataFrame | None = None,
+                       lists: DataFrame | None = None) -> DataFrame:
+    """``(id, component)`` over the identity graph of the log, without ``hubs`` (``id``) if given.
+
+    ``lists`` (:func:`id_lists` of the log, stored) spares another pass over the log for the graph without hubs.
+    """
     with_ids, edges = identity_graph(log.select(*[c for c, _ in S.ID_COLUMNS]), deny_ids)
     if hubs is not None:
-        edges = edges_without(with_ids, hubs)
+        edges = edges_without(with_ids if lists is None else lists, hubs)
     return connected_components(edges, stats=stats)
 
 
 def person_profiles(log: DataFrame, ctx: TagContext, families: list[str] = FAMILIES_V2,
                     labels: DataFrame | None = None, deny_ids: list[str] | None = None,
-                    hubs: DataFrame | None = None) -> DataFrame:
+                    hubs: DataFrame | None = None, lists: DataFrame | None = None) -> DataFrame:
     """``(component, kind, tag, weight)`` including each id with weight 0.
 
     With ``hubs`` (``id``, from :func:`adlens.operators.hubs.hub_ids`) a row belongs to the person of its
-    first id that is no hub; rows of hubs only belong to nobody.
+    first id that is no hub; rows of hubs only belong to nobody. ``lists`` are the log's stored :func:`id_lists`, if at hand.
     """
     if labels is None:
-        labels = resolve_identities(log, deny_ids=deny_ids, hubs=hubs)
+        labels = resolve_identities(log, deny_ids=deny_ids, hubs=hubs, lists=lists)
     if hubs is None:
         headed = log.withColumn("__id", I.head_id(deny_ids)).filter(F.col("__id").isNotNull())
         by_head = merge_tags(row_tags(headed, families, ctx, ["__id"]), "__id")
     else:
-        listed = I.with_ids(log, "__ids", deny_ids)
-        heads = kept_heads(listed, hubs, "__ids").withColumnRenamed("head", "__id")
-        by_list = merge_tags(row_tags(listed, families, ctx, ["__ids"]), "__ids")
-        by_head = by_list.join(heads, "__ids").drop("__ids")
+        by_head = _by_kept_head(log, ctx, families, deny_ids, hubs, lists)
     tag_long = I.attach_component(by_head, labels, F.col("__id"), ["kind", "tag", "weight"],
                                   **ctx.join_kw()).select("component", "kind", "tag", "weight")
     id_long = labels.select("component", F.lit("id").alias("kind"), F.col("id").alias("tag"),
@@ -77,6 +83,28 @@ def person_profiles(log: DataFrame, ctx: TagContext, families: list[str] = FAMIL
     return merge_tags(tag_long.unionByName(id_long), "component", "weight")
 
 
+def _by_kept_head(log: DataFrame, ctx: TagContext, families: list[str], deny_ids: list[str] | None,
+                  hubs: DataFrame, lists: DataFrame | None) -> DataFrame:
+    """``(__id, kind, tag, weight)`` by the first id of a row that is no hub.
+
+    Mostly that is the row's first id: tags are summed by it. Only rows that begin with a hub are summed by their
+    list of ids, and their distinct lists looked up.
+    """
+    first = log.withColumn("__id", I.head_id(deny_ids)).filter(F.col("__id").isNotNull())
+    hub = side(hubs.select(F.col("id").alias("__hub")))
+    lists = (id_lists(log, deny_ids) if lists is None else lists).withColumnRenamed("ids", "__list")
+    begun = lists.join(hub, F.get("__list", F.lit(0)) == F.col("__hub"), "left_semi")
+    heads = kept_heads(begun, hubs, "__list").checkpoint(eager=True)
+    is_hub = F.col("__hub").isNotNull()
+    keyed = first.join(hub, F.col("__id") == F.col("__hub"), "left").withColumns(
+        {"__ids": F.when(is_hub, I.all_ids(deny_ids)), "__id": F.when(~is_hub, F.col("__id"))})
+    summed = merge_tags(row_tags(keyed, families, ctx, ["__id", "__ids"]), ["__id", "__ids"])
+    # A first id alone is no list of ``heads``, all of which begin with a hub; it keeps a shuffle even.
+    on = F.coalesce("__ids", F.array("__id")) == F.col("__list")
+    return summed.join(side(heads), on, "left").withColumn("__id", F.coalesce("__id", "head")) \
+        .filter(F.col("__id").isNotNull()).select("__id", "kind", "tag", "weight")
+
+
 def component_members(labels: DataFrame, payload: DataFrame | None = None, id_col: str = "id",
                       chunk_size: int | None = None) -> DataFrame:
     """``(component, chunk, n_items, members)``; members sorted by id within a chunk.
