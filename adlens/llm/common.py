@@ -60,10 +60,10 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN, -1))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: int) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back: it cuts the
-    lineage like checkpoint(), survives lost executors and keeps column pruning."""
+    lineage like checkpoint(), survives lost executors and keeps column pruning. ``options`` go to the writer."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -13,30 +13,34 @@ scaled by its position's diagonal matrix; the score of a symbol, or of a block,
 its output vector plus its bias. Biases start at the log of the training frequency, so
 training starts from the unigram model.
 
+Texts are read once: a chunk of texts, of bounded bytes, is stored as one row that holds the numbers of
+its tokens among its own distinct words, and those words' hashes and counts. Training and scoring look up
+a chunk's words, not its tokens.
+
 Training. Each task runs over all of its training texts: windows of tokens are summed up as weighted
 distinct trigrams, and mini-batches are taught to tell them from noise symbols and noise blocks drawn
-from the unigram distribution (shared by a batch, so both sides are matrix products); only the rows that
-a batch meets are changed. Tasks start from the same parameters and return the changes of the rows they
+from the unigram distribution (shared by a batch, so both sides are matrix products; what is drawn several
+times is computed once and counts as often); only the rows that a batch meets are changed. Tasks start from the same parameters and return the changes of the rows they
 met. A row's changes are averaged, weighted by its tokens in each task, in two levels of Spark
 groups per slab of rows, and the next round starts from the average.
 
-Scoring. Texts are dealt into chunks of bounded bytes. Each chunk meets the training counts of its
-own distinct words through a join by 64-bit word hash, never the whole vocabulary. A
-chunk's distinct contexts are scored against all blocks, and against the symbols of the blocks that
-follow them, by batched matrix products, whose log-sum-exp gives exact normalisers.
+Scoring. Each chunk meets the training counts of its own distinct words through a join by 64-bit word
+hash, never the whole vocabulary. A chunk's distinct contexts are normalised exactly over all blocks, and
+over the symbols of the blocks that follow them: as a context is the sum of two vectors, the exponential
+of its score is the product of two, which are computed once per symbol and place, not per context.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,8 +63,14 @@ CHUNK_BYTES = 12 << 20
 MIN_COUNT = 8
 HOT = 1024
 SLAB = 2048
-MEMO = 400_000
 SEED = 5
+# Rows of a batch whose noise scores are held at once, and numbers in the factors of normalisers.
+SLICE = 512
+FACTORS = 8 << 20
+# Members of a group of rows that are added up one after another.
+GROUP = 8
+# Normalisers whose factors' product is less are computed from the whole scores.
+LEAST = 1e-30
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -107,19 +117,23 @@ class Vocabulary:
         return len(self.unigram)
 
 
-class Symbols(dict):
-    """Word -> symbol, remembered for the words met; emptied at MEMO words."""
+class Symbols:
+    """Symbols of words by their signed hashes and tails."""
 
-    def __init__(self, words: dict[int, int], classes: int):
-        super().__init__()
-        self.words, self.classes = words, classes
+    def __init__(self, vocabulary: Vocabulary):
+        hashes = np.fromiter(vocabulary.words, np.uint64, len(vocabulary.words)).view(np.int64)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.numbers = np.fromiter(vocabulary.words.values(), np.int64, len(order))[order]
+        self.classes, self.end = len(vocabulary.class_total), signed_hash(END)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        got = 0 if word == END else self.words.get(word_hash(word))
-        self[word] = got = 1 + tail_of(word) % self.classes if got is None else got
-        return got
+    def of(self, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        out = 1 + tail % self.classes
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            out = np.where(self.hashes[at] == h, self.numbers[at], out)
+        out[h == self.end] = 0
+        return out
 
 
 def _log_sums(vectors: np.ndarray, outputs: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -135,6 +149,56 @@ def _log_sums(vectors: np.ndarray, outputs: np.ndarray, bias: np.ndarray) -> np.
     return norm
 
 
+def _order(codes: np.ndarray, most: int) -> np.ndarray:
+    """The order of ``codes`` (below ``most``): sorted with their places, if both fit 63 bits, which is faster."""
+    bits = len(codes).bit_length()
+    if most.bit_length() + bits > 63:
+        return np.argsort(codes)
+    both = codes << bits | np.arange(len(codes))
+    both.sort()
+    return both & (1 << bits) - 1
+
+
+def _distinct(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``numbers`` (below ``n``) in order, and the place of each number among them."""
+    there = np.zeros(n, bool)
+    there[numbers] = True
+    found = np.flatnonzero(there)
+    place = np.empty(n, np.int32)
+    place[found] = np.arange(len(found))
+    return found, place[numbers]
+
+
+def _pair_log_sums(first: np.ndarray, one: np.ndarray, second: np.ndarray, two: np.ndarray, outputs: np.ndarray,
+                   bias: np.ndarray) -> np.ndarray:
+    """``_log_sums`` of the vectors ``first[one] + second[two]``: exp(x + y) is exp(x) * exp(y), so only the
+    distinct rows need exponentials. Many distinct rows are met in halves of the pairs."""
+    rows, a = _distinct(one, len(first))
+    others, b = _distinct(two, len(second))
+    if len(rows) + len(others) > len(one):
+        return _log_sums(first[one] + second[two], outputs, bias)
+    if (len(rows) + len(others)) * len(bias) > FACTORS:
+        half = len(one) // 2
+        return np.concatenate([_pair_log_sums(first, one[to], second, two[to], outputs, bias)
+                               for to in (slice(half), slice(half, None))])
+    left, right = first[rows] @ outputs.T, second[others] @ outputs.T + bias
+    norm = np.zeros(len(one))
+    for scores, at in ((left, a), (right, b)):
+        top = scores.max(axis=1)
+        scores -= top[:, None]
+        np.exp(scores, out=scores)
+        norm += top[at]
+    sums = np.empty(len(one), np.float32)
+    for at in range(0, len(one), SLICE):
+        to = slice(at, at + SLICE)
+        np.einsum("ij,ij->i", _take(left, a[to]), _take(right, b[to]), out=sums[to])
+    norm += np.log(np.maximum(sums, LEAST), dtype=np.float64)
+    weak = np.flatnonzero(sums < LEAST)
+    if len(weak):
+        norm[weak] = _log_sums(first[one[weak]] + second[two[weak]], outputs, bias)
+    return norm
+
+
 @dataclass
 class Model:
     inputs: np.ndarray  # (size + 1) x DIM; the last row stands before a text
@@ -177,118 +241,187 @@ class Model:
         return Model(*[x.astype(np.float32) for x in (
             rows[:n + 1, :DIM], rows[n + 1:n + 3, :DIM], rows[:n, DIM:-1], rows[:n, -1], rows[n + 3:, DIM:-1], rows[n + 3:, -1])])
 
-    def context(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.inputs[one] * self.scales[0] + self.inputs[two] * self.scales[1]
-
     def log_probabilities(self, symbols: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural log of P(symbol | one before, two before), normalised over all symbols."""
         wide, width, blocks = len(self.inputs), width_of(len(self.bias)), len(self.block_bias)
-        contexts, which = np.unique(one.astype(np.int64) * wide + two, return_inverse=True)
-        vectors = self.context(contexts // wide, contexts % wide)
-        norm = _log_sums(vectors, self.block_outputs, self.block_bias)
-        # The distinct pairs of a block and a context before it, block by block.
+        first, second = self.inputs * self.scales[0], self.inputs * self.scales[1]
+        # The distinct contexts before a block, block by block.
         own = symbols // width
-        pairs, pair = np.unique(own * len(contexts) + which, return_inverse=True)
-        inner = np.empty(len(pairs))
-        edges = np.searchsorted(pairs, np.arange(blocks + 1) * len(contexts))
-        for block, (a, b) in enumerate(zip(edges, edges[1:])):
-            if a < b:
-                part = slice(block * width, (block + 1) * width)
-                inner[a:b] = _log_sums(vectors[pairs[a:b] - block * len(contexts)], self.outputs[part], self.bias[part])
+        codes = (own.astype(np.int64) * wide + one) * wide + two
+        order = _order(codes, blocks * wide * wide)
+        codes = codes[order]
+        new = np.concatenate([[True], codes[1:] != codes[:-1]])[:len(codes)]
+        pair = np.empty(len(codes), np.int64)
+        pair[order] = np.cumsum(new) - 1
+        codes = codes[new]
+        before, a, b = codes // (wide * wide), codes // wide % wide, codes % wide
+        norm = _pair_log_sums(first, a, second, b, self.block_outputs, self.block_bias)
+        edges = np.searchsorted(before, np.arange(blocks + 1))
+        for block in np.flatnonzero(edges[1:] > edges[:-1]):
+            to, part = slice(edges[block], edges[block + 1]), slice(block * width, (block + 1) * width)
+            norm[to] += _pair_log_sums(first, a[to], second, b[to], self.outputs[part], self.bias[part])
         out = np.empty(len(symbols))
-        for at in range(0, len(symbols), 1 << 18):
-            to = slice(at, at + (1 << 18))
-            s, w, k = symbols[to], which[to], own[to]
-            out[to] = (np.einsum("ij,ij->i", vectors[w], self.outputs[s] + self.block_outputs[k]) + self.bias[s]
-                       + self.block_bias[k] - norm[w] - inner[pair[to]])
+        for at in range(0, len(symbols), 1 << 14):
+            to = slice(at, at + (1 << 14))
+            s, k = symbols[to], own[to]
+            vectors = _take(first, one[to]) + _take(second, two[to])
+            out[to] = (np.einsum("ij,ij->i", vectors, _take(self.outputs, s) + _take(self.block_outputs, k))
+                       + self.bias[s] + self.block_bias[k] - norm[pair[to]])
         return out
 
 
+def _take(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return table.take(rows, axis=0, mode="clip")  # rows are inside: faster than with a check
+
+
+def _sums_by_row(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct row numbers (below ``n``) and the sums of ``values`` by row. Large groups are reduced
+    column by column; of the others, all first members are taken at once, then all second ones."""
+    order = np.argsort(rows.astype(np.uint16 if n <= 1 << 16 else np.int32), kind="stable")  # 16 bits: a radix sort
+    own = rows[order]
+    first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
+    less = first - np.append(first[1:], len(own))
+    by = np.argsort(less, kind="stable")
+    first, less = first[by], less[by]
+    # How many groups have more than so many members.
+    more = np.searchsorted(less, -np.arange(GROUP + 1), side="left")
+    large = more[GROUP]
+    out = _take(values, order[first])
+    for k in range(1, GROUP):
+        if more[k] > large:
+            out[large:more[k]] += _take(values, order[first[large:more[k]] + k])
+    if large:
+        ends = np.cumsum(-less[:large])
+        starts = ends + less[:large]
+        at = np.arange(ends[-1]) + np.repeat(first[:large] - starts, -less[:large])
+        out[:large] = np.add.reduceat(np.ascontiguousarray(_take(values, order[at]).T), starts, axis=1).T
+    return own[first], out
+
+
+def _noise_share(y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """``weight / (1 + exp(64 * y))`` to single precision; ``y`` is used up.
+
+    exp(2 * y) is a quotient of two polynomials, its 32nd power five squares: a few passes of plain
+    arithmetic, as numpy's exponential takes each number by itself on some processors."""
+    np.clip(y, -0.5, 0.5, out=y)
+    even = y * y
+    even *= np.float32(1 / 3)
+    even += 1
+    share = even + y
+    even -= y
+    share /= even
+    for _ in range(5):
+        share *= share
+    share += 1
+    return np.divide(weight, share, out=share)
+
+
 class Trainer:
-    """Noise-contrastive AdaGrad over weighted trigrams, starting from ``model``."""
+    """Noise-contrastive AdaGrad over weighted trigrams, starting from ``model``, which is changed."""
 
     def __init__(self, model: Model, unigram: np.ndarray, seed: int):
-        self.m, self.rng = model, np.random.default_rng(seed)
-        self.width = width_of(len(unigram))
-        blocks = np.add.reduceat(unigram, np.arange(0, len(unigram), self.width))
+        self.m, self.rng, n = model, np.random.default_rng(seed), len(unigram)
+        self.width = width_of(n)
+        blocks = np.add.reduceat(unigram, np.arange(0, n, self.width))
         self.noise_sums = [np.cumsum(p) for p in (unigram, blocks)]
-        self.noise_logs = [np.log(k * p).astype(np.float32) for k, p in ((NOISE, unigram), (BLOCK_NOISE, blocks))]
-        self.sums = [np.full_like(x, 1e-3) for x in vars(model).values()]
-        self.seen = np.zeros(len(unigram) + 1)  # tokens of each symbol; texts for the border
-        self.met = np.zeros(len(unigram) + 1, bool)
+        self.noise_logs = np.concatenate([np.log(NOISE * unigram), np.log(BLOCK_NOISE * blocks)]).astype(np.float32)
+        # Symbols and, after them, blocks: one row each, its bias last. The model's arrays are views of them.
+        self.rows = np.concatenate([np.column_stack([model.outputs, model.bias]),
+                                    np.column_stack([model.block_outputs, model.block_bias])])
+        model.outputs, model.bias = self.rows[:n, :DIM], self.rows[:n, DIM]
+        model.block_outputs, model.block_bias = self.rows[n:, :DIM], self.rows[n:, DIM]
+        self.sums = [np.full_like(x, 1e-3) for x in (model.inputs, model.scales, self.rows)]
+        self.seen = np.zeros(n + 1)  # tokens of each symbol; texts for the border
+        self.met = np.zeros(n + 1, bool)
         self.tokens = 0
 
-    def _step(self, k: int, param: np.ndarray, rows: np.ndarray | slice, grad: np.ndarray) -> None:
-        self.sums[k][rows] += grad * grad
-        param[rows] -= RATE * grad / np.sqrt(self.sums[k][rows])
-
     @staticmethod
-    def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct row numbers and the sums of ``values`` by row: sorted runs added up at once."""
-        order = np.argsort(rows.astype(np.uint16 if n <= 1 << 16 else np.int32), kind="stable")  # 16 bits: a radix sort
-        own = rows[order]
-        first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
-        return own[first], np.add.reduceat(values[order], first, axis=0)
+    def _step(param: np.ndarray, sums: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
+        total = _take(sums, rows)
+        total += grad * grad
+        sums[rows] = total
+        np.sqrt(total, out=total)
+        np.divide(grad, total, out=total)
+        total *= RATE
+        param[rows] = _take(param, rows) - total
 
     def window(self, symbols: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         """Learns from all of a window's tokens, each distinct trigram once with its weight."""
-        n = len(self.m.bias)
-        # Contexts are numbered first, as three symbols of a large vocabulary pass 63 bits.
-        pairs, pair = np.unique(one.astype(np.int64) * (n + 1) + two, return_inverse=True)
-        codes, counts = np.unique(pair.astype(np.int64) * n + symbols, return_counts=True)
-        order = self.rng.permutation(len(codes))
-        codes, counts = codes[order], counts[order].astype(np.float32)
+        n = len(self.m.inputs) - 1
+        bits = n.bit_length()
+        if 3 * bits < 64:
+            codes = (one.astype(np.int64) << bits | two) << bits | symbols
+            pairs = None
+        else:  # Contexts are numbered first.
+            pairs, pair = np.unique(one.astype(np.int64) << bits | two, return_inverse=True)
+            codes = pair.astype(np.int64) << bits | symbols
+        codes.sort()
+        first = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1])
+        order = self.rng.permutation(len(first))
+        codes, counts = codes[first[order]], np.diff(first, append=len(codes))[order].astype(np.float32)
         self.tokens += len(symbols)
         self.seen += np.bincount(symbols, minlength=n + 1)
         self.seen[n] += np.count_nonzero(one == n)
+        low = (1 << bits) - 1
         for at in range(0, len(codes), BATCH):
             c = codes[at:at + BATCH]
-            before = pairs[c // n]
-            self._batch(c % n, before // (n + 1), before % (n + 1), counts[at:at + BATCH])
-
-    def _contrast(self, level: int, w: np.ndarray, outputs: np.ndarray, bias: np.ndarray, context: np.ndarray,
-                  weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Gradients of the contexts, and of the rows (numbers first) of ``outputs`` with their bias as last column."""
-        sums, log = self.noise_sums[level], self.noise_logs[level]
-        draws = self.rng.random((NOISE, BLOCK_NOISE)[level]) * sums[-1]
-        noise = np.minimum(np.searchsorted(sums, draws, side="right"), len(sums) - 1)
-        true = outputs[w]
-        # d loss / d score: P(noise | score) for the true symbol, P(data | score) for each noise symbol.
-        delta = np.einsum("ij,ij->i", context, true) + bias[w] - log[w]
-        g_true = -weight / (1 + np.exp(np.clip(delta, -30, 30)))
-        drawn = outputs[noise]
-        g_noise = context @ drawn.T
-        g_noise += bias[noise] - log[noise]
-        np.negative(g_noise, out=g_noise)
-        np.minimum(g_noise, 30, out=g_noise)
-        np.exp(g_noise, out=g_noise)
-        g_noise += 1
-        np.divide(weight[:, None], g_noise, out=g_noise)
-        g_context = g_true[:, None] * true + g_noise @ drawn
-        with_one = np.ones((len(w), DIM + 1), np.float32)  # the last column carries the bias's share
-        with_one[:, :DIM] = context
-        rows, grad = self._scatter(np.concatenate([w, noise]),
-                                   np.concatenate([g_true[:, None] * with_one, g_noise.T @ with_one]), len(bias))
-        return g_context, rows, grad
+            before = c >> bits if pairs is None else pairs[c >> bits]
+            self._batch(c & low, before >> bits, before & low, counts[at:at + BATCH])
+
+    def _noise(self) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of distinct noise symbols and blocks and how often each is drawn."""
+        found = []
+        for sums, draws in zip(self.noise_sums, (NOISE, BLOCK_NOISE)):
+            drawn = np.searchsorted(sums, self.rng.random(draws) * sums[-1], side="right")
+            found.append(np.unique(np.minimum(drawn, len(sums) - 1), return_counts=True))
+        (symbols, times), (blocks, more) = found
+        return np.concatenate([symbols, blocks + len(self.m.bias)]), np.concatenate([times, more]).astype(np.float32)
 
     def _batch(self, w: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> None:
-        m, n = self.m, len(self.m.bias)
-        a, b = m.inputs[one], m.inputs[two]
-        context = a * m.scales[0] + b * m.scales[1]
+        m, n, k = self.m, len(self.m.bias), len(w)
+        order = np.argsort(w.astype(np.uint16 if n <= 1 << 16 else np.int32), kind="stable")  # a block's symbols meet
+        w, one, two, weight = w[order], one[order], two[order], weight[order]
+        places = np.concatenate([one, two])
+        inputs = _take(m.inputs, places).reshape(2, k, DIM)
+        context = np.ones((k, DIM + 1), np.float32)  # the last column carries the bias's share
+        np.add(inputs[0] * m.scales[0], inputs[1] * m.scales[1], out=context[:, :DIM])
         weight = weight / weight.mean() / len(weight)
-        g_context, rows, grad = self._contrast(0, w, m.outputs, m.bias, context, weight)
-        g_more, block_rows, block_grad = self._contrast(1, w // self.width, m.block_outputs, m.block_bias, context, weight)
-        g_context += g_more
-        in_rows, g_in = self._scatter(np.concatenate([one, two]),
-                                      np.concatenate([g_context * m.scales[0], g_context * m.scales[1]]), n + 1)
-        self.met[rows] = True
+        # d loss / d score: P(data | score) for each noise row, P(noise | score) for the true ones.
+        noise, times = self._noise()
+        spare = -len(noise) % 4  # products are faster if they are even; empty rows have no effect
+        drawn = np.concatenate([_take(self.rows, noise), np.zeros((spare, DIM + 1), np.float32)])
+        away = np.ascontiguousarray(drawn.T / -64)
+        away[DIM, :len(noise)] += self.noise_logs[noise] / 64
+        drawn = drawn[:, :DIM] * np.append(times, np.ones(spare, np.float32))[:, None]
+        g_context, g_noise = np.empty((k, DIM), np.float32), np.zeros((DIM + 1, len(noise) + spare), np.float32)
+        for at in range(0, k, SLICE):
+            to = slice(at, at + SLICE)
+            share = _noise_share(context[to] @ away, weight[to, None])
+            np.matmul(share, drawn, out=g_context[to])
+            g_noise += context[to].T @ share
+        blocks = n + w // self.width
+        edges = [*np.flatnonzero(np.diff(blocks, prepend=-1)).tolist(), k]
+        true_rows = np.concatenate([w, blocks[edges[:-1]], noise])
+        grad = np.empty((len(true_rows), DIM + 1), np.float32)
+        np.multiply(g_noise.T[:len(noise)], times[:, None], out=grad[-len(noise):])
+        for own in (w, blocks):
+            true = _take(self.rows, own)
+            delta = np.einsum("ij,ij->i", context, true) - self.noise_logs[own]
+            g_true = -weight / (1 + np.exp(np.clip(delta, -30, 30)))
+            true *= g_true[:, None]
+            g_context += true[:, :DIM]
+            if own is w:
+                np.multiply(g_true[:, None], context, out=grad[:k])
+        for at, (a, b) in enumerate(zip(edges, edges[1:]), k):
+            np.dot(g_true[a:b], context[a:b], out=grad[at])
+        rows, grad = _sums_by_row(true_rows, grad, len(self.rows))
+        in_rows, g_in = _sums_by_row(places, (g_context * m.scales[:, None]).reshape(2 * k, DIM), n + 1)
+        self.met[rows[rows < n]] = True
         self.met[in_rows] = True
-        self._step(0, m.inputs, in_rows, g_in)
-        self._step(1, m.scales, slice(None), np.stack([(g_context * a).sum(axis=0), (g_context * b).sum(axis=0)]))
-        self._step(2, m.outputs, rows, grad[:, :DIM])
-        self._step(3, m.bias, rows, grad[:, DIM])
-        self._step(4, m.block_outputs, block_rows, block_grad[:, :DIM])
-        self._step(5, m.block_bias, block_rows, block_grad[:, DIM])
+        g_scales = np.einsum("ij,pij->pj", g_context, inputs)
+        self._step(m.inputs, self.sums[0], in_rows, g_in)
+        self._step(m.scales, self.sums[1], np.arange(2), g_scales)
+        self._step(self.rows, self.sums[2], rows, grad)
 
     def weights(self) -> np.ndarray:
         """Of each of the model's rows: its tokens and one, 0 if it was never met; all tokens for scales and blocks."""
@@ -307,72 +440,83 @@ def contexts_of(symbols: np.ndarray, starts: np.ndarray, before: int) -> tuple[n
 
 
 # --- corpus passes ----------------------------------------------------------------------
+def _numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct tokens of all texts, each token's number among them, and the tokens of each text."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    lengths = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    words = parts.flatten()
+    full = pc.not_equal(words, "")  # beside spaces at an end of a text
+    if not pc.all(full, min_count=0).as_py():
+        at = np.repeat(np.arange(len(lengths)), lengths)[full.to_numpy(zero_copy_only=False)]
+        lengths = np.bincount(at, minlength=len(lengths))
+        words = words.filter(full)
+    words = words.dictionary_encode()
+    lengths += 1
+    tokens = np.full(int(lengths.sum()), len(words.dictionary), np.int32)
+    inside = np.ones(len(tokens), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    tokens[inside] = words.indices.to_numpy(zero_copy_only=False)
+    return [*words.dictionary.cast(pa.binary()).to_pylist(), END], tokens, lengths
+
+
 def _chunked(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, held_out, chunk``, stored; a chunk holds about CHUNK_BYTES or one longer text."""
+    """One row for each chunk of about CHUNK_BYTES or one longer text, stored: ``chunk``; ``doc_id, held_out`` and
+    ``length`` in tokens of its texts; ``tokens``, their words' numbers in the chunk (32 bits each); and of the
+    distinct words ``h``, their training count ``n`` (0: held out only) and ``tail``, which gives their class."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
+        from xxhash import xxh64_intdigest
 
         pid, chunk, room = TaskContext.get().partitionId(), 0, 0
+        parts: list[pa.RecordBatch] = []
+
+        def row() -> pa.RecordBatch:
+            own = pa.Table.from_batches(parts).combine_chunks()
+            ids, held, texts = (own.column(x).combine_chunks() for x in ("doc_id", "held_out", "text"))
+            words, tokens, lengths = _numbered(texts)
+            learned = np.repeat(~held.to_numpy(zero_copy_only=False), lengths)
+            lists = {"doc_id": ids, "held_out": held, "length": pa.array(lengths),
+                     "h": pa.array(np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)),
+                     "n": pa.array(np.bincount(tokens[learned], minlength=len(words))),
+                     "tail": pa.array(np.fromiter(map(tail_of, words), np.int64, len(words)))}
+            return pa.RecordBatch.from_pydict({
+                "chunk": pa.array([(pid << 32) | chunk], pa.int64()), "tokens": pa.array([tokens.tobytes()], pa.binary()),
+                **{k: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for k, x in lists.items()}})
         for batch in batches:
-            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-            numbers = np.empty(len(sizes), np.int64)
-            for i, size in enumerate(sizes):
-                room += int(size) + 16
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            start = 0
+            for i, size in enumerate(sizes.tolist()):
+                room += size + 16
                 if room > CHUNK_BYTES:
-                    chunk, room = chunk + 1, int(size) + 16
-                numbers[i] = (pid << 32) | chunk
-            yield batch.append_column("chunk", pa.array(numbers))
-
+                    if i > start:
+                        parts.append(batch.slice(start, i - start))
+                    if parts:
+                        yield row()
+                    parts, start = [], i
+                    chunk, room = chunk + 1, size + 16
+            if len(sizes) > start:
+                parts.append(batch.slice(start))
+        if parts:
+            yield row()
+
+    # Rows are long: the writer looks at its buffers after each.
     return stored(docs.withColumn("held_out", crc % 7 == 2).mapInArrow(
-        run, f"doc_id {id_type}, text string, held_out boolean, chunk long"), "lm-texts")
+        run, f"chunk long, tokens binary, doc_id array<{id_type}>, held_out array<boolean>, length array<long>, "
+             "h array<long>, n array<long>, tail array<long>"), "lm-chunks",
+        **{"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1})
 
 
-def _texts(batches: Iterator[pa.RecordBatch], step: int = 512) -> Iterator[tuple[int, list, list]]:
-    """(chunk, texts, held out) for runs of rows of one chunk."""
-    for batch in batches:
-        chunks = batch.column("chunk").to_numpy(zero_copy_only=False)
-        edges = [0, *(np.flatnonzero(chunks[1:] != chunks[:-1]) + 1).tolist(), len(chunks)] if len(chunks) else [0]
-        for a, b in zip(edges, edges[1:]):
-            for at in range(a, b, step):
-                part = batch.slice(at, min(step, b - at))
-                yield int(chunks[a]), part.column("text").to_pylist(), part.column("held_out").to_pylist()
+def _chunk_words(chunks: DataFrame) -> DataFrame:
+    """``chunk, h, n, tail`` of each distinct word of a chunk."""
+    return chunks.select("chunk", F.inline(F.arrays_zip("h", "n", "tail")))
 
 
-def _chunk_words(texts: DataFrame) -> DataFrame:
-    """``chunk, h, n, tail``: the training count of each distinct word of a chunk (0: held out
-    only) and the number that gives its class. A chunk that is read in several pieces gives several
-    rows of a word, to be summed."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def rows(chunk: int) -> pa.RecordBatch:
-            words = list(counts)
-            hashes = np.fromiter(map(word_hash, words), np.uint64, len(words)).view(np.int64)
-            return pa.RecordBatch.from_pydict({
-                "chunk": pa.array(np.full(len(words), chunk)), "h": pa.array(hashes),
-                "n": pa.array(np.fromiter(counts.values(), np.int64, len(words))),
-                "tail": pa.array(np.fromiter(map(tail_of, words), np.int64, len(words)))})
-        last = None
-        for chunk, part, held in _texts(batches):
-            if counts and chunk != last:
-                yield rows(last)
-                counts = Counter()
-            last = chunk
-            for text, out in zip(part, held):
-                own = tokens_of(text)
-                if out:
-                    for word in own:
-                        counts.setdefault(word, 0)
-                else:
-                    counts.update(own)
-        if counts:
-            yield rows(last)
-
-    return stored(texts.select("text", "held_out", "chunk").mapInArrow(
-        run, "chunk long, h long, n long, tail long"), "lm-words")
+def _values(column: pa.Array | pa.ChunkedArray, row: int) -> pa.Array:
+    """The list in ``row`` of a column of lists."""
+    return column[row].values
 
 
 def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, pd.DataFrame]:
@@ -400,8 +544,8 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, pd.DataFrame]:
     return Vocabulary(words, symbols / symbols.sum(), n + v + 1, total, distinct), hot
 
 
-def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: Model, number: int) -> Model:
-    flat, unigram, words, classes = model.flat(), vocabulary.unigram, vocabulary.words, len(vocabulary.class_total)
+def _train_round(chunks: DataFrame, vocabulary: Vocabulary, model: Model, number: int) -> Model:
+    flat, unigram, symbols = model.flat(), vocabulary.unigram, Symbols(vocabulary)
     wide = 2 * DIM + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,24 +553,31 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: Model, number:
 
         pid = TaskContext.get().partitionId()
         trainer = Trainer(Model.of(flat, len(unigram)), unigram, SEED + 1000 * number + pid)
-        symbol = Symbols(words, classes).__getitem__
-        symbols: list[int] = []
-        starts: list[int] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # symbols and lengths of texts to learn from
+        size = 0
 
         def learn() -> None:
-            own = np.array(symbols, np.int64)
-            trainer.window(own, *contexts_of(own, np.array(starts, np.int64), len(unigram)))
-            symbols.clear()
-            starts.clear()
-        for _, part, held in _texts(batches):
-            for text, out in zip(part, held):
-                if out:
-                    continue
-                starts.append(len(symbols))
-                symbols.extend(map(symbol, tokens_of(text)))
-                if len(symbols) >= WINDOW:
-                    learn()
-        if symbols:
+            own, lengths = map(np.concatenate, zip(*held))
+            trainer.window(own, *contexts_of(own, np.cumsum(lengths) - lengths, len(unigram)))
+            held.clear()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                get = {x: _values(batch.column(x), row).to_numpy(zero_copy_only=False)
+                       for x in ("held_out", "length", "h", "tail")}
+                tokens = np.frombuffer(batch.column("tokens")[row].as_buffer(), np.int32)
+                own = symbols.of(get["h"], get["tail"])[tokens[np.repeat(~get["held_out"], get["length"])]]
+                lengths = get["length"][~get["held_out"]]
+                # A window ends with the text that fills it.
+                while len(lengths):
+                    ends = np.cumsum(lengths)
+                    texts = int(np.searchsorted(ends, WINDOW - size)) + 1
+                    part = own[:ends[min(texts, len(ends)) - 1]]
+                    held.append((part, lengths[:texts]))
+                    own, lengths, size = own[len(part):], lengths[texts:], size + len(part)
+                    if size >= WINDOW:
+                        learn()
+                        size = 0
+        if held:
             learn()
         if not trainer.tokens:
             return
@@ -454,9 +605,9 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: Model, number:
         return pd.DataFrame({"slab": rows["slab"].iloc[:1], "change": [change.astype(np.float32).tobytes()]})
 
     # A task returns as much as its rows of the model, so many small tasks are joined.
-    tasks = texts.rdd.getNumPartitions()
-    tasks = min(tasks, max(tasks // 4, 2 * texts.sparkSession.sparkContext.defaultParallelism))
-    parts = texts.select("text", "held_out", "chunk").coalesce(max(1, tasks)).mapInArrow(
+    tasks = chunks.rdd.getNumPartitions()
+    tasks = min(tasks, max(tasks // 4, 2 * chunks.sparkSession.sparkContext.defaultParallelism))
+    parts = chunks.select("held_out", "length", "tokens", "h", "tail").coalesce(max(1, tasks)).mapInArrow(
         run, "slab int, part long, met binary, weight binary, change binary")
     sums = (parts.withColumn("g", F.pmod("part", F.lit(max(1, math.isqrt(tasks))))).groupBy("slab", "g")
                  .applyInPandas(some, "slab int, weight binary, change binary"))
@@ -475,68 +626,60 @@ def score(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_co
     for the hold-out. Repeated rows are learned from and scored each. Without training rows
     all counts are 0 and the model is uniform over its symbols. Extra columns are ignored.
     """
-    texts = _chunked(pick(docs, doc_id=id_col, text=text_col))
-    pieces = _chunk_words(texts)
+    chunks = _chunked(pick(docs, doc_id=id_col, text=text_col))
+    pieces = _chunk_words(chunks)
     counts = stored(pieces.groupBy("h").agg(F.sum("n").alias("c"), F.max("tail").alias("tail"))
                           .filter("c > 0"), "lm-counts")
     vocabulary, hot = vocabulary_of(counts)
     model = Model.fresh(vocabulary)
     for number in range(rounds):
-        model = _train_round(texts, vocabulary, model, number)
+        model = _train_round(chunks, vocabulary, model, number)
 
     # The most frequent words need no join: their counts go with the model, and no hot key is left.
     rare = ~F.col("h").isin(hot["h"].tolist())
-    found = pieces.filter(rare).select("chunk", "h").join(counts.filter(rare).select("h", "c"), "h")
+    found = (pieces.filter(rare).select(F.col("chunk").alias("of"), "h")
+                   .join(counts.filter(rare).select("h", "c"), "h"))
     hot_h, hot_c = hot["h"].to_numpy(), hot["c"].to_numpy()
-    flat = model.flat()
-    id_type = texts.schema["doc_id"].dataType.simpleString()
+    flat, symbols = model.flat(), Symbols(vocabulary)
+    size, total, distinct, class_total = vocabulary.size, vocabulary.total, vocabulary.distinct, vocabulary.class_total
+    id_type = chunks.schema["doc_id"].dataType.elementType.simpleString()
 
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         h = np.concatenate([words.column("h").to_numpy(), hot_h])
         c = np.concatenate([words.column("c").to_numpy(), hot_c])
         order = np.argsort(h)
-        return _score_chunk(docs, h[order], c[order], Model.of(flat, vocabulary.size), vocabulary)
+        return _score_chunk(texts, h[order], c[order], Model.of(flat, size), symbols, total, distinct,
+                            class_total)
 
-    return texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
+    return chunks.select("chunk", "doc_id", "held_out", "length", "tokens", "h", "tail").groupBy("chunk").cogroup(
+        found.groupBy("of")).applyInArrow(
         run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double")
 
 
-def _score_chunk(docs: pa.Table, h: np.ndarray, c: np.ndarray, model: Model, vocabulary: Vocabulary) -> pa.Table:
-    if not docs.num_rows:
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
-                         **{k: pa.array([], pa.int64()) for k in ("n_tokens", "n_known", "train_tokens")},
-                         **{k: pa.array([], pa.float64()) for k in ("base_score", "score")}})
-    index: dict[bytes, int] = {}
-    number, lengths = [], []
-    for column in docs.column("text").chunks:
-        for at in range(0, len(column), 512):
-            for text in column.slice(at, 512).to_pylist():
-                own = tokens_of(text)
-                number.append(np.array([index.setdefault(w, len(index)) for w in own], np.int32))
-                lengths.append(len(own))
-    tokens = np.concatenate(number)
-    lengths = np.array(lengths, np.int64)
+def _score_chunk(texts: pa.Table, h: np.ndarray, c: np.ndarray, model: Model, symbols: Symbols, total: int,
+                 distinct: int, class_total: np.ndarray) -> pa.Table:
+    """Rows of the result for the chunk in the one row of ``texts``, from the training counts ``c`` of the words ``h``."""
+    ids, held, lengths, hashes, tails = (_values(texts.column(x), 0) for x in ("doc_id", "held_out", "length", "h", "tail"))
+    lengths, hashes, tails = (x.to_numpy(zero_copy_only=False) for x in (lengths, hashes, tails))
+    tokens = np.frombuffer(texts.column("tokens")[0].as_buffer(), np.int32)
     starts = np.cumsum(lengths) - lengths
-    words = list(index)
-    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words)).view(np.int64)
-    count = np.zeros(len(words), np.int64)
+    count = np.zeros(len(hashes), np.int64)
     if len(h):
         at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
         count = np.where(h[at] == hashes, c[at], 0)
-    classes = len(vocabulary.class_total)
-    symbol = np.fromiter(map(Symbols(vocabulary.words, classes).__getitem__, words), np.int64, len(words))
-    base = np.log10((count + 1) / (vocabulary.total + vocabulary.distinct + 1))
-    tail = (symbol >= 1) & (symbol <= classes)
-    inner = np.zeros(len(words))
-    inner[tail] = np.log((count[tail] + 1) / vocabulary.class_total[symbol[tail] - 1])
-    symbols = symbol[tokens]
-    one, two = contexts_of(symbols, starts, vocabulary.size)
-    logs = (model.log_probabilities(symbols, one, two) + inner[tokens]) / np.log(10)
+    symbol = symbols.of(hashes, tails)
+    base = np.log10((count + 1) / (total + distinct + 1))
+    tail = (symbol >= 1) & (symbol <= len(class_total))
+    inner = np.zeros(len(hashes))
+    inner[tail] = np.log((count[tail] + 1) / class_total[symbol[tail] - 1])
+    own = symbol[tokens]
+    one, two = contexts_of(own, starts, len(model.bias))
+    logs = (model.log_probabilities(own, one, two) + inner[tokens]) / np.log(10)
     return pa.table({
-        "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(lengths),
-        "n_known": pa.array(np.add.reduceat((count[tokens] > 0).astype(np.int64), starts)),
-        "train_tokens": pa.array(np.full(len(lengths), vocabulary.total, np.int64)),
+        "doc_id": ids, "held_out": held, "n_tokens": pa.array(lengths),
+        "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64)[tokens], starts)),
+        "train_tokens": pa.array(np.full(len(lengths), total, np.int64)),
         "base_score": pa.array(np.add.reduceat(base[tokens], starts)), "score": pa.array(np.add.reduceat(logs, starts))})
 
 

@@ -108,3 +108,76 @@ def test_words_of_any_rank_are_normalised_and_learned():
     assert logs.mean() > np.log(1 / n) + 2
     again = lm.Model.of_rows(model.rows(), n)
     assert all((a == b).all() for a, b in zip(vars(model).values(), vars(again).values()))
+
+
+def test_tokens_are_those_of_python():
+    import pyarrow as pa
+
+    texts = ["  a B  a ", "", None, "\x0bx\x0c\x1c \u0085Ä\ty\r\n", "".join(map(chr, range(300))), "b"]
+    words, tokens, lengths = lm._numbered(pa.array(texts))
+    want = [lm.tokens_of(t) for t in texts]
+    assert lengths.tolist() == [len(own) for own in want]
+    assert [words[i] for i in tokens] == [w for own in want for w in own] and len(set(words)) == len(words)
+    assert lm._numbered(pa.array([None, ""]))[1].tolist() == [0, 0]
+
+
+def test_texts_are_split_once_and_chunks_hold_their_words(spark):
+    rows = [(i, f"w{i % 7} common {'x' * (i % 3)}") for i in range(60)] + [(None, None), (61, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    chunks = lm._chunked(docs)
+    assert "text" not in chunks.columns  # training and scoring read numbers
+    own = chunks.collect()
+    assert sum(len(c.doc_id) for c in own) == len(rows) and sum(map(len, (c.length for c in own))) == len(rows)
+    assert sum(len(c.tokens) for c in own) == 4 * sum(len(lm.tokens_of(t)) for _, t in rows)
+    counts = Counter()
+    for r in lm._chunk_words(chunks).collect():
+        counts[r.h] += r.n
+    want = Counter(lm.signed_hash(w) for i, t in rows if not held(i) for w in lm.tokens_of(t))
+    assert {h: n for h, n in counts.items() if n} == want
+
+
+def test_grouped_sums_and_noise_shares():
+    rng = np.random.default_rng(3)
+    rows = np.concatenate([np.zeros(500, int), rng.integers(0, 9000, 4000), rng.integers(0, 40, 900)])
+    for n in (9000, 100_000):
+        values = rng.normal(size=(len(rows), 5)).astype(np.float32)
+        found, sums = lm._sums_by_row(rows, values, n)
+        want = np.zeros((n, 5))
+        np.add.at(want, rows, values)
+        assert sorted(found.tolist()) == np.unique(rows).tolist() and np.allclose(sums, want[found], atol=1e-4)
+    y = np.linspace(-12, 12, 1001, dtype=np.float32)[:, None]
+    assert np.allclose(lm._noise_share(y / 64, np.float32(2)), 2 / (1 + np.exp(y.astype(float))), rtol=1e-3, atol=1e-6)
+    far = lm._noise_share(np.array([[-500.0, 500.0]], np.float32), np.float32(1))
+    assert far[0, 0] == 1 and 0 <= far[0, 1] < 1e-12
+
+
+def test_normalisers_of_pairs(monkeypatch):
+    rng = np.random.default_rng(4)
+    first, second, outputs = (rng.normal(0, 2, (k, lm.DIM)).astype(np.float32) for k in (30, 20, 50))
+    bias = rng.normal(size=50).astype(np.float32)
+    first[3] *= 60  # both factors of a score may be far from their own largest
+    one, two = np.sort(rng.integers(0, 30, 600)), rng.integers(0, 20, 600)
+    scores = (first[one] + second[two]).astype(float) @ outputs.T.astype(float) + bias
+    top = scores.max(axis=1)
+    want = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+    for most in (lm.FACTORS, 1000):
+        monkeypatch.setattr(lm, "FACTORS", most)
+        assert np.allclose(lm._pair_log_sums(first, one, second, two, outputs, bias), want, rtol=1e-5, atol=1e-4)
+
+
+def test_scores_follow_from_the_model_word_by_word():
+    n = 1200
+    v = lm.Vocabulary({}, np.full(n, 1 / n), np.full(96, 3.0), 10, 4)
+    model = lm.Model.fresh(v)
+    rng = np.random.default_rng(6)
+    symbols = rng.integers(0, n, 3000)
+    one, two = lm.contexts_of(symbols, np.array([0, 1000, 1001]), n)
+    lm.Trainer(model, v.unigram, 1).window(symbols, one, two)
+    got, width = model.log_probabilities(symbols, one, two), lm.width_of(n)
+    for i in (0, 1, 2, 999, 1000, 1001, 1002, 2999):
+        x = (model.inputs[one[i]] * model.scales[0] + model.inputs[two[i]] * model.scales[1]).astype(float)
+        blocks = model.block_outputs @ x + model.block_bias
+        a = symbols[i] // width
+        inner = model.outputs[a * width:(a + 1) * width] @ x + model.bias[a * width:(a + 1) * width]
+        want = (blocks[a] - np.log(np.exp(blocks).sum()) + inner[symbols[i] - a * width] - np.log(np.exp(inner).sum()))
+        assert abs(got[i] - want) < 1e-4
