@@ -20,14 +20,16 @@ a chunk's words, not its tokens.
 Training. Each task runs over all of its training texts: windows of tokens are summed up as weighted
 distinct trigrams, and mini-batches are taught to tell them from noise symbols and noise blocks drawn
 from the unigram distribution (shared by a batch, so both sides are matrix products; what is drawn several
-times is computed once and counts as often); only the rows that a batch meets are changed. Tasks start from the same parameters and return the changes of the rows they
-met. A row's changes are averaged, weighted by its tokens in each task, in two levels of Spark
-groups per slab of rows, and the next round starts from the average.
-
-Scoring. Each chunk meets the training counts of its own distinct words through a join by 64-bit word
-hash, never the whole vocabulary. A chunk's distinct contexts are normalised exactly over all blocks, and
-over the symbols of the blocks that follow them: as a context is the sum of two vectors, the exponential
-of its score is the product of two, which are computed once per symbol and place, not per context.
+times is computed once and counts as often); only the rows that a batch meets are changed. Tasks start
+from the same parameters and return the changes of the rows they met. A row's changes are averaged,
+weighted by its tokens in each task, in two levels of Spark groups per slab of rows, and the next round
+starts from the average.
+
+Scoring. Each chunk meets the training counts of its own distinct words, which are counted in ranges of
+the 64-bit word hash, never the whole vocabulary. A chunk's distinct contexts are normalised exactly over
+all blocks, and over the symbols of the blocks that follow them: as a context is the sum of two vectors,
+the exponential of its score is the product of two, which are computed once per symbol and place, not per
+context.
 """
 
 from __future__ import annotations
@@ -62,6 +64,8 @@ CHUNK_BYTES = 12 << 20
 # A word needs so many training tokens to be a symbol of its own.
 MIN_COUNT = 8
 HOT = 1024
+# Words of chunks that are counted in one group, about.
+SHELF = 1 << 20
 SLAB = 2048
 SEED = 5
 # Rows of a batch whose noise scores are held at once, and numbers in the factors of normalisers.
@@ -461,8 +465,9 @@ def _numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
 
 def _chunked(docs: DataFrame) -> DataFrame:
     """One row for each chunk of about CHUNK_BYTES or one longer text, stored: ``chunk``; ``doc_id, held_out`` and
-    ``length`` in tokens of its texts; ``tokens``, their words' numbers in the chunk (32 bits each); and of the
-    distinct words ``h``, their training count ``n`` (0: held out only) and ``tail``, which gives their class."""
+    ``length`` in tokens of its texts; ``tokens``, their words' numbers in the chunk (32 bits each); ``words``, the
+    number of its distinct words; and their ``h``, training count ``n`` (0: held out only) and ``tail``, which gives
+    their class."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
 
@@ -483,7 +488,8 @@ def _chunked(docs: DataFrame) -> DataFrame:
                      "n": pa.array(np.bincount(tokens[learned], minlength=len(words))),
                      "tail": pa.array(np.fromiter(map(tail_of, words), np.int64, len(words)))}
             return pa.RecordBatch.from_pydict({
-                "chunk": pa.array([(pid << 32) | chunk], pa.int64()), "tokens": pa.array([tokens.tobytes()], pa.binary()),
+                "chunk": pa.array([(pid << 32) | chunk], pa.int64()), "words": pa.array([len(words)], pa.int64()),
+                "tokens": pa.array([tokens.tobytes()], pa.binary()),
                 **{k: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for k, x in lists.items()}})
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
@@ -504,13 +510,13 @@ def _chunked(docs: DataFrame) -> DataFrame:
 
     # Rows are long: the writer looks at its buffers after each.
     return stored(docs.withColumn("held_out", crc % 7 == 2).mapInArrow(
-        run, f"chunk long, tokens binary, doc_id array<{id_type}>, held_out array<boolean>, length array<long>, "
-             "h array<long>, n array<long>, tail array<long>"), "lm-chunks",
+        run, f"chunk long, words long, tokens binary, doc_id array<{id_type}>, held_out array<boolean>, "
+             "length array<long>, h array<long>, n array<long>, tail array<long>"), "lm-chunks",
         **{"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1})
 
 
 def _chunk_words(chunks: DataFrame) -> DataFrame:
-    """``chunk, h, n, tail`` of each distinct word of a chunk."""
+    """``chunk, h, n, tail`` of each distinct word of a chunk, a row each."""
     return chunks.select("chunk", F.inline(F.arrays_zip("h", "n", "tail")))
 
 
@@ -519,6 +525,48 @@ def _values(column: pa.Array | pa.ChunkedArray, row: int) -> pa.Array:
     return column[row].values
 
 
+def _counted(chunks: DataFrame) -> DataFrame:
+    """The training counts of all words, stored. The range of hashes is cut into shelves of about SHELF words of
+    chunks. ``counts`` holds, per ``chunk`` and ``shelf``, the counts in the whole table of the chunk's words there,
+    by hash (64 bits each); a row without a chunk holds a shelf's distinct words: ``h, c, tail``."""
+    rows = chunks.agg(F.sum("words")).first()[0] or 0
+    bits = max(1, (rows // SHELF).bit_length())
+
+    def shelve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                h, n, tail = (_values(batch.column(x), row).to_numpy() for x in ("h", "n", "tail"))
+                order = np.argsort(h, kind="stable")
+                h, n, tail = h[order], n[order], tail[order]
+                shelf = h >> (64 - bits)
+                edges = [0, *(np.flatnonzero(shelf[1:] != shelf[:-1]) + 1).tolist(), len(h)]
+                yield pa.RecordBatch.from_pydict({
+                    "shelf": pa.array(shelf[edges[:-1]]),
+                    "chunk": pa.array(np.full(len(edges) - 1, batch.column("chunk")[row].as_py())),
+                    **{k: pa.array([x[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())
+                       for k, x in (("h", h), ("n", n), ("tail", tail))}})
+
+    def count(rows: pa.Table) -> pa.Table:
+        parts = {k: [np.frombuffer(x.as_buffer(), np.int64) for x in rows.column(k)] for k in ("h", "n", "tail")}
+        h, place = np.unique(np.concatenate(parts["h"]), return_inverse=True)
+        c, tail = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        np.add.at(c, place, np.concatenate(parts["n"]))
+        np.maximum.at(tail, place, np.concatenate(parts["tail"]))
+        ends = np.cumsum([len(x) for x in parts["h"]])
+        own = np.split(c[place], ends[:-1])
+        edges = pa.array([0] * (rows.num_rows + 1) + [len(h)], pa.int32())
+        return pa.table({
+            "shelf": pa.array(rows.column("shelf").to_pylist() + [rows.column("shelf")[0].as_py()], pa.int64()),
+            "chunk": pa.array(rows.column("chunk").to_pylist() + [None], pa.int64()),
+            "counts": pa.array([x.tobytes() for x in own] + [None], pa.binary()),
+            **{k: pa.ListArray.from_arrays(edges, pa.array(x)) for k, x in (("h", h), ("c", c), ("tail", tail))}})
+
+    shelves = chunks.select("chunk", "h", "n", "tail").mapInArrow(
+        shelve, "shelf long, chunk long, h binary, n binary, tail binary")
+    return stored(shelves.groupBy("shelf").applyInArrow(
+        count, "shelf long, chunk long, counts binary, h array<long>, c array<long>, tail array<long>"), "lm-counts")
+
+
 def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, pd.DataFrame]:
     """From ``h, c, tail`` (c > 0): the vocabulary, and ``h, c`` of its HOT most frequent words and the end.
     One row per distinct count, per symbol and per class reaches the driver."""
@@ -627,47 +675,37 @@ def score(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_co
     all counts are 0 and the model is uniform over its symbols. Extra columns are ignored.
     """
     chunks = _chunked(pick(docs, doc_id=id_col, text=text_col))
-    pieces = _chunk_words(chunks)
-    counts = stored(pieces.groupBy("h").agg(F.sum("n").alias("c"), F.max("tail").alias("tail"))
-                          .filter("c > 0"), "lm-counts")
-    vocabulary, hot = vocabulary_of(counts)
+    counted = _counted(chunks)
+    words = counted.filter(F.col("chunk").isNull()).select(F.inline(F.arrays_zip("h", "c", "tail")))
+    vocabulary, _ = vocabulary_of(words.filter("c > 0"))
     model = Model.fresh(vocabulary)
     for number in range(rounds):
         model = _train_round(chunks, vocabulary, model, number)
 
-    # The most frequent words need no join: their counts go with the model, and no hot key is left.
-    rare = ~F.col("h").isin(hot["h"].tolist())
-    found = (pieces.filter(rare).select(F.col("chunk").alias("of"), "h")
-                   .join(counts.filter(rare).select("h", "c"), "h"))
-    hot_h, hot_c = hot["h"].to_numpy(), hot["c"].to_numpy()
     flat, symbols = model.flat(), Symbols(vocabulary)
     size, total, distinct, class_total = vocabulary.size, vocabulary.total, vocabulary.distinct, vocabulary.class_total
     id_type = chunks.schema["doc_id"].dataType.elementType.simpleString()
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        h = np.concatenate([words.column("h").to_numpy(), hot_h])
-        c = np.concatenate([words.column("c").to_numpy(), hot_c])
-        order = np.argsort(h)
-        return _score_chunk(texts, h[order], c[order], Model.of(flat, size), symbols, total, distinct,
-                            class_total)
+    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        own = [np.frombuffer(x.as_buffer(), np.int64) for x in counts.sort_by("shelf").column("counts")]
+        return _score_chunk(texts, np.concatenate(own), Model.of(flat, size), symbols, total, distinct, class_total)
 
     return chunks.select("chunk", "doc_id", "held_out", "length", "tokens", "h", "tail").groupBy("chunk").cogroup(
-        found.groupBy("of")).applyInArrow(
+        counted.filter(F.col("chunk").isNotNull()).select(F.col("chunk").alias("of"), "shelf", "counts").groupBy("of")
+    ).applyInArrow(
         run, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
              "base_score double, score double")
 
 
-def _score_chunk(texts: pa.Table, h: np.ndarray, c: np.ndarray, model: Model, symbols: Symbols, total: int,
-                 distinct: int, class_total: np.ndarray) -> pa.Table:
-    """Rows of the result for the chunk in the one row of ``texts``, from the training counts ``c`` of the words ``h``."""
-    ids, held, lengths, hashes, tails = (_values(texts.column(x), 0) for x in ("doc_id", "held_out", "length", "h", "tail"))
-    lengths, hashes, tails = (x.to_numpy(zero_copy_only=False) for x in (lengths, hashes, tails))
+def _score_chunk(texts: pa.Table, counts: np.ndarray, model: Model, symbols: Symbols, total: int, distinct: int,
+                 class_total: np.ndarray) -> pa.Table:
+    """Rows of the result for the chunk in the one row of ``texts``; ``counts`` are those of its words, by hash."""
+    ids, held = (_values(texts.column(x), 0) for x in ("doc_id", "held_out"))
+    lengths, hashes, tails = (_values(texts.column(x), 0).to_numpy() for x in ("length", "h", "tail"))
     tokens = np.frombuffer(texts.column("tokens")[0].as_buffer(), np.int32)
     starts = np.cumsum(lengths) - lengths
-    count = np.zeros(len(hashes), np.int64)
-    if len(h):
-        at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
-        count = np.where(h[at] == hashes, c[at], 0)
+    count = np.empty(len(hashes), np.int64)
+    count[np.argsort(hashes, kind="stable")] = counts
     symbol = symbols.of(hashes, tails)
     base = np.log10((count + 1) / (total + distinct + 1))
     tail = (symbol >= 1) & (symbol <= len(class_total))

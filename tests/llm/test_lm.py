@@ -181,3 +181,19 @@ def test_scores_follow_from_the_model_word_by_word():
         inner = model.outputs[a * width:(a + 1) * width] @ x + model.bias[a * width:(a + 1) * width]
         want = (blocks[a] - np.log(np.exp(blocks).sum()) + inner[symbols[i] - a * width] - np.log(np.exp(inner).sum()))
         assert abs(got[i] - want) < 1e-4
+
+
+def test_counts_by_shelves_of_hashes(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * k) % 37}" for k in range(i % 9))) for i in range(80)]
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(lm, "SHELF", 20)
+    chunks = lm._chunked(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    counted = lm._counted(chunks).collect()
+    want = Counter(lm.signed_hash(w) for i, t in rows if not held(i) for w in lm.tokens_of(t))
+    distinct = [dict(zip(r.h, r.c)) for r in counted if r.chunk is None]
+    assert len(distinct) > 4 and {h: c for d in distinct for h, c in d.items() if c} == want
+    for row in chunks.collect():
+        own = sorted((r for r in counted if r.chunk == row.chunk), key=lambda r: r.shelf)
+        got = np.concatenate([np.frombuffer(r.counts, np.int64) for r in own])
+        assert got.tolist() == [want[h] for h in sorted(row.h)]
+    _same(lm.op1(spark.createDataFrame(rows, "doc_id long, text string")).collect(), brute(rows))
